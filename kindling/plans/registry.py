@@ -7,6 +7,8 @@ import importlib
 _MODULES = (
     "kindling.plans.q_basic",
     "kindling.plans.q_text",
+    "kindling.plans.q_similarity",
+    "kindling.plans.q_graph",
 )
 
 
