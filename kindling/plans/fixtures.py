@@ -29,6 +29,17 @@ def ratings(spark: SparkSession, sf_dir: str, item: str = "l_suppkey") -> DataFr
     )
 
 
+def timed_ratings(spark: SparkSession, sf_dir: str, item: str = "l_suppkey") -> DataFrame:
+    """R with ``ts``: the first order date of each (user, item)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col(item).alias("item"), "l_quantity")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .groupBy(F.col("o_custkey").alias("user"), "item")
+        .agg(F.avg("l_quantity").alias("rating"), F.min("o_orderdate").alias("ts"))
+    )
+
+
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier-part graph of unit-quantity lines, both directions, distinct.
 

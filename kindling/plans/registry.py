@@ -9,6 +9,7 @@ _MODULES = (
     "kindling.plans.q_text",
     "kindling.plans.q_similarity",
     "kindling.plans.q_graph",
+    "kindling.plans.q_sets",
 )
 
 
