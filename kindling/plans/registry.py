@@ -10,6 +10,7 @@ _MODULES = (
     "kindling.plans.q_similarity",
     "kindling.plans.q_graph",
     "kindling.plans.q_sets",
+    "kindling.plans.q_ml",
 )
 
 
