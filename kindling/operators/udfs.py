@@ -14,15 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("bigint")
-def square(x: pd.Series) -> pd.Series:
-    """UDF1: ``x * x`` as a vectorised Pandas UDF."""
+def _square(x: pd.Series) -> pd.Series:
     return x.astype("int64") * x.astype("int64")
 
 
+def square(col):
+    """UDF1: ``x * x`` as a vectorised Pandas UDF (created when first used)."""
+    return F.pandas_udf(_square, "bigint")(col)
+
+
 def register_square(spark: SparkSession, name: str = "square") -> None:
     """UDF1 for SQL: ``SELECT square(col) FROM ...``."""
-    spark.udf.register(name, square)
+    spark.udf.register(name, F.pandas_udf(_square, "bigint"))
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
