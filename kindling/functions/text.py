@@ -22,11 +22,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same separators read backwards (for the linear trailing-run strip).
+_REVERSED = {SPACE: SPACE, NON_WORD: NON_WORD, WHITESPACE: WHITESPACE, LINE_BREAK: r"\n\r|\r|\n"}
+
+
+def strip_trailing(c, pattern: str) -> Column:
+    """``c`` without its final run of separators.
+
+    For the fixed patterns the run is removed from the reversed string with a
+    ``^``-anchored possessive match: one start position, linear time even on
+    a megabyte of trailing junk. Other patterns use ``(?:p)++\\z``.
+    """
+    c = _col(c)
+    rev = _REVERSED.get(pattern)
+    if rev is not None:
+        return F.reverse(F.regexp_replace(F.reverse(c), f"^(?:{rev})++", ""))
+    # \z (not $): true end of input; ``++`` never backtracks into the run.
+    return F.regexp_replace(c, f"(?:{pattern})++\\z", "")
+
+
 def java_split(c, pattern: str) -> Column:
     """Split ``c`` on regex ``pattern`` exactly like JVM ``String.split(pattern)``."""
     c = _col(c)
-    # \z (not $): true end of input, same in Java regex and RE2.
-    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
+    stripped = strip_trailing(c, pattern)
     return (
         F.when(c.isNull(), F.lit(None))
         .when(c == "", F.array(F.lit("")))
@@ -43,3 +61,20 @@ def split_lines(c) -> Column:
 def unicode_pattern(pattern: str) -> str:
     """Make ``\\w``/``\\W``/``\\s`` Unicode-aware (trap T2 option)."""
     return "(?U)" + pattern
+
+
+def explode_split(df, column: str, pattern: str, out: str, keep=()):
+    """One row per JVM-``split`` token of ``column`` (plus the ``keep`` columns).
+
+    The stripped value is computed once in its own projection (Catalyst does
+    not merge projections that would repeat an expensive expression), rather
+    than once per CASE branch as in ``java_split``.
+    """
+    keep = list(keep)
+    s = df.select(*keep, F.col(column).alias("_c"), strip_trailing(F.col(column), pattern).alias("_s"))
+    tokens = (
+        F.when(F.col("_c") == "", F.array(F.lit("")))
+        .when(F.col("_s") == "", F.array().cast("array<string>"))
+        .otherwise(F.split(F.col("_s"), pattern, -1))
+    )
+    return s.filter(F.col("_c").isNotNull()).select(*keep, F.explode(tokens).alias(out))

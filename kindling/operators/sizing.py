@@ -35,3 +35,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def shuffle_partitions_for(rows: int, rows_per_partition: int = 2_000_000, floor: int = 8, cap: int = 20_000) -> int:
     """A shuffle-partition count sized so each task holds about ``rows_per_partition`` rows."""
     return max(floor, min(cap, -(-rows // rows_per_partition)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer partitions
+    than there are cores (e.g. one unsplittable row group feeding CPU-heavy
+    per-row work). Large inputs already have more splits than cores and pass
+    through unchanged, so this never adds a shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.functions.text import NON_WORD, SPACE, java_split
+from kindling.functions.text import NON_WORD, SPACE, explode_split
 from kindling.operators.lookup import anti_join
 
 
@@ -20,7 +20,7 @@ def tokenize(lines: DataFrame, column: str = "line", pattern: str = SPACE, lower
 
     Empty tokens are kept by default: the reference counts them.
     """
-    tok = lines.select(F.explode(java_split(F.col(column), pattern)).alias(out))
+    tok = explode_split(lines, column, pattern, out)
     if lower:
         tok = tok.select(F.lower(out).alias(out))
     if drop_empty:

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindling.functions.text import split_lines
+from kindling.functions.text import LINE_BREAK, explode_split
+from kindling.operators.sizing import spread
 from kindling.sources.tables import table
 
 
@@ -81,5 +82,5 @@ def hashtag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of every document's text."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.explode(split_lines(F.col("text"))).alias("line"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return explode_split(d, "text", LINE_BREAK, "line", keep=["doc_id"])
