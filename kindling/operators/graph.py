@@ -63,6 +63,14 @@ def adjacency_degrees(line_degrees: DataFrame) -> DataFrame:
     return line_degrees.groupBy("id").agg(F.sum("n").cast("bigint").alias("degree"))
 
 
+def checkpoint_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Reliable checkpoint of ``df`` and the aggregate ``metrics`` of the written
+    rows (one small aggregate over the checkpoint files, not a recomputation)."""
+    out = df.checkpoint()
+    aliased = [m.alias(k) for k, m in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
+    return out, out.agg(*aliased).first().asDict()
+
+
 def bfs(edges: DataFrame, root, max_iter: int = 10, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """GR3/GR4: hop distance from ``root`` along directed edges, at most ``max_iter`` hops.
 
@@ -74,8 +82,8 @@ def bfs(edges: DataFrame, root, max_iter: int = 10, broadcast_rows: int = DEFAUL
         frontier = root.select(F.col(root.columns[0]).cast("bigint").alias("id"))
     else:
         frontier = spark.range(1).select(F.lit(root).cast("bigint").alias("id"))
-    frontier = frontier.checkpoint()
-    frontier_rows = frontier.count()
+    frontier, m = checkpoint_with(frontier, rows=F.count(F.lit(1)))
+    frontier_rows = m["rows"]
     levels = [frontier.withColumn("dist", F.lit(0).cast("bigint"))]
     seen_rows = frontier_rows
     e = edges.select("src", "dst")
@@ -84,10 +92,9 @@ def bfs(edges: DataFrame, root, max_iter: int = 10, broadcast_rows: int = DEFAUL
             break
         f = _maybe_broadcast(frontier, frontier_rows, broadcast_rows)
         reached = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
-        seen = levels[0] if len(levels) == 1 else _union(levels)
-        seen = _maybe_broadcast(seen.select("id"), seen_rows, broadcast_rows)
-        new = reached.join(seen, "id", "left_anti").checkpoint()
-        frontier_rows = new.count()
+        seen = _maybe_broadcast(_union(levels).select("id"), seen_rows, broadcast_rows)
+        new, m = checkpoint_with(reached.join(seen, "id", "left_anti"), rows=F.count(F.lit(1)))
+        frontier_rows = m["rows"]
         if frontier_rows == 0:
             break
         levels.append(new.withColumn("dist", F.lit(level).cast("bigint")))
@@ -118,29 +125,28 @@ def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
     One row ``(start, target, degree, hits)``: ``degree`` is that round (the
     target's hop distance, null if not found within ``max_iter``); ``hits`` is
     the number of frontier->target edges in it (the reference's accumulator,
-    here a plain ``count`` that cannot over-count, trap T9). Follows the
-    stated intent of the reference (true BFS, min distance; trap T4).
+    here a ``count`` of a filtered join that cannot over-count, trap T9).
+    Follows the stated intent of the reference (true BFS, min distance; trap T4).
     """
     spark = edges.sparkSession
     e = edges.select("src", "dst")
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("id")).checkpoint()
-    frontier_rows = 1
-    seen = frontier
-    seen_rows = 1
+    frontier_rows, levels, seen_rows = 1, [frontier], 1
     degree, hits = None, 0
     for level in range(1, max_iter + 1):
         if frontier_rows == 0:
             break
         f = _maybe_broadcast(frontier, frontier_rows, broadcast_rows)
-        expanded = e.join(f, e.src == f.id).select("src", "dst")
-        hits = expanded.filter(F.col("dst") == F.lit(target)).count()
+        # Frontier->target edges of this round: one filtered join, counted.
+        hits = e.filter(F.col("dst") == F.lit(target)).join(f, e.src == f.id).count()
         if hits > 0:
             degree = level
             break
-        s = _maybe_broadcast(seen, seen_rows, broadcast_rows)
-        new = expanded.select(F.col("dst").alias("id")).distinct().join(s, "id", "left_anti").checkpoint()
-        frontier_rows = new.count()
-        seen = seen.unionByName(new).checkpoint()
+        expanded = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
+        seen = _maybe_broadcast(_union(levels), seen_rows, broadcast_rows)
+        new, m = checkpoint_with(expanded.join(seen, "id", "left_anti"), rows=F.count(F.lit(1)))
+        frontier_rows = m["rows"]
+        levels.append(new)
         seen_rows += frontier_rows
         frontier = new
     return spark.createDataFrame(
@@ -171,9 +177,9 @@ def pregel(
     if vprog is None:
         vprog = (lambda attr, msg: F.least(attr, msg)) if merge == "min" else (
             (lambda attr, msg: F.greatest(attr, msg)) if merge == "max" else (lambda attr, msg: attr + msg))
-    state = vertices.select("id", "attr").checkpoint()
+    state, m = checkpoint_with(vertices.select("id", "attr"), rows=F.count(F.lit(1)))
+    active_rows = m["rows"]
     active = state
-    active_rows = state.count()
     e = edges.select("src", "dst")
     for _ in range(max_iter):
         if active_rows == 0:
@@ -183,13 +189,11 @@ def pregel(
         trip = e.join(a, "src").join(state.select(F.col("id").alias("dst"), F.col("attr").alias("dst_attr")), "dst")
         msgs = trip.select("dst", send.alias("msg")).filter(F.col("msg").isNotNull())
         merged = msgs.groupBy(F.col("dst").alias("id")).agg(merge_fn("msg").alias("msg"))
+        new_attr = F.when(F.col("msg").isNull(), F.col("attr")).otherwise(vprog(F.col("attr"), F.col("msg")))
         updated = state.join(merged, "id", "left").select(
-            "id", "attr",
-            F.when(F.col("msg").isNull(), F.col("attr")).otherwise(vprog(F.col("attr"), F.col("msg"))).alias("new_attr"),
-        ).checkpoint()
-        changed = updated.filter(~F.col("attr").eqNullSafe(F.col("new_attr"))).select(
-            "id", F.col("new_attr").alias("attr")).checkpoint()
-        active_rows = changed.count()
-        state = updated.select("id", F.col("new_attr").alias("attr"))
-        active = changed
+            "id", new_attr.alias("attr"), (~new_attr.eqNullSafe(F.col("attr"))).alias("_changed"))
+        updated, m = checkpoint_with(updated, changed=F.sum(F.col("_changed").cast("bigint")))
+        active_rows = int(m["changed"] or 0)
+        state = updated.select("id", "attr")
+        active = updated.filter("_changed").select("id", "attr")
     return state
