@@ -67,14 +67,6 @@ def avg_by_key(df: DataFrame, keys, value: str, out: str = "avg_value", digits:
     return df.groupBy(*_cols(keys)).agg(a.alias(out))
 
 
-def collect_by_key(df: DataFrame, keys, value: str, out: str = "values") -> DataFrame:
-    """AGG8 ``groupByKey``: only when the list itself is the wanted result.
-
-    The list of one key must fit in a task; prefer algebraic aggregates.
-    """
-    return df.groupBy(*_cols(keys)).agg(F.collect_list(value).alias(out))
-
-
 def reduce_all(df: DataFrame, *aggs: Column) -> DataFrame:
     """AGG15: keyless ``reduce`` as a one-row aggregate."""
     return df.agg(*aggs)

@@ -22,6 +22,8 @@ def subtract_bag(a: DataFrame, b: DataFrame) -> DataFrame:
 
     A null-safe left-anti join on all columns (not ``exceptAll``, not ``subtract``).
     """
+    # Distinct right rows first (partial dedup): a hot right row becomes one row.
+    b = b.distinct()
     cond = [a[c].eqNullSafe(b[c]) for c in a.columns]
     return a.join(b, cond, "left_anti")
 

@@ -80,7 +80,7 @@ def graph_vertices_default(spark, sf):
 
 @register("adjacency_top", r"""
 WITH lines AS (SELECT CAST(l_suppkey AS VARCHAR) || ' ' || string_agg(CAST(l_partkey AS VARCHAR), '  ') AS line
-               FROM lineitem GROUP BY l_orderkey, l_suppkey),
+               FROM lineitem GROUP BY l_orderkey, l_suppkey, floor(l_linenumber / 16)),
 t AS (SELECT string_split_regex(trim(line), '\s+') AS tok FROM lines),
 deg AS (SELECT CAST(tok[1] AS BIGINT) AS id, CAST(sum(len(tok) - 1) AS BIGINT) AS degree
         FROM t GROUP BY 1 ORDER BY degree DESC, id LIMIT 10)
@@ -88,9 +88,12 @@ SELECT deg.id, s.s_name AS name, deg.degree FROM deg LEFT JOIN supplier s ON s.s
 """)
 def adjacency_top(spark, sf):
     """SRC9 + AGG11 + SRT3 + JOIN4: adjacency lines ``supp part part ...`` (one per
-    order and supplier, so an id spans many lines) -> most connected suppliers."""
+    order, supplier and block of 16 line numbers, so a line holds at most 16
+    parts however big an order is, and an id spans many lines) -> most
+    connected suppliers."""
     li = T(spark, sf, "lineitem")
-    lines = li.groupBy("l_orderkey", "l_suppkey").agg(
+    block = F.floor(F.col("l_linenumber") / 16)
+    lines = li.groupBy("l_orderkey", "l_suppkey", block.alias("_blk")).agg(
         F.concat_ws(" ", F.col("l_suppkey").cast("string"),
                     F.concat_ws("  ", F.collect_list(F.col("l_partkey").cast("string")))).alias("line")
     )

@@ -34,12 +34,27 @@ def pane_counts(df: DataFrame, ts: str, key: str, slide) -> DataFrame:
     return df.groupBy(F.col(key), pane_of(F.col(ts), s).alias("pane")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def sliding_from_panes(panes: DataFrame, key: str, window, slide, value: str = "n", out: str = "count") -> DataFrame:
-    """Sum of the last ``window/slide`` panes per key, at every pane present."""
+def sliding_from_panes(panes: DataFrame, key: str, window, slide, value: str = "n", out: str = "count",
+                       chunk_windows: int = 64) -> DataFrame:
+    """Sum of the last ``window/slide`` panes per key, at every pane present.
+
+    The pane axis is cut into chunks of ``chunk_windows * k`` panes (``k`` panes
+    per window) and the window function runs per (key, chunk), so one busy key
+    is spread over many tasks instead of one. Each chunk also receives the last
+    ``k - 1`` panes of the chunk before it as context rows; they feed the sums
+    of the chunk's first panes and are then dropped.
+    """
     w, s = _seconds(window), _seconds(slide)
     k = w // s
-    spec = Window.partitionBy(key).orderBy("pane").rangeBetween(-(k - 1), 0)
-    summed = panes.withColumn(out, F.sum(value).over(spec))
+    size = max(k, chunk_windows * k)
+    chunk = F.floor(F.col("pane") / size).cast("bigint")
+    own = panes.select(key, "pane", value, chunk.alias("_chunk"), F.lit(False).alias("_ctx"))
+    ctx = (
+        panes.filter(F.pmod(F.col("pane"), F.lit(size)) >= size - (k - 1))
+        .select(key, "pane", value, (chunk + 1).alias("_chunk"), F.lit(True).alias("_ctx"))
+    )
+    spec = Window.partitionBy(key, "_chunk").orderBy("pane").rangeBetween(-(k - 1), 0)
+    summed = own.unionByName(ctx).withColumn(out, F.sum(value).over(spec)).filter(~F.col("_ctx"))
     return summed.select(
         key,
         F.timestamp_seconds((F.col("pane") - (k - 1)) * s).cast("timestamp_ntz").alias("window_start"),
