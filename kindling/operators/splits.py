@@ -92,28 +92,24 @@ def all_but_n(df: DataFrame, user: str, order: list[str], start: int, stop: int,
     """SET7: walk rows in the total order ``order``; a row whose running number
     within its user lies in ``[start, stop]`` goes to ``test`` while fewer than
     ``max_test`` test rows were taken (``max_test <= 0``: no limit); all other
-    rows go to ``base``. ``order`` must start with nothing that precedes the walk
-    order and must be a total order."""
-    g = global_row_number(df, order, "_g")
-    ranked = _rank_within(g, user, order)
-    cand = (ranked.filter((F.col("_rn") >= start) & (F.col("_rn") <= stop)))
-    if max_test and max_test > 0:
-        cg = global_row_number(cand.select(*df.columns, "_g"), ["_g"], "_cg")
-        taken = cg.filter(F.col("_cg") <= max_test).select("_g")
-    else:
-        taken = cand.select("_g")
-    flag = ranked.join(taken.withColumn("_t", F.lit(True)), "_g", "left")
-    return flag.select(*df.columns, F.when(F.col("_t"), F.lit("test")).otherwise(F.lit("base")).alias(out))
-
+    rows go to ``base``. ``order`` must be a total order.
 
-def _rank_within(g: DataFrame, user: str, order: list[str]) -> DataFrame:
-    """Running number of each row within ``user`` following the global number ``_g``.
-
-    Number the rows again in the order ``(user, _g)``: within that order a
-    user's rows are contiguous, so the running number is the position minus
-    the position of the user's first row (a per-user ``min``, partial before
-    its shuffle).
+    Rows are numbered once in the order ``(user, order)``: there a user's rows
+    are contiguous, so the running number is the position minus the position
+    of the user's first row (a per-user ``min``, partial before its shuffle; a
+    hot user is spread over several range partitions). Only when the cap can
+    bind are the candidates numbered again in ``order``.
     """
-    h = global_row_number(g, [user, "_g"], "_h")
+    h, total = _numbered(df, [user, *order], "_h")
     first = h.groupBy(user).agg(F.min("_h").alias("_h0"))
-    return h.join(broadcast_if_small(first), user).withColumn("_rn", F.col("_h") - F.col("_h0") + 1)
+    ranked = h.join(broadcast_if_small(first, broadcast_rows), user).withColumn(
+        "_rn", F.col("_h") - F.col("_h0") + 1)
+    cand = ranked.filter((F.col("_rn") >= start) & (F.col("_rn") <= stop))
+    if max_test and 0 < max_test < total:
+        cg = global_row_number(cand.select(*df.columns, "_h"), order, "_cg")
+        taken = cg.filter(F.col("_cg") <= max_test).select("_h")
+        flag = ranked.join(taken.withColumn("_t", F.lit(True)), "_h", "left")
+        is_test = F.col("_t").isNotNull()
+    else:
+        flag, is_test = ranked, (F.col("_rn") >= start) & (F.col("_rn") <= stop)
+    return flag.select(*df.columns, F.when(is_test, F.lit("test")).otherwise(F.lit("base")).alias(out))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindling.functions.rounding import round_half_up
 from kindling.operators.recommend import fit_als, recommend, user_ratings
 from kindling.operators.regression import fit_elastic_net, predict, sgd_least_squares, text_classifier, zscore
+from kindling.operators.sizing import spread
 from kindling.operators.splits import hash_bucket
 from kindling.plans.common import R4, T
 from kindling.plans.fixtures import ratings
@@ -131,7 +132,7 @@ def q_user_ratings(spark, sf):
 def classify_documents(spark, sf):
     """ML1: hashed TF-IDF + logistic regression for `labels.quality`; trained on a
     70% hash split of labelled documents, scored on the other 30%. Rows-only check."""
-    d = T(spark, sf, "documents").select("doc_id", "text")
+    d = spread(T(spark, sf, "documents").select("doc_id", "text"))
     lab = T(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     data = d.join(lab, "doc_id")
     b = hash_bucket("doc_id")
