@@ -10,7 +10,7 @@ from kindling.plans.fixtures import hashtag_events
 from kindling.session import scratch_path
 from kindling.sources.formats import read_json_stream, read_table_stream
 from kindling.streaming.runner import latest, read_output, run_to_table
-from kindling.streaming.windows import sliding_counts, sliding_from_panes
+from kindling.streaming.windows import assign_windows, sliding_counts, sliding_from_panes, top_per_window
 
 QUERIES = {}
 ORACLE = {}
@@ -49,6 +49,30 @@ def hashtag_windows(spark, sf):
     return sliding_counts(hashtag_events(spark, sf), "ts", "tag", f"{WINDOW_S} seconds", f"{SLIDE_S} seconds")
 
 
+@register("hashtag_top10_latest", f"""
+WITH w AS ({_SLIDING_SQL}),
+last AS (SELECT max(window_end) AS e FROM w)
+SELECT w.tag, w.window_start, w.window_end, w.count FROM w JOIN last ON w.window_end = last.e
+ORDER BY w.count DESC, w.tag LIMIT 10
+""")
+def hashtag_top10_latest(spark, sf):
+    """STR4/STR5: the ten most frequent tags of the latest 300 s window."""
+    counts = hashtag_windows(spark, sf).persist()
+    return top_per_window(counts, 10, "tag", "count")
+
+
+@register("events_hourly_windows", """
+SELECT event_id, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end
+FROM events
+""")
+def events_hourly_windows(spark, sf):
+    """STR7 ``window``: every event tagged with its 1-hour window, no aggregation."""
+    ev = T(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = assign_windows(ev, "ts", "1 hour")
+    return out.select("event_id", F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window.end").cast("timestamp_ntz").alias("window_end"))
+
+
 def _event_stream(spark, sf):
     ev = read_table_stream(spark, sf, "events", EVENTS_SCHEMA)
     return ev.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", WATERMARK)
