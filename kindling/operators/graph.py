@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS
+from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, pin_small
 
 INF = float("inf")
 
@@ -50,7 +50,7 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def top_degrees(edges: DataFrame, vertices: DataFrame, k: int = 10, default_attr: str = "Nobody") -> DataFrame:
     """GR2: the ``k`` most connected vertices with their names (ties by id)."""
-    top = degrees(edges).orderBy(F.desc("degree"), F.asc("id")).limit(k)
+    top = pin_small(degrees(edges).orderBy(F.desc("degree"), F.asc("id")).limit(k))
     # JOIN3 against a top-k: stream the names once against a broadcast of k ids.
     names = vertices.join(F.broadcast(top.select("id")), "id").groupBy("id").agg(F.max("name").alias("name"))
     return top.join(names, "id", "left").select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, bounded_count
+from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, broadcast_if_small, pin_small
 
 
 def dedup_dimension(dim: DataFrame, key: str, value: str) -> DataFrame:
@@ -47,6 +47,7 @@ def lookup_names(
     how = "inner" if on_missing == "drop" else "left"
 
     if df_max_rows is not None:
+        df = pin_small(df)
         keys = df.select(key).distinct()
         hits = d.join(F.broadcast(keys), key, "inner")
         out = df.join(hits, key, how)

@@ -46,3 +46,10 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def pin_small(df: DataFrame) -> DataFrame:
+    """Materialise a small, bounded frame (a top-k) once with a reliable
+    checkpoint, so using it twice - as the result and as the broadcast key set
+    that prunes a dimension - does not run its whole upstream twice."""
+    return df.checkpoint()

@@ -8,6 +8,7 @@ from kindling.operators.graph import (
     adjacency_degrees, bfs, build_graph, degrees_of_separation, distances_with_unreached,
     pregel, top_degrees,
 )
+from kindling.operators.sizing import pin_small
 from kindling.plans.common import T
 from kindling.plans.fixtures import graph_edges, graph_root, graph_vertices
 from kindling.sources.text import adjacency_line_degrees
@@ -98,7 +99,7 @@ def adjacency_top(spark, sf):
                     F.concat_ws("  ", F.collect_list(F.col("l_partkey").cast("string")))).alias("line")
     )
     deg = adjacency_degrees(adjacency_line_degrees(lines, "line"))
-    top = deg.orderBy(F.desc("degree"), F.asc("id")).limit(10)
+    top = pin_small(deg.orderBy(F.desc("degree"), F.asc("id")).limit(10))
     sup = T(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     names = sup.join(F.broadcast(top.select("id")), "id")
     return top.join(names, "id", "left").select("id", "name", "degree")
@@ -129,7 +130,7 @@ ORDER BY v.id LIMIT 100
 """)
 def bfs_first_n(spark, sf):
     """SRT7: distances joined with names, first 100 by id (made deterministic)."""
-    hops = _hops(spark, sf)[1].orderBy("id").limit(100)
+    hops = pin_small(_hops(spark, sf)[1].orderBy("id").limit(100))
     names = graph_vertices(spark, sf).join(F.broadcast(hops.select("id")), "id").groupBy("id").agg(
         F.max("name").alias("name"))
     return hops.join(names, "id", "left").select(
