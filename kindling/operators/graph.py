@@ -133,12 +133,14 @@ def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("id")).checkpoint()
     frontier_rows, levels, seen_rows = 1, [frontier], 1
     degree, hits = None, 0
+    # The target's in-edges, extracted once (one scan) instead of once per round.
+    into_target = e.filter(F.col("dst") == F.lit(target)).select(F.col("src").alias("id")).checkpoint()
     for level in range(1, max_iter + 1):
         if frontier_rows == 0:
             break
         f = _maybe_broadcast(frontier, frontier_rows, broadcast_rows)
-        # Frontier->target edges of this round: one filtered join, counted.
-        hits = e.filter(F.col("dst") == F.lit(target)).join(f, e.src == f.id).count()
+        # Frontier->target edges of this round.
+        hits = into_target.join(f, "id").count()
         if hits > 0:
             degree = level
             break
