@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindling.functions.rounding import round_half_up
 from kindling.functions.scalar import int_div
 
 
@@ -74,7 +75,7 @@ def reduce_all(df: DataFrame, *aggs: Column) -> DataFrame:
 
 def basic_statistics(df: DataFrame, x: str, y: str, digits: int = 4) -> DataFrame:
     """AGG18: count, means, population variances and correlation, one row."""
-    r = lambda c: F.round(c, digits)
+    r = lambda c: round_half_up(c, digits)
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         r(F.avg(x)).alias(f"avg_{x}"),

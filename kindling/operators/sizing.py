@@ -32,11 +32,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if bounded_count(df, max_rows) is not None else df
 
 
-def shuffle_partitions_for(rows: int, rows_per_partition: int = 2_000_000, floor: int = 8, cap: int = 20_000) -> int:
-    """A shuffle-partition count sized so each task holds about ``rows_per_partition`` rows."""
-    return max(floor, min(cap, -(-rows // rows_per_partition)))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan yields fewer partitions
     than there are cores (e.g. one unsplittable row group feeding CPU-heavy
