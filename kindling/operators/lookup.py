@@ -50,7 +50,8 @@ def lookup_names(
         df = pin_small(df)
         keys = df.select(key).distinct()
         hits = d.join(F.broadcast(keys), key, "inner")
-        out = df.join(hits, key, how)
+        # One dimension row per key (the contract above): at most df_max_rows hits.
+        out = df.join(F.broadcast(hits), key, how)
     elif bounded_count(d, broadcast_rows) is not None:
         out = df.join(F.broadcast(d), key, how)
     else:

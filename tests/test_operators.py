@@ -82,3 +82,37 @@ def test_top_k_ties_broken_by_key(spark):
     df = spark.createDataFrame([(3, 5), (1, 5), (2, 5), (4, 1)], "k INT, c INT")
     assert [r["k"] for r in top_k(df, "c", 2, tiebreak=["k"]).collect()] == [1, 2]
     assert "TakeOrderedAndProject" in explain_text(top_k(df, "c", 2, tiebreak=["k"]))
+
+
+def test_broadcast_only_under_proven_bound(spark):
+    from kindling.operators.sizing import bounded_count, broadcast_if_small
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(5).withColumnRenamed("id", "k")
+        assert bounded_count(small, 10) == 5 and bounded_count(small, 4) is None
+        hinted = explain_text(big.join(broadcast_if_small(small, 10), "k"))
+        assert "BroadcastHashJoin" in hinted
+        plain = explain_text(big.join(broadcast_if_small(small, 4), "k"))
+        assert "BroadcastHashJoin" not in plain and "SortMergeJoin" in plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_top_k_lookup_streams_dimension_against_broadcast_keys(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(100).select((F.col("id") % 7).alias("k"))
+        top = top_k(agg.count_by_key(facts, "k"), "count", 3, tiebreak=["k"])
+        dim = spark.range(10000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+        out = lookup_names(top, dim, "k", df_max_rows=3)
+        plan = explain_text(out)
+        # the dimension is never hash-shuffled: it is probed against broadcast top-k keys
+        assert "BroadcastHashJoin" in plan
+        assert "SortMergeJoin" not in plan
+        assert sorted(r["k"] for r in out.collect()) == [0, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
