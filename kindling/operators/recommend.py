@@ -22,14 +22,17 @@ def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int =
     return als.fit(data)
 
 
-def recommend(model, k: int = 10, users: DataFrame | None = None) -> DataFrame:
-    """REC2: top-``k`` items per user as flat rows ``(user, item, score, rank)``;
-    already-rated items are included, as in the reference. ``users`` restricts
-    the scoring to a user subset (``recommendForUserSubset``)."""
-    if users is not None:
-        recs = model.recommendForUserSubset(users.select(F.col(users.columns[0]).cast("int").alias("user")), k)
-    else:
-        recs = model.recommendForAllUsers(k)
+def recommend(model, users: DataFrame, k: int = 10) -> DataFrame:
+    """REC2: top-``k`` items for each user in ``users`` (its first column) as
+    flat rows ``(user, item, score, rank)``; already-rated items are included,
+    as in the reference.
+
+    Scoring a user costs one pass over the item factors, so the work is
+    (users asked for) x (items). The caller passes the users it wants
+    (the reference asks for one); there is deliberately no all-users mode,
+    which would score every user against every item.
+    """
+    recs = model.recommendForUserSubset(users.select(F.col(users.columns[0]).cast("int").alias("user")), k)
     return recs.select("user", F.posexplode("recommendations").alias("pos", "rec")).select(
         "user", F.col("rec.item").alias("item"), F.col("rec.rating").cast("double").alias("score"),
         (F.col("pos") + 1).alias("rank"),

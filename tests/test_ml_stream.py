@@ -32,7 +32,7 @@ def test_als_top10_per_user(spark):
     rnd = random.Random(2)
     data = [(u, i, float(rnd.randint(1, 5))) for u in range(30) for i in rnd.sample(range(40), 12)]
     r = spark.createDataFrame(data, "user BIGINT, item BIGINT, rating DOUBLE")
-    recs = recommend(fit_als(r, max_iter=5), 10).collect()
+    recs = recommend(fit_als(r, max_iter=5), r.select("user").distinct(), 10).collect()
     by_user = {}
     for x in recs:
         by_user.setdefault(x["user"], []).append((x["rank"], x["item"], x["score"]))

@@ -41,3 +41,12 @@ def test_query_matches_oracle(spark, duck, name):
     ocols, orows = rows_of(duck.execute(ORACLE[name]).fetchdf())
     assert scols == ocols
     assert srows == orows
+
+
+def test_als_recommend_properties(spark):
+    rows = QUERIES["als_recommend"](spark, SF).collect()
+    assert {r["user"] for r in rows} == {1}
+    rows.sort(key=lambda r: r["rank"])
+    assert [r["rank"] for r in rows] == list(range(1, 11))
+    assert len({r["item"] for r in rows}) == 10
+    assert all(a["score"] >= b["score"] for a, b in zip(rows, rows[1:]))
