@@ -36,7 +36,9 @@ def _salts(r: DataFrame, user: str, heavy_rows: int, broadcast_rows: int) -> Dat
         .filter(F.col("_n") > heavy_rows)
         .select(user, F.ceil(F.col("_n") / F.lit(heavy_rows)).cast("int").alias("_s"))
     )
-    return broadcast_if_small(heavy, broadcast_rows)
+    # Both join sides and the size check read it: one aggregation pass over R,
+    # written once to the checkpoint folder (at most one row per user).
+    return broadcast_if_small(heavy.checkpoint(), broadcast_rows)
 
 
 def pair_stats(

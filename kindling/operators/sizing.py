@@ -48,3 +48,14 @@ def pin_small(df: DataFrame) -> DataFrame:
     checkpoint, so using it twice - as the result and as the broadcast key set
     that prunes a dimension - does not run its whole upstream twice."""
     return df.checkpoint()
+
+
+def small_frame(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A DataFrame of a few driver-side rows (a result row, one offset per
+    partition) planned as a ``LocalTableScan``: built through Arrow, so no
+    Python worker is started to unpickle the rows."""
+    import pandas as pd
+
+    names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
+    pdf = pd.DataFrame.from_records(rows, columns=names) if rows else pd.DataFrame({n: [] for n in names})
+    return spark.createDataFrame(pdf, schema)

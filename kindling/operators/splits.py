@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, small_frame
 
 
 def hash_bucket(key, buckets: int = 100) -> Column:
@@ -68,7 +68,7 @@ def _numbered(df: DataFrame, order: list[str], out: str, num_partitions: int | N
     for r in rows:
         offs.append((int(r["_pid"]), acc, int(r["_m0"])))
         acc += int(r["_c"])
-    off_df = spark.createDataFrame(offs or [(0, 0, 0)], "_pid INT, _off BIGINT, _m0 BIGINT")
+    off_df = small_frame(spark, offs or [(0, 0, 0)], "_pid INT, _off BIGINT, _m0 BIGINT")
     numbered = ranged.join(F.broadcast(off_df), "_pid").select(
         *df.columns, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("bigint").alias(out)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindling.functions.rounding import round_half_up
 from kindling.operators.recommend import fit_als, recommend, user_ratings
 from kindling.operators.regression import fit_elastic_net, predict, sgd_least_squares, text_classifier, zscore
+from kindling.operators.sizing import small_frame
 from kindling.operators.splits import hash_bucket
 from kindling.plans.common import R4, T
 from kindling.plans.fixtures import ratings
@@ -68,7 +69,7 @@ def regression_elastic_net(spark, sf):
     train, _ = _train_test(spark, sf)
     model = fit_elastic_net(train, ["x"], "y", REG, ALPHA)
     w, b = float(model.coefficients[0]), float(model.intercept)
-    return spark.createDataFrame([(w, b)], "weight DOUBLE, intercept DOUBLE").select(
+    return small_frame(spark, [(w, b)], "weight DOUBLE, intercept DOUBLE").select(
         round_half_up("weight").alias("weight"), round_half_up("intercept").alias("intercept"))
 
 
@@ -100,7 +101,7 @@ SELECT {R4('w')} AS weight, CAST(t AS INTEGER) AS steps FROM it ORDER BY t DESC
 def regression_sgd(spark, sf):
     xy = _doc_xy(spark, sf)
     w, steps = sgd_least_squares(xy, "x", "y", SGD_ITER, 1.0, SGD_REG, SGD_TOL)
-    return spark.createDataFrame([(w, steps)], "weight DOUBLE, steps INT").select(
+    return small_frame(spark, [(w, steps)], "weight DOUBLE, steps INT").select(
         round_half_up("weight").alias("weight"), "steps")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindling.operators.sizing import small_frame
+
 
 def describe_schema(df: DataFrame) -> DataFrame:
     """SNK4: the schema as rows ``(position, column, data_type, nullable)``.
@@ -16,8 +18,8 @@ def describe_schema(df: DataFrame) -> DataFrame:
         for i, f in enumerate(df.schema.fields)
     ]
     spark = df.sparkSession
-    return spark.createDataFrame(
-        rows, "position INT, column_name STRING, data_type STRING, nullable BOOLEAN"
+    return small_frame(
+        spark, rows, "position INT, column_name STRING, data_type STRING, nullable BOOLEAN"
     )
 
 

@@ -49,7 +49,7 @@ def read_output(spark: SparkSession, out: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(full).parquet(out)
     except AnalysisException:  # no batch ran: the folder was never created
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame(spark.sparkContext.emptyRDD(), full)  # no partitions, no tasks
 
 
 def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
