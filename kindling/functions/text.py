@@ -41,15 +41,35 @@ def strip_trailing(c, pattern: str) -> Column:
     return F.regexp_replace(c, f"(?:{pattern})++\\z", "")
 
 
+# A value made only of separators has no character of this class (fixed patterns).
+_NON_SEPARATOR = {SPACE: "[^ ]", NON_WORD: r"\w", WHITESPACE: r"\S", LINE_BREAK: r"[^\r\n]"}
+
+
+def only_separators(c, pattern: str) -> Column:
+    """True when the non-empty ``c`` is one run of separators (JVM split gives no token).
+
+    For the fixed patterns this is an unanchored search for one
+    non-separator character, which stops at the first hit; other patterns
+    strip the trailing run and compare with ``''``.
+    """
+    c = _col(c)
+    other = _NON_SEPARATOR.get(pattern)
+    if other is not None:
+        return ~c.rlike(other)
+    return strip_trailing(c, pattern) == ""
+
+
 def java_split(c, pattern: str) -> Column:
-    """Split ``c`` on regex ``pattern`` exactly like JVM ``String.split(pattern)``."""
+    """Split ``c`` on regex ``pattern`` exactly like JVM ``String.split(pattern)``.
+
+    The trailing-run strip appears once, in the branch that splits, so it is
+    evaluated once per row."""
     c = _col(c)
-    stripped = strip_trailing(c, pattern)
     return (
         F.when(c.isNull(), F.lit(None))
         .when(c == "", F.array(F.lit("")))
-        .when(stripped == "", F.array().cast("array<string>"))
-        .otherwise(F.split(stripped, pattern, -1))
+        .when(only_separators(c, pattern), F.array().cast("array<string>"))
+        .otherwise(F.split(strip_trailing(c, pattern), pattern, -1))
     )
 
 

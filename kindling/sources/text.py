@@ -18,13 +18,23 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path, "word").filter(F.col("word") != "").distinct()
 
 
+def _tokens(lines: DataFrame, column: str) -> DataFrame:
+    """``t``: the ``\\s+`` tokens of each trimmed line, computed once per line.
+
+    The split is the argument of a generator, so filters on ``t`` stay above
+    it; as a projected alias Catalyst would copy the split into every
+    pushed-down filter and evaluate it once per reference.
+    """
+    tokens = java_split(F.trim(F.col(column)), WHITESPACE)
+    return lines.select(F.inline(F.array(F.struct(tokens.alias("t")))))
+
+
 def adjacency_to_edges(lines: DataFrame, column: str = "line") -> DataFrame:
     """SRC9: ``id n1 n2 ...`` lines (an id may span lines) -> ``src, dst`` edges.
 
     Split on ``\\s+`` (trap T11); malformed numbers raise, like the reference.
     """
-    tokens = java_split(F.trim(F.col(column)), WHITESPACE)
-    parsed = lines.select(tokens.alias("t")).filter(F.size("t") >= 1).filter(F.col("t")[0] != "")
+    parsed = _tokens(lines, column).filter(F.size("t") >= 1).filter(F.col("t")[0] != "")
     return parsed.select(
         F.col("t")[0].cast("bigint").alias("src"),
         F.explode(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))).alias("dst"),
@@ -33,8 +43,7 @@ def adjacency_to_edges(lines: DataFrame, column: str = "line") -> DataFrame:
 
 def adjacency_line_degrees(lines: DataFrame, column: str = "line") -> DataFrame:
     """Per line: ``id`` and its neighbour count (``size - 1``, FN8)."""
-    tokens = java_split(F.trim(F.col(column)), WHITESPACE)
-    parsed = lines.select(tokens.alias("t")).filter(F.size("t") >= 1).filter(F.col("t")[0] != "")
+    parsed = _tokens(lines, column).filter(F.size("t") >= 1).filter(F.col("t")[0] != "")
     return parsed.select(
         F.col("t")[0].cast("bigint").alias("id"),
         (F.size("t") - 1).cast("bigint").alias("n"),

@@ -41,3 +41,30 @@ def test_split_stays_in_codegen(spark):
     df = spark.range(3).select(F.concat(F.lit(" a b "), F.col("id").cast("string")).alias("s"))
     plan = explain_text(df.select(java_split("s", SPACE).alias("t")))
     assert "Project [codegen id" in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _jvm_split(s, pattern):
+    """JVM ``String.split(pattern)``: no match keeps ``s``; trailing empties are dropped."""
+    import re
+
+    if s == "":
+        return [""]
+    parts = re.split(pattern, s, flags=re.ASCII)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_random_strings(spark):
+    import random
+
+    from kindling.functions.text import LINE_BREAK
+
+    rnd = random.Random(7)
+    alphabet = [" ", " ", "\t", "a", "b", "-", ",", "\r", "\n", "É", "_", "1"]
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(400)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, s STRING")
+    for pat in (SPACE, NON_WORD, WHITESPACE, LINE_BREAK):
+        got = {r["i"]: r["t"] for r in df.select("i", java_split("s", pat).alias("t")).collect()}
+        for i, v in enumerate(values):
+            assert got[i] == _jvm_split(v, pat), (repr(v), pat, got[i])
