@@ -76,11 +76,49 @@ def anti_join(df: DataFrame, other: DataFrame, key: str, other_key: str | None =
     return df.join(broadcast_if_small(o, broadcast_rows), key, "left_anti")
 
 
-def outer_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """JOIN9: ``leftOuterJoin`` / ``rightOuterJoin`` / full outer on one key."""
+def outer_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """JOIN9: ``leftOuterJoin`` / ``rightOuterJoin`` / full outer on one key.
+
+    Columns as ``left.join(right, key, how)``: the key, then the other left
+    columns, then the other right columns.
+
+    Skew: AQE splits a hot key's partition only on a side whose rows may be
+    duplicated across tasks - either side of an inner join, but only the
+    preserved side of an outer join. So a left join whose *right* side holds
+    a hot key would run that key in one task. The outer join is written as
+    the inner join (splittable) plus the preserved side's rows whose key the
+    other side lacks: an anti-join against the other side's distinct keys,
+    which a partial aggregate collapses however hot a key is. When the
+    non-preserved side is proven small it is broadcast instead (one pass, no
+    shuffle of the preserved side).
+    """
     if how not in ("left", "right", "full", "inner"):
         raise ValueError(how)
-    return left.join(right, key, how)
+    if how == "left" and bounded_count(right, broadcast_rows) is not None:
+        return left.join(F.broadcast(right), key, "left")
+    if how == "right" and bounded_count(left, broadcast_rows) is not None:
+        return F.broadcast(left).join(right, key, "right")
+    matched = left.join(right, key, "inner")
+    if how == "inner":
+        return matched
+    lcols = [c for c in left.columns if c != key]
+    rcols = [c for c in right.columns if c != key]
+
+    def nulls(df: DataFrame, cols: list[str]) -> list:
+        return [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols]
+
+    parts = [matched.select(key, *lcols, *rcols)]
+    if how in ("left", "full"):
+        only_left = left.join(right.select(key).distinct(), key, "left_anti")
+        parts.append(only_left.select(key, *lcols, *nulls(right, rcols)))
+    if how in ("right", "full"):
+        only_right = right.join(left.select(key).distinct(), key, "left_anti")
+        parts.append(only_right.select(key, *nulls(left, lcols), *rcols))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def cogroup_sizes(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -116,3 +116,17 @@ def test_top_k_lookup_streams_dimension_against_broadcast_keys(spark):
         assert sorted(r["k"] for r in out.collect()) == [0, 1, 2]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_outer_join_rewrite_equals_plain_join(spark):
+    from kindling.operators.lookup import outer_join
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (2, "b2")], "k INT, lv STRING")
+    # Key 2 is hot on the right; key 4 has no left row; a null key never matches.
+    right = spark.createDataFrame([(2, 10.0)] * 6 + [(1, 1.0), (4, 4.0), (None, 0.0)], "k INT, rv DOUBLE")
+    for how in ("left", "right", "full", "inner"):
+        for bound in (0, 1000):  # 0: the inner + anti-join form; 1000: broadcast when allowed
+            got = outer_join(left, right, "k", how, broadcast_rows=bound)
+            want = left.join(right, "k", how)
+            assert got.columns == want.columns, (how, bound)
+            assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), (how, bound)
