@@ -14,7 +14,7 @@ removed with a partial aggregate before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, pin_small, small_frame
@@ -65,20 +65,14 @@ def adjacency_degrees(line_degrees: DataFrame) -> DataFrame:
 
 def checkpoint_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """Reliable checkpoint of ``df`` and the aggregate ``metrics`` of the written
-    rows.
+    rows (one small aggregate over the checkpoint files, not a recomputation).
 
-    The metrics are observed on the checkpoint's own job (``Observation``: the
-    aggregate sits at the top of the result stage, so each task counts once),
-    so a round costs no extra job. If no metrics arrive, they are computed by
-    one small aggregate over the checkpoint files.
+    Not ``Observation``: in Spark 4.1 its first use gives the session a
+    non-serializable field, and an ML model that holds the session (a
+    logistic-regression training summary) then fails to ship to executors.
     """
-    names = list(metrics) or ["rows"]
+    out = df.checkpoint()
     aliased = [m.alias(k) for k, m in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
-    obs = Observation()
-    out = df.observe(obs, *aliased).checkpoint()
-    got = obs.get
-    if got is not None and all(k in got for k in names):
-        return out, {k: got[k] for k in names}
     return out, out.agg(*aliased).first().asDict()
 
 

@@ -88,3 +88,16 @@ def test_chunked_sliding_window_equals_brute_force(spark):
         end = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=p + 1)
         want[(t, end)] = sum(counts.get((t, q), 0) for q in range(p - 6, p + 1))
     assert got == want
+
+
+def test_graph_loop_then_classifier_in_one_session(spark):
+    """Loop operators must leave the session usable by ML models that hold it."""
+    from kindling.operators.graph import bfs
+    from kindling.operators.regression import text_classifier
+
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "src BIGINT, dst BIGINT")
+    assert bfs(edges, 1, 3).count() == 3
+    docs = spark.createDataFrame([(f"good text {i}", 1.0) for i in range(8)] + [(f"bad words {i}", 0.0) for i in range(8)],
+                                 "text STRING, label DOUBLE")
+    model = text_classifier(docs, "text", "label", max_iter=5)
+    assert len(model.transform(docs).select("prediction").collect()) == 16
