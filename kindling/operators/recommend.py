@@ -10,15 +10,20 @@ from kindling.operators.lookup import lookup_names
 
 
 def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int = 8, max_iter: int = 20,
-            reg: float = 0.01, seed: int = 42):
+            reg: float = 0.01, seed: int = 42, num_blocks: int | None = None):
     """REC1: explicit ALS (rank 8, 20 iterations, lambda 0.01).
 
     ALS needs int ids; the cast raises (ANSI) instead of wrapping on overflow.
+    Users and items are split into ``num_blocks`` blocks each (default: the
+    cluster's parallelism, so every ALS stage has a task per core; the
+    library default of 10 would run a 1000-executor job on 10 tasks).
     """
     data = r.select(F.col(user).cast("int").alias("user"), F.col(item).cast("int").alias("item"),
                     F.col(rating).cast("float").alias("rating"))
+    blocks = num_blocks or max(r.sparkSession.sparkContext.defaultParallelism, 1)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",
-              ratingCol="rating", coldStartStrategy="drop", implicitPrefs=False)
+              ratingCol="rating", coldStartStrategy="drop", implicitPrefs=False,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(data)
 
 
