@@ -19,9 +19,14 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def bounded_count(df: DataFrame, max_rows: int) -> int | None:
     """The row count if it is at most ``max_rows``, else ``None``.
 
-    Reads at most ``max_rows + 1`` rows of ``df`` (a limit stops the scan).
+    A collected limit runs Spark's incremental take: one partition first,
+    then more only while fewer than ``max_rows + 1`` rows have been found.
+    Proving a large table large therefore reads about ``max_rows`` rows,
+    whereas ``limit(n).count()`` starts a task on every partition and each
+    reads up to ``n`` rows. Only a constant column comes back, at most
+    ``max_rows + 1`` values.
     """
-    n = df.limit(max_rows + 1).count()
+    n = len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect())
     return n if n <= max_rows else None
 
 

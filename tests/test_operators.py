@@ -130,3 +130,15 @@ def test_outer_join_rewrite_equals_plain_join(spark):
             want = left.join(right, "k", how)
             assert got.columns == want.columns, (how, bound)
             assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), (how, bound)
+
+
+def test_bounded_count_across_many_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from kindling.operators.sizing import bounded_count
+
+    df = spark.range(0, 1000, 1, 50)
+    assert bounded_count(df, 1000) == 1000 and bounded_count(df, 999) is None
+    sparse = df.filter(F.col("id") % 97 == 0)  # 11 rows spread over many partitions
+    assert bounded_count(sparse, 11) == 11 and bounded_count(sparse, 10) is None
+    assert bounded_count(df.filter("id < 0"), 0) == 0
