@@ -41,7 +41,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan yields fewer partitions
     than there are cores (e.g. one unsplittable row group feeding CPU-heavy
     per-row work). Large inputs already have more splits than cores and pass
-    through unchanged, so this never adds a shuffle at scale."""
+    through unchanged, so this never adds a shuffle at scale. Meant for a
+    scan: on a plan with shuffles, ``df.rdd`` would plan (under AQE, run) them."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

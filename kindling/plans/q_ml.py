@@ -36,7 +36,7 @@ def _doc_xy(spark, sf):
     """x = spaces in the text, y = its length, both z-scored over all documents."""
     d = T(spark, sf, "documents").select(
         "doc_id",
-        (F.length("text") - F.length(F.regexp_replace("text", " ", ""))).cast("double").alias("sp"),
+        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("sp"),
         F.col("n_chars").cast("double").alias("len"),
     )
     z = zscore(d, ["sp", "len"])
