@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -83,11 +84,20 @@ def sgd_least_squares(df: DataFrame, x: str, y: str, iterations: int = 100, step
 
 def text_classifier(train: DataFrame, text: str, label: str, num_features: int = 1 << 16,
                     max_iter: int = 50, reg: float = 0.01):
-    """ML1: tokenize -> hashed term frequencies -> IDF -> logistic regression."""
-    pipe = Pipeline(stages=[
-        Tokenizer(inputCol=text, outputCol="_tokens"),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg),
-    ])
-    return pipe.fit(train)
+    """ML1: tokenize -> hashed term frequencies -> IDF -> logistic regression.
+
+    The training texts are tokenized once: their term-frequency vectors are
+    persisted and feed both the IDF fit and the regression (a plain
+    ``Pipeline.fit`` would tokenize the corpus again for the second). The
+    result is the same ``PipelineModel`` a pipeline fit returns.
+    """
+    tok = Tokenizer(inputCol=text, outputCol="_tokens")
+    htf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    tf = htf.transform(tok.transform(train)).select("_tf", label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf = IDF(inputCol="_tf", outputCol="features").fit(tf)
+        lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg)
+        model = lr.fit(idf.transform(tf))
+    finally:
+        tf.unpersist()
+    return PipelineModel(stages=[tok, htf, idf, model])

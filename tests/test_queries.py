@@ -50,3 +50,16 @@ def test_als_recommend_properties(spark):
     assert [r["rank"] for r in rows] == list(range(1, 11))
     assert len({r["item"] for r in rows}) == 10
     assert all(a["score"] >= b["score"] for a, b in zip(rows, rows[1:]))
+
+
+def test_classify_documents_properties(spark):
+    from pyspark.sql import functions as F
+
+    from kindling.operators.splits import hash_bucket
+
+    rows = QUERIES["classify_documents"](spark, SF).collect()
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
+    lab = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    held = {r["doc_id"]: r["quality"] for r in d.join(lab, "doc_id").filter(hash_bucket("doc_id") >= 70).collect()}
+    assert len(rows) == len(held) and {r["doc_id"] for r in rows} == set(held)
+    assert all(r["prediction"] in (0, 1) and r["quality"] == held[r["doc_id"]] for r in rows)
