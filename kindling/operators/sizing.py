@@ -9,25 +9,40 @@ shuffled hash, with AQE skew-join splitting).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest side (rows) we hint for broadcast; well under the 8 GB broadcast cap.
 DEFAULT_BROADCAST_ROWS = 200_000
+# Largest side (bytes, as measured by ``row_bytes``) we hint for broadcast.
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """The row count if it is at most ``max_rows``, else ``None``.
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row: each field's text form in bytes plus 8."""
+    parts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(8) for c in df.columns]
+    total = F.lit(0)
+    for p in parts:
+        total = total + p
+    return total
+
+
+def bounded_count(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int | None:
+    """The row count if it is at most ``max_rows`` and the rows' ``row_bytes``
+    add up to at most ``max_bytes``, else ``None``.
 
     A collected limit runs Spark's incremental take: one partition first,
     then more only while fewer than ``max_rows + 1`` rows have been found.
     Proving a large table large therefore reads about ``max_rows`` rows,
     whereas ``limit(n).count()`` starts a task on every partition and each
-    reads up to ``n`` rows. Only a constant column comes back, at most
-    ``max_rows + 1`` values.
+    reads up to ``n`` rows. Only one size per row comes back, at most
+    ``max_rows + 1`` integers.
     """
-    n = len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect())
-    return n if n <= max_rows else None
+    sizes = df.select(row_bytes(df).alias("_b")).limit(max_rows + 1).collect()
+    n = len(sizes)
+    if n > max_rows or sum(r[0] for r in sizes) > max_bytes:
+        return None
+    return n
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

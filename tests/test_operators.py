@@ -142,3 +142,13 @@ def test_bounded_count_across_many_partitions(spark):
     sparse = df.filter(F.col("id") % 97 == 0)  # 11 rows spread over many partitions
     assert bounded_count(sparse, 11) == 11 and bounded_count(sparse, 10) is None
     assert bounded_count(df.filter("id < 0"), 0) == 0
+
+
+def test_bounded_count_checks_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from kindling.operators.sizing import bounded_count
+
+    wide = spark.range(4).select("id", F.repeat(F.lit("x"), 100_000).alias("s"))  # ~400 KB in all
+    assert bounded_count(wide, 10) == 4
+    assert bounded_count(wide, 10, max_bytes=300_000) is None
