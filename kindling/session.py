@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,8 @@ _DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_SHIPPED: set[str] = set()
+
 
 def get_session(
     master: str | None = None,
@@ -56,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Unset: tests and single-machine runs only. A cluster names its own.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="kindling-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -67,12 +72,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/kindling-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open local files."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks
+    can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="kindling-code-"), "kindling.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("kindling", os.path.relpath(full, here)))
+    sc.addPyFile(path)
