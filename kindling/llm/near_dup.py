@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kindling.llm.common import mix, per_batch, shingles, table, utf8, written
+from kindling.llm.common import binary_array, mix, per_batch, shingles, table, utf8, written
 from kindling.llm.components import connected_components
 
 #: Coordinates of a signature, and how many two signatures must share for their sets to be compared.
@@ -18,8 +18,8 @@ from kindling.llm.components import connected_components
 COORDINATES, MATCHES = 128, 80
 #: By the prefix rule, sets with that many shared coordinates share one among the first PREFIX of either, in any common order.
 PREFIX = COORDINATES - MATCHES + 1
-#: Counters of how often a coordinate-value pair occurs, and the tasks that count.
-COUNTERS, COUNTING_TASKS = 1 << 20, 64
+#: Counters of how often a coordinate-value pair occurs, how many make one row, and the tasks that count at most.
+COUNTERS, COUNTERS_A_ROW, COUNTING_TASKS = 1 << 18, 1 << 12, 64
 _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
@@ -67,9 +67,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
     for b in batches:
         counts += np.bincount((_tokens(_signatures(b.column(0))) & _U64(COUNTERS - 1)).astype(np.int64).ravel(), minlength=COUNTERS)
-    at = np.flatnonzero(counts)
-    if len(at):
-        yield pa.record_batch([pa.array(at), pa.array(counts[at])], ["counter", "n"])
+    parts = counts.reshape(-1, COUNTERS_A_ROW)
+    yield pa.record_batch([pa.array(np.arange(len(parts))), binary_array([p.tobytes() for p in parts])], ["part", "counts"])
+
+
+def _sum_counts(part: pa.Table) -> pa.Table:
+    """Adds up the rows of one part: one from each of ``COUNTING_TASKS`` tasks at most."""
+    counts = sum(np.frombuffer(x.as_py(), np.int64) for x in part.column("counts"))
+    return pa.table([part.column("part")[:1], binary_array([counts.tobytes()])], ["part", "counts"])
 
 
 def _postings(counts) -> object:
@@ -186,9 +191,9 @@ class _Corpus:
     def postings(self) -> DataFrame:
         """``token``, ``node``, ``size``: each class under the rarest coordinate-value pairs of its signature, where two classes or more meet."""
         spread = self.classes.select("signature").coalesce(COUNTING_TASKS)
-        counted = spread.mapInArrow(_count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-        counts = np.zeros(COUNTERS, np.int64)
-        counts[counted["counter"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+        kind = "part long, counts binary"
+        counted = spread.mapInArrow(_count, kind).groupBy("part").applyInArrow(_sum_counts, kind).orderBy("part").collect()
+        counts = np.frombuffer(b"".join(r["counts"] for r in counted), np.int64) if counted else np.zeros(COUNTERS, np.int64)
         counts = self.spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))  # COUNTERS numbers
         found = self.classes.select("node", "size", "signature").mapInArrow(_postings(counts), "token long, node long, size long")
         met = found.distinct().withColumn("many", F.count("*").over(Window.partitionBy("token")))
