@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kindling.llm import line_dedup as lines
 from kindling.llm import near_dup, packing
@@ -32,8 +33,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that a document of smaller id holds."""
-    return lines.drop_lines(spark, docs).select(*docs.columns)
+    """All documents, without the lines that a document of smaller id holds; ``n_chars`` is counted again."""
+    shorter = lines.drop_lines(spark, docs).select(*docs.columns)
+    return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else shorter
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
