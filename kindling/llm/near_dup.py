@@ -24,8 +24,8 @@ _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
 _NO_ID = (1 << 63) - 1
-#: About how many shingles the members of a block have.
-BLOCK_SHINGLES = 1_000_000
+#: About how many members, and members of how many shingles, are held in memory to compare others with.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 1_000_000
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -92,18 +92,17 @@ def _postings(counts) -> object:
 
 
 class _Block:
-    """Members of one group that others are held against: node, component and payload of each."""
+    """Members of one group that others are held against: node, component, tag and payload of each."""
 
     def __init__(self):
-        self.nodes, self.components, self.payloads = [], [], []
+        self.rows, self.payloads = [], []
 
-    def add(self, node: int, component: int, payload) -> None:
-        self.nodes.append(node)
-        self.components.append(component)
+    def add(self, row: tuple[int, int, int], payload) -> None:
+        self.rows.append(row)
         self.payloads.append(payload)
 
     def ready(self) -> None:
-        self.component = np.array(self.components)
+        self.node, self.component, self.tag = np.array(self.rows).T
 
 
 class _BySignature(_Block):
@@ -142,28 +141,29 @@ class _BySet(_Block):
 
 
 def _meet(new_block):
-    """Streams rows (group, block, salt, kind, node, component, payload), members
-    before those held against them: links to other components, one to each."""
+    """Streams rows (group, block, salt, kind, node, component, tag, payload),
+    members before those held against them: pairs of different components that
+    hit, for each ``b`` one of each tag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, block, ready = None, None, False
-        for b in batches:
+        for batch in batches:
             out = []
-            payloads = b.column(6).cast(pa.binary()).to_pylist()
-            for *key, kind, node, component, payload in zip(*(b.column(i).to_pylist() for i in range(6)), payloads, strict=True):
+            payloads = batch.column(7).cast(pa.binary()).to_pylist()
+            for *key, kind, node, component, tag, payload in zip(*(batch.column(i).to_pylist() for i in range(7)), payloads, strict=True):
                 if key != now:
                     now, block, ready = key, new_block(), False
                 if not kind:
-                    block.add(node, component, payload)
+                    block.add((node, component, tag), payload)
                     continue
                 if not ready:
                     block.ready()
                     ready = True
                 at = np.flatnonzero(block.hits(payload) & (block.component != component))
-                for other in at[np.unique(block.component[at], return_index=True)[1]]:
-                    out.append((*key[:2], block.nodes[other], node))
+                for other in at[np.unique(block.tag[at], return_index=True)[1]]:
+                    out.append((key[0], block.tag[other], block.node[other], node))
             columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["group", "block", "a", "b"])
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["group", "tag", "a", "b"])
 
     return run
 
@@ -208,18 +208,19 @@ class _Corpus:
     def signatures(self) -> DataFrame:
         return self.classes.select("node", F.col("signature").alias("payload"))
 
-    def met(self, members: DataFrame, others: DataFrame, payloads: DataFrame, new_block) -> DataFrame:
-        """Holds ``others`` against ``members`` of the same ``group`` and ``block``
-        (both: ``group``, ``block``, ``node``, ``component``), by what ``payloads``
-        has of their nodes. A block that very many are held against is copied
-        for every 256 of them."""
-        many = others.groupBy("group", "block").agg(F.ceil(F.count("*") / 256).alias("parts"))
-        salted = others.join(many, ["group", "block"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("kind", F.lit(1))
+    def met(self, members: DataFrame, others: DataFrame, payloads: DataFrame, new_block, copy_for: int) -> DataFrame:
+        """Holds ``others`` (``group``, ``block``, ``node``, ``component``) against
+        ``members`` (the same, and ``tag``) of their group and block, by what
+        ``payloads`` has of their nodes. A block is copied for every ``copy_for``
+        that are held against it."""
+        many = others.groupBy("group", "block").agg(F.ceil(F.count("*") / copy_for).alias("parts"))
+        dealt = others.join(many, ["group", "block"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")))
+        dealt = dealt.withColumn("kind", F.lit(1)).withColumn("tag", F.lit(0).cast("long"))
         held = members.join(many, ["group", "block"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("kind", F.lit(0))
-        columns = ["group", "block", "salt", "kind", "node", "component"]
-        rows = held.select(columns).unionByName(salted.select(columns)).join(payloads, "node").select(*columns, "payload")
+        columns = ["group", "block", "salt", "kind", "node", "component", "tag"]
+        rows = held.select(columns).unionByName(dealt.select(columns)).join(payloads, "node").select(*columns, "payload")
         rows = rows.repartition("group", "block", "salt").sortWithinPartitions("group", "block", "salt", "kind")
-        return rows.mapInArrow(_meet(new_block), "group long, block long, a long, b long")
+        return rows.mapInArrow(_meet(new_block), "group long, tag long, a long, b long")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
@@ -257,11 +258,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     group = star.groupBy("node").agg(F.max(F.struct("count", F.negate("group").alias("group"))).alias("best"))
     group = written(spark, group.select("node", F.negate("best.group").alias("group")), "groups")
     others = group.select("group", one.alias("block"), "node", F.col("node").alias("component"))
-    alone = group.select("group").distinct().select("group", one.alias("block"), F.col("group").alias("node"), F.col("group").alias("component"))
-    like = corpus.met(alone, others, signatures, _BySignature).select("group", "block", F.col("b").alias("node"), F.col("b").alias("component"))
+    alone = group.select("group").distinct().select("group", one.alias("block"), F.col("group").alias("node"), F.col("group").alias("component"), one.alias("tag"))
+    like = corpus.met(alone, others, signatures, _BySignature, 2048).select("group", one.alias("block"), F.col("b").alias("node"), F.col("b").alias("component"))
     like = written(spark, like, "like-heads")
     texts = corpus.texts(like.select("node").unionByName(like.select(F.col("group").alias("node"))))
-    first = written(spark, corpus.met(alone, like, texts, by_set).select("a", "b"), "first-links")
+    first = written(spark, corpus.met(alone, like, texts, by_set, 512).select("a", "b"), "first-links")
     known = connected_components(spark, first)
 
     # What is left: lists in which different components meet. A class is held against the groups there that have a greater component.
@@ -277,16 +278,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     tries = mixed.select("token", "node", "size", "rank").join(there, "token").where((F.col("rank") < F.col("greatest")) & fits)
     tries = written(spark, tries.select("group", "node", F.col("rank.component").alias("component")).distinct(), "tries")
 
+    # Signatures are compared in blocks of many members; they say against which smaller blocks of sets a class must be held.
     members = mixed.select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
-    blocks = members.groupBy("group").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"))
-    members = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("group", "block", "node", "component")
+    split = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("parts"))
+    members = members.join(split, "group").select("group", "node", "component", *(F.pmod(F.xxhash64("node"), F.col(n)).alias(c) for c, n in (("block", "blocks"), ("part", "parts"))))
     members = written(spark, members, "members")
-    tries = tries.join(blocks, "group").withColumn("block", F.explode(F.sequence(one, F.col("blocks") - 1)))
-    like = corpus.met(members, tries.select("group", "block", "node", "component"), signatures, _BySignature).select("group", "block", F.col("b").alias("node")).distinct()
-    like = written(spark, like.join(tries.select("group", "node", "component").distinct(), ["group", "node"]), "matching")
+    spread = tries.join(split, "group").withColumn("block", F.explode(F.sequence(one, F.col("blocks") - 1))).select("group", "block", "node", "component")
+    like = corpus.met(members.withColumnRenamed("part", "tag"), spread, signatures, _BySignature, 2048)
+    like = like.select("group", F.col("tag").alias("block"), F.col("b").alias("node")).distinct().join(tries, ["group", "node"])
+    like = written(spark, like, "matching")
+    members = members.select("group", F.col("part").alias("block"), "node", "component", F.col("component").alias("tag"))
     members = written(spark, members.join(like.select("group", "block").distinct(), ["group", "block"]), "matching-members")
     texts = corpus.texts(like.select("node").unionByName(members.select("node")))
-    found = corpus.met(members, like, texts, by_set)
+    found = corpus.met(members, like, texts, by_set, 512)
     links = first.unionByName(found.select("a", "b"))
     found = connected_components(spark, links)
 
