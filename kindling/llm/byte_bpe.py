@@ -20,7 +20,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: What public_tokenizers.PATTERN matches in ASCII texts.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: Encoded pieces that a worker remembers; their memory is bounded, what they encode to is not changed.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
+REMEMBERED, REMEMBERED_LENGTH, TOGETHER = 800_000, 64, 1 << 21
 
 
 @lru_cache(4)
@@ -81,19 +81,109 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Pieces(dict):
-    """Piece of text -> its ids as 32-bit integers, encoded when first asked for."""
+class _Pairs:
+    """Rank of the token that two adjacent tokens make, for arrays of pairs."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        at = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        self.keys, self.ranks = np.array(sorted(at), np.int64).T.copy() if at else np.empty((2, 0), np.int64)
+        self.of_bytes = np.full(256, -1, np.int64)
+        for i in range(256):
+            self.of_bytes[i] = ranks.get(bytes([i]), -1)
+        both = np.full((256, 256), -1, np.int64)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                both[t[0], t[1]] = r
+        self.of_two_bytes = both
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], -1)
+
+
+def merge_many(pieces: list[bytes], pairs: _Pairs, size: int) -> list[bytes]:
+    """:func:`merge` for many pieces of at most ``size`` bytes (a power of two)
+    side by side: a segment tree each, whose leaves are updated together. The
+    ids come as 32-bit integers."""
+    rows = len(pieces)
+    lengths = np.fromiter(map(len, pieces), np.int64, rows)
+    data = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(rows, size)
+    places = np.arange(size)
+    token = np.full((rows, size + 1), -1, np.int64)
+    token[:, :size] = np.where(places < lengths[:, None], pairs.of_bytes[data], -1)
+    after, before = np.tile(np.arange(1, size + 2), (rows, 1)), np.tile(np.arange(-1, size), (rows, 1))
+    none = np.int64(1) << 62
+    tree = np.full((rows, 2 * size), none)
+    first = pairs.of_two_bytes[data[:, :-1], data[:, 1:]]
+    tree[:, size:-1] = np.where((first >= 0) & (places[1:] < lengths[:, None]), first * size + places[:-1], none)
+    level = size
+    while level > 1:
+        tree[:, level // 2:level] = np.minimum(tree[:, level:2 * level:2], tree[:, level + 1:2 * level:2])
+        level //= 2
+
+    def update(row: np.ndarray, at: np.ndarray, rank: np.ndarray) -> None:
+        value = np.where(rank >= 0, rank * size + at, none)
+        at = at + size
+        tree[row, at] = value
+        while at[0] > 1:
+            value = np.minimum(value, tree[row, at ^ 1])
+            at = at >> 1
+            tree[row, at] = value
+
+    live = np.flatnonzero(tree[:, 1] != none)
+    while len(live):
+        key = tree[live, 1]
+        i, merged = key & (size - 1), key // size
+        j = after[live, i]
+        end = after[live, j]
+        after[live, i], token[live, i], token[live, j] = end, merged, -1
+        before[live, np.minimum(end, size)] = i
+        update(live, j, np.full(len(live), -1))
+        update(live, i, pairs(merged, token[live, np.minimum(end, size)]))
+        left = before[live, i]
+        has = left >= 0
+        if has.any():
+            row, at = live[has], left[has]
+            update(row, at, pairs(token[row, at], merged[has]))
+        live = live[tree[live, 1] != none]
+    kept = token[:, :size] >= 0
+    ids, ends = token[:, :size][kept].astype(np.int32).tobytes(), (4 * np.cumsum(kept.sum(1))).tolist()
+    return [ids[a:z] for a, z in zip([0, *ends], ends)]  # noqa: B905
+
+
+class _Pieces(dict):
+    """Piece of text -> its ids as 32-bit integers; those that texts have are encoded many at a time."""
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("i", merge(piece.encode(), self.ranks)).tobytes()
-        if len(piece) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.pairs = ranks, _Pairs(ranks)
+
+    def learn(self, pieces: set[str]) -> None:
+        by_size: dict[int, list[str]] = {}
+        for p in pieces:
+            raw = p.encode()
+            if (r := self.ranks.get(raw)) is not None:
+                self[p] = r.to_bytes(4, "little")
+            elif len(raw) > 32:
+                self[p] = array("i", merge(raw, self.ranks)).tobytes()
+            else:
+                by_size.setdefault(max(4, 1 << (len(raw) - 1).bit_length()), []).append(p)
+        for size, some in by_size.items():
+            for at in range(0, len(some), 16384):
+                part = some[at:at + 16384]
+                self.update(zip(part, merge_many([p.encode() for p in part], self.pairs, size), strict=True))
+
+    def encode(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of texts given as their pieces."""
+        new = set().union(*texts).difference(self)
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = set().union(*texts)
+        self.learn(new)
+        out = [b"".join(map(self.__getitem__, t)) for t in texts]
+        for p in [p for p in new if len(p) > REMEMBERED_LENGTH]:
+            del self[p]
+        return out
 
 
 @lru_cache(4)
@@ -115,11 +205,18 @@ def _splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-def encode_text(text: str | None, path: str, pattern: str = public_tokenizers.PATTERN) -> np.ndarray:
-    if not text:
-        return np.empty(0, np.int32)
-    split = _ASCII.findall if pattern == public_tokenizers.PATTERN and text.isascii() else _splitter(pattern)
-    return np.frombuffer(b"".join(map(_pieces(path).__getitem__, split(text))), np.int32)
+def encode_texts(texts: list[str | None], path: str, pattern: str = public_tokenizers.PATTERN) -> list[np.ndarray]:
+    """The ids of each whole text; about ``TOGETHER`` characters of texts share one round of encoding."""
+    known, out, held, chars = _pieces(path), [], [], 0
+    own, general = pattern == public_tokenizers.PATTERN, _splitter(pattern)
+    for i, text in enumerate(texts):
+        text = text or ""
+        held.append(_ASCII.findall(text) if own and text.isascii() else general(text))
+        chars += len(text)
+        if chars >= TOGETHER or i == len(texts) - 1:
+            out += [np.frombuffer(ids, np.int32) for ids in known.encode(held)]
+            held, chars = [], 0
+    return out
 
 
 def decode_ids(ids: list[int], path: str) -> bytes:
@@ -136,7 +233,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
 
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [encode_text(t, path, pattern) for t in batch.column(0).to_pylist()]
+        ids = encode_texts(batch.column(0).to_pylist(), path, pattern)
         ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
         return pa.record_batch([batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))], ["row", "ids"])
 

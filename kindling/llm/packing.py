@@ -18,9 +18,10 @@ from kindling.llm.common import per_batch, table, written
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, 0
 #: Places of one length are numbered in this many groups side by side.
 GROUPS = 64
-#: Encoded chunks that a worker remembers.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
-_TAIL = re.compile(rb"(?<=[a-z0-9])[!-&(-/:-@\[-`{-~]+\Z")
+#: Encoded chunks that a worker remembers; their memory is bounded, what they encode to is not changed.
+REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 64
+_TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
+WORD_END = "</w>"
 
 
 @lru_cache(2)
@@ -37,35 +38,62 @@ class _Chunks:
     """Ids of chunks between white space, as 32-bit integers.
 
     The tokenizer drops white space and splits there, so a text's ids are those
-    of its chunks one after the other. In ASCII chunks, capitals are
-    lower-cased first, and punctuation after a letter or digit is a chunk of
-    its own, as the tokenizer treats them, which makes more of them equal."""
+    of its chunks one after the other. It also splits between letters and
+    punctuation, so a chunk of letters and punctuation after them is two words;
+    such words are encoded many at a time, as a text of their own, and told
+    apart by the ends of words. Capitals in ASCII words are lower-cased first,
+    as the tokenizer does, which makes more of them equal."""
 
     def __init__(self, path: str):
-        self.encode, self.known = _tokenizer(path).encode_batch_fast, {}
+        tokenizer = _tokenizer(path)
+        self.encode, self.known = tokenizer.encode_batch_fast, {}
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def one_by_one(self, words: list[str]) -> dict[str, bytes]:
+        return {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(words, self.encode(words, add_special_tokens=False), strict=True)}
+
+    def coded(self, words: list[str]) -> dict[str, bytes]:
+        """Words that the tokenizer doesn't split."""
+        if not words:
+            return {}
+        ids = np.array(self.encode([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words):
+            return self.one_by_one(words)
+        raw, ends = ids.tobytes(), ends.tolist()
+        return {w: raw[a:z] for w, a, z in zip(words, [0, *ends], ends)}  # noqa: B905
+
+    def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        parts: dict[bytes, tuple[str, ...]] = {}
+        whole, odd = set(), set()
+        for c in chunks:
+            word = c.decode()
+            tail = _TAIL.search(word)
+            base, end = (word[:tail.start()], tail[0]) if tail else (word, "")
+            if base.isalpha() or not base:
+                base = base.lower() if base.isascii() else base
+                parts[c] = tuple(x for x in (base, end) if x)
+                whole.update(parts[c])
+            else:
+                parts[c] = (word,)
+                odd.add(word)
+        got = self.coded(list(whole)) | self.one_by_one(list(odd))
+        return {c: b"".join([got[p] for p in ps]) for c, ps in parts.items()}
 
     def ids(self, text: bytes | None) -> bytes:
-        chunks = text.split() if text else []
-        known = self.known
+        chunks, known = text.split() if text else [], self.known
         if missing := {c for c in chunks if c not in known}:
-            parts: dict[bytes, tuple[bytes, ...]] = {}
-            for c in missing:
-                plain = c.lower() if c.isascii() else c
-                cut = _TAIL.search(plain) if c.isascii() else None
-                parts[c] = (plain[:cut.start()], plain[cut.start():]) if cut else (plain,)
-            new = list({p for ps in parts.values() for p in ps if p not in known})
-            coded = self.encode([p.decode() for p in new], add_special_tokens=False)
-            got = {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(new, coded, strict=True)}
-            for c, ps in parts.items():
-                got[c] = b"".join(got[p] if p in got else known[p] for p in ps)
-            if len(known) + len(got) > REMEMBERED:
+            if len(known) > REMEMBERED:
                 known.clear()
-            rest = {c for c in chunks if c not in known and c not in got}
-            if rest:  # forgotten just now
-                coded = self.encode([c.decode() for c in rest], add_special_tokens=False)
-                got |= {c: np.array(e.ids, np.uint32).tobytes() for c, e in zip(rest, coded, strict=True)}
-            out = b"".join([got[c] if c in got else known[c] for c in chunks])
-            known.update((c, x) for c, x in got.items() if len(c) <= REMEMBERED_LENGTH)
+                missing = set(chunks)
+            new = self.learn(missing)
+            known.update(new)
+            out = b"".join([known[c] for c in chunks])
+            for c in new:
+                if len(c) > REMEMBERED_LENGTH:
+                    del known[c]
             return out
         return b"".join([known[c] for c in chunks])
 
