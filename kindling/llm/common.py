@@ -105,7 +105,7 @@ def word_hashes(text: bytes, separators: np.ndarray = BY_SPACE) -> np.ndarray:
         sums = np.zeros(len(part) + 1, _U64)
         np.cumsum(_CODES[part] * up[:len(part)], out=sums[1:])
         out.append(mix((sums[ends] - sums[starts]) * down[starts]))
-    return np.concatenate(out) if len(out) != 1 else out[0]
+    return np.concatenate(out) if out else np.empty(0, _U64)
 
 
 def windows(words: np.ndarray, n: int) -> np.ndarray:

@@ -72,7 +72,7 @@ class _Chunks:
             word = c.decode()
             tail = _TAIL.search(word)
             base, end = (word[:tail.start()], tail[0]) if tail else (word, "")
-            if base.isalpha() or not base:
+            if base.lower().isalpha() or not base:
                 base = base.lower() if base.isascii() else base
                 parts[c] = tuple(x for x in (base, end) if x)
                 whole.update(parts[c])
