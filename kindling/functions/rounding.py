@@ -10,34 +10,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kindling.functions.scalar import int_div
+
+_WHOLE = 2.0 ** 52
+
 
 def round_half_up(c, digits: int = 4) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
-    return (F.floor(c * scale + 0.5) / scale).cast("double")
+    # From 2**52 on a double has no fraction left, and FLOOR's BIGINT would saturate.
+    return F.when(F.abs(c * scale) < _WHOLE, F.floor(c * scale + 0.5) / scale).otherwise(c).cast("double")
 
 
 def sql_round(expr: str, digits: int = 4) -> str:
     """The same rounding as SQL text (for the DuckDB oracle)."""
     scale = f"{10 ** digits}.0"
-    return f"CAST(FLOOR(({expr}) * {scale} + 0.5) / {scale} AS DOUBLE)"
+    return (f"CAST(CASE WHEN abs(({expr}) * {scale}) < {_WHOLE} THEN FLOOR(({expr}) * {scale} + 0.5) / {scale} "
+            f"ELSE ({expr}) END AS DOUBLE)")
 
 
 def hundredths_text(c, suffix: str = "") -> Column:
-    """PRJ8 ``"%.2f"`` rendering of a non-negative value, rounded half-up.
+    """PRJ8 ``"%.2f"`` rendering, halves rounded away from zero.
 
-    Built from integer hundredths so both engines print the same digits.
+    Built from the integer hundredths of the magnitude, with the sign before
+    them, so both engines print the same digits.
     """
     c = F.col(c) if isinstance(c, str) else c
-    cents = F.floor(c * 100.0 + 0.5).cast("bigint")
+    cents = F.floor(F.abs(c) * 100.0 + 0.5).cast("bigint")
     return F.concat(
-        (cents / 100).cast("bigint").cast("string"), F.lit("."),
+        F.when(c < 0, "-").otherwise(""), int_div(cents, F.lit(100)).cast("string"), F.lit("."),
         F.lpad((cents % 100).cast("string"), 2, "0"), F.lit(suffix),
     )
 
 
 def sql_hundredths_text(expr: str, suffix: str = "") -> str:
-    cents = f"CAST(FLOOR(({expr}) * 100.0 + 0.5) AS BIGINT)"
+    cents = f"CAST(FLOOR(abs({expr}) * 100.0 + 0.5) AS BIGINT)"
     return (
-        f"(CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') || '{suffix}')"
+        f"(CASE WHEN ({expr}) < 0 THEN '-' ELSE '' END || CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') || '{suffix}')"
     )

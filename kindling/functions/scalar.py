@@ -33,10 +33,5 @@ def int_div(num, den) -> Column:
     """
     n = _col(num).cast("bigint")
     d = _col(den).cast("bigint")
-    # `%` keeps the dividend's sign, so n - n % d is an exact multiple of d.
-    return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
+    return F.when(d != 0, F.call_function("div", n, d))
 
-
-def other_id(a, b, item) -> Column:
-    """The member of pair ``(a, b)`` that is not ``item``."""
-    return F.when(_col(a) == F.lit(item), _col(b)).otherwise(_col(a))

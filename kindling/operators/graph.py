@@ -66,16 +66,14 @@ def adjacency_degrees(line_degrees: DataFrame) -> DataFrame:
 def checkpoint_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """Reliable checkpoint of ``df`` and the aggregate ``metrics`` of its rows.
 
-    The checkpoint is marked lazily, so the metric aggregate is the job that
-    computes the rows; Spark writes the checkpoint files when that job ends
-    (before ``first`` returns), and later reads use the files. Two jobs per
-    round instead of three.
+    The checkpoint is eager and the metrics read its files, so every row is
+    computed once.
 
     Not ``Observation``: in Spark 4.1 its first use gives the session a
     non-serializable field, and an ML model that holds the session (a
     logistic-regression training summary) then fails to ship to executors.
     """
-    out = df.checkpoint(eager=False)
+    out = df.checkpoint()
     aliased = [m.alias(k) for k, m in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
     return out, out.agg(*aliased).first().asDict()
 
@@ -174,6 +172,7 @@ def pregel(
     vprog=None,
     max_iter: int = 10,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    initial=None,
 ) -> DataFrame:
     """GR8: a Pregel loop with Column expressions.
 
@@ -183,21 +182,28 @@ def pregel(
     ``vprog(attr, msg)`` returns the new attribute (default: the merged
     message wins when it differs). Only vertices whose attribute changed send
     in the next round (JOIN6 triplets: edge + source + destination state).
+    ``initial``, if given, is the message every vertex gets before the first
+    round. A ``send`` that doesn't read ``dst_attr`` is evaluated on the source
+    side alone, so messages are combined before any state is joined to them.
     """
     merge_fn = {"min": F.min, "max": F.max, "sum": F.sum}[merge]
     if vprog is None:
         vprog = (lambda attr, msg: F.least(attr, msg)) if merge == "min" else (
             (lambda attr, msg: F.greatest(attr, msg)) if merge == "max" else (lambda attr, msg: attr + msg))
-    state, m = checkpoint_with(vertices.select("id", "attr"), rows=F.count(F.lit(1)))
+    start = vertices.select("id", "attr" if initial is None else vprog(F.col("attr"), F.lit(initial)).alias("attr"))
+    state, m = checkpoint_with(start, rows=F.count(F.lit(1)))
     active_rows = m["rows"]
     active = state
-    e = edges.select("src", "dst")
+    e = edges
+    by_target = "dst_attr" in send._jc.toString()
     for _ in range(max_iter):
         if active_rows == 0:
             break
         a = _maybe_broadcast(active.select(F.col("id").alias("src"), F.col("attr").alias("src_attr")),
                              active_rows, broadcast_rows)
-        trip = e.join(a, "src").join(state.select(F.col("id").alias("dst"), F.col("attr").alias("dst_attr")), "dst")
+        trip = e.join(a, "src")
+        if by_target:
+            trip = trip.join(state.select(F.col("id").alias("dst"), F.col("attr").alias("dst_attr")), "dst")
         msgs = trip.select("dst", send.alias("msg")).filter(F.col("msg").isNotNull())
         merged = msgs.groupBy(F.col("dst").alias("id")).agg(merge_fn("msg").alias("msg"))
         new_attr = F.when(F.col("msg").isNull(), F.col("attr")).otherwise(vprog(F.col("attr"), F.col("msg")))

@@ -137,5 +137,6 @@ def cogroup_sizes(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def point_lookup(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """JOIN4 ``lookup``: rows of ``df`` for a small key set, one join, one job."""
-    return df.join(F.broadcast(keys.select(key).distinct()), key, "inner")
+    """JOIN4 ``lookup``: rows of ``df`` for a key set, one join, one job. Whether
+    the keys are broadcast is decided by their measured size, not by a hint."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")

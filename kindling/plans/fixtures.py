@@ -42,11 +42,11 @@ def timed_ratings(spark: SparkSession, sf_dir: str, item: str = "l_suppkey") ->
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier-part graph of unit-quantity lines, both directions, distinct.
+    """Supplier-part graph of all lines, both directions, distinct.
 
     Supplier ``s`` is vertex ``2*s``; part ``p`` is vertex ``2*p+1``.
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") == 1.0)
+    li = table(spark, sf_dir, "lineitem")
     a = (F.col("l_suppkey") * 2).cast("bigint")
     b = (F.col("l_partkey") * 2 + 1).cast("bigint")
     fwd = li.select(a.alias("src"), b.alias("dst"))
@@ -67,7 +67,7 @@ def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-row frame with the BFS root: the smallest supplier vertex in the graph."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") == 1.0)
+    li = table(spark, sf_dir, "lineitem")
     return li.agg((F.min("l_suppkey") * 2).cast("bigint").alias("root"))
 
 

@@ -26,14 +26,14 @@ def register(name, sql=None):
     return deco
 
 
-# Fixed parameters: the target is part 0 (vertex 2*0+1), 7 hops from the root at sf0.01.
+# Fixed parameters: the target is part 0 (vertex 2*0+1).
 TARGET = 1
 MAX_ITER = 10
 
 _E = """e AS (SELECT DISTINCT src, dst FROM (
-   SELECT 2*l_suppkey AS src, 2*l_partkey+1 AS dst FROM lineitem WHERE l_quantity = 1
-   UNION ALL SELECT 2*l_partkey+1, 2*l_suppkey FROM lineitem WHERE l_quantity = 1))"""
-_WALK = f"""root AS (SELECT 2*min(l_suppkey) AS id FROM lineitem WHERE l_quantity = 1),
+   SELECT 2*l_suppkey AS src, 2*l_partkey+1 AS dst FROM lineitem
+   UNION ALL SELECT 2*l_partkey+1, 2*l_suppkey FROM lineitem))"""
+_WALK = f"""root AS (SELECT 2*min(l_suppkey) AS id FROM lineitem),
 walk(id, d) AS (SELECT id, 0 FROM root UNION
                 SELECT e.dst, w.d + 1 FROM walk w JOIN e ON e.src = w.id WHERE w.d < {MAX_ITER}),
 m AS (SELECT id, min(d) AS d FROM walk GROUP BY id)"""
@@ -48,7 +48,7 @@ def _vertex_ids(edges):
 
 
 def _hops(spark, sf):
-    edges = graph_edges(spark, sf).checkpoint()
+    edges = graph_edges(spark, sf).repartition("src").checkpoint()
     dist = bfs(edges, graph_root(spark, sf), MAX_ITER)
     return edges, distances_with_unreached(_vertex_ids(edges), dist)
 
@@ -66,14 +66,14 @@ def graph_degrees_topk(spark, sf):
 
 
 @register("graph_vertices_default", f"""
-WITH e AS (SELECT 2*l_suppkey AS src, 2*l_partkey+1 AS dst FROM lineitem WHERE l_quantity = 1),
+WITH e AS (SELECT 2*l_suppkey AS src, 2*l_partkey+1 AS dst FROM lineitem),
 ids AS (SELECT src AS id FROM e UNION SELECT dst FROM e UNION SELECT 2*s_suppkey FROM supplier),
 snames AS (SELECT 2*s_suppkey AS id, max(s_name) AS name FROM supplier GROUP BY 1)
 SELECT ids.id, coalesce(snames.name, 'Nobody') AS name FROM ids LEFT JOIN snames ON snames.id = ids.id
 """)
 def graph_vertices_default(spark, sf):
     """GR1/JOIN7: vertices = supplier rows + edge endpoints; parts have no row -> 'Nobody'."""
-    li = T(spark, sf, "lineitem").filter(F.col("l_quantity") == 1.0)
+    li = T(spark, sf, "lineitem")
     edges = li.select((F.col("l_suppkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"))
     sup = T(spark, sf, "supplier").select((F.col("s_suppkey") * 2).alias("id"), F.col("s_name").alias("name"))
     return build_graph(sup, edges, "Nobody")
@@ -145,21 +145,35 @@ SELECT (SELECT id FROM root) AS start, CAST({TARGET} AS BIGINT) AS target, CAST(
 FROM td
 """)
 def q_degrees_of_separation(spark, sf):
-    edges = graph_edges(spark, sf).checkpoint()
+    edges = graph_edges(spark, sf).repartition("src").checkpoint()
     start = graph_root(spark, sf).first()["root"]  # one scalar: the loop's start id
     return degrees_of_separation(edges, start, TARGET, MAX_ITER)
 
 
 @register("pregel_min_label", f"""
 WITH RECURSIVE {_E}, {_V},
-reach(v, u, d) AS (SELECT id, id, 0 FROM v UNION
-                   SELECT r.v, e.dst, r.d + 1 FROM reach r JOIN e ON e.src = r.u WHERE r.d < {MAX_ITER})
-SELECT v AS id, min(u) AS label FROM reach GROUP BY v
+near(id, label, d) AS (SELECT id, id, 0 FROM v UNION ALL
+                       SELECT e.dst, min(n.label), n.d + 1 FROM near n JOIN e ON e.src = n.id WHERE n.d < {MAX_ITER} GROUP BY e.dst, n.d)
+SELECT id, min(label) AS label FROM near GROUP BY id
 """)
 def pregel_min_label(spark, sf):
     """GR8: min-label propagation, at most 10 supersteps (label = least id within 10 hops)."""
-    edges = graph_edges(spark, sf).checkpoint()
+    edges = graph_edges(spark, sf).repartition("src").checkpoint()
     verts = _vertex_ids(edges).select("id", F.col("id").alias("attr"))
     send = F.when(F.col("src_attr") < F.col("dst_attr"), F.col("src_attr"))
     out = pregel(verts, edges, send, "min", max_iter=MAX_ITER)
     return out.select("id", F.col("attr").alias("label"))
+
+
+@register("hops_by_pregel", f"""
+WITH RECURSIVE {_E}, {_WALK}, {_V}
+SELECT v.id, coalesce(CAST(m.d AS DOUBLE), 'inf'::DOUBLE) AS hops FROM v LEFT JOIN m ON m.id = v.id
+""")
+def hops_by_pregel(spark, sf):
+    """GR8 with an edge attribute and an initial message: every edge has weight
+    1, vertices start at infinity, the root's initial attribute is 0."""
+    edges = graph_edges(spark, sf).withColumn("weight", F.lit(1.0)).repartition("src").checkpoint()
+    root = graph_root(spark, sf).first()["root"]  # one scalar
+    verts = _vertex_ids(edges).select("id", F.when(F.col("id") == root, 0.0).otherwise(F.lit(float("inf"))).alias("attr"))
+    out = pregel(verts, edges, F.col("src_attr") + F.col("weight"), "min", max_iter=MAX_ITER, initial=float("inf"))
+    return out.select("id", F.col("attr").alias("hops"))

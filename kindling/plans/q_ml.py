@@ -133,12 +133,13 @@ def q_user_ratings(spark, sf):
 @register("classify_documents")
 def classify_documents(spark, sf):
     """ML1: hashed TF-IDF + logistic regression for `labels.quality`; trained on a
-    70% hash split of labelled documents, scored on the other 30%. Rows-only check."""
+    70% hash split of labelled documents, all other documents are scored
+    (``quality`` is null where there is no label). Rows-only check."""
     d = T(spark, sf, "documents").select("doc_id", "text")
     lab = T(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    data = d.join(lab, "doc_id")
-    b = hash_bucket("doc_id")
-    model = text_classifier(data.filter(b < 70), "text", "label")
-    scored = model.transform(data.filter(b >= 70))
+    data = d.join(lab, "doc_id", "left")
+    training = (hash_bucket("doc_id") < 70) & F.col("label").isNotNull()
+    model = text_classifier(data.filter(training), "text", "label")
+    scored = model.transform(data.filter(~training))
     return scored.select("doc_id", F.col("label").cast("int").alias("quality"),
                          F.col("prediction").cast("int").alias("prediction"))

@@ -81,21 +81,18 @@ def hash_split_train(spark, sf):
 _R = ("r AS (SELECT o.o_custkey AS \"user\", l.l_suppkey AS item, avg(l.l_quantity) AS rating, "
       "min(o.o_orderdate) AS ts FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)")
 
-# Fixed parameters of the holdout (ua: ratings 1-10 of every user, at most 100000 test rows).
-HOLDOUT_START, HOLDOUT_STOP, HOLDOUT_MAX = 1, 10, 100000
+# Fixed parameters of the holdout: ratings 1-10 of every user, without a limit of test rows.
+HOLDOUT_START, HOLDOUT_STOP = 1, 10
 
 
 @register("split_all_but_n", f"""
 WITH {_R},
-n AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY ts, item) AS rn FROM r),
-c AS (SELECT *, row_number() OVER (ORDER BY ts, "user", item) AS cg FROM n
-      WHERE rn BETWEEN {HOLDOUT_START} AND {HOLDOUT_STOP})
-SELECT n."user", n.item, CASE WHEN c.cg IS NOT NULL AND c.cg <= {HOLDOUT_MAX} THEN 'test' ELSE 'base' END AS split
-FROM n LEFT JOIN c ON c."user" = n."user" AND c.item = n.item
+n AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY ts, item) AS rn FROM r)
+SELECT "user", item, CASE WHEN rn BETWEEN {HOLDOUT_START} AND {HOLDOUT_STOP} THEN 'test' ELSE 'base' END AS split FROM n
 """)
 def split_all_but_n(spark, sf):
     r = timed_ratings(spark, sf)
-    out = all_but_n(r, "user", ["ts", "user", "item"], HOLDOUT_START, HOLDOUT_STOP, HOLDOUT_MAX)
+    out = all_but_n(r, "user", ["ts", "user", "item"], HOLDOUT_START, HOLDOUT_STOP, 0)
     return out.select("user", "item", "split")
 
 

@@ -76,7 +76,7 @@ WITH {_r_cte('l_partkey')}, {_PAIRS}
 SELECT item_i, item_j, {R4(_SCORE)} AS score, n FROM p WHERE n >= 2
 """)
 def q_item_similarity_partitioned(spark, sf):
-    r = ratings(spark, sf, item="l_partkey").persist(StorageLevel.MEMORY_AND_DISK)
-    sim = item_similarity(r, min_n=2)
-    sim = hash_partition(sim, spark.sparkContext.defaultParallelism, "item_i", "item_j")
+    # Partitioned once, by the key of the self-join, before the grouping.
+    r = hash_partition(ratings(spark, sf, item="l_partkey"), spark.sparkContext.defaultParallelism, "user")
+    sim = item_similarity(r.persist(StorageLevel.MEMORY_AND_DISK), min_n=2)
     return sim.select("item_i", "item_j", round_half_up("score").alias("score"), "n")

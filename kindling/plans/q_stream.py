@@ -10,7 +10,7 @@ from kindling.plans.fixtures import hashtag_events
 from kindling.session import scratch_path
 from kindling.sources.formats import read_json_stream, read_table_stream
 from kindling.streaming.runner import latest, read_output, run_to_table
-from kindling.streaming.windows import assign_windows, sliding_counts, sliding_from_panes, top_per_window
+from kindling.streaming.windows import assign_windows, hashtags, sliding_counts, sliding_from_panes, top_of_latest_window
 
 QUERIES = {}
 ORACLE = {}
@@ -27,38 +27,56 @@ def register(name, sql=None):
 
 # Fixed values of the reference's stream: 300 s window sliding every second.
 WINDOW_S, SLIDE_S = 300, 1
-# Event-time watermark: rows later than this behind the newest event are dropped.
-WATERMARK = "1 hour"
+# The files of a stored table come in any order of event time, so these replays have no watermark:
+# their state is one row per key and window, not per event. A run that drops late rows fails.
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 _K = WINDOW_S // SLIDE_S
 _SLIDING_SQL = f"""
 WITH h AS (SELECT '#' || event_type AS tag, epoch_us(ts) // {SLIDE_S * 1_000_000} AS pane FROM events),
-p AS (SELECT tag, pane, count(*) AS n FROM h GROUP BY 1, 2),
-s AS (SELECT tag, pane, sum(n) OVER (PARTITION BY tag ORDER BY pane
-                                      RANGE BETWEEN {_K - 1} PRECEDING AND CURRENT ROW) AS c FROM p)
-SELECT tag, make_timestamp(CAST((pane - {_K - 1}) * {SLIDE_S * 1_000_000} AS BIGINT)) AS window_start,
-       make_timestamp(CAST((pane + 1) * {SLIDE_S * 1_000_000} AS BIGINT)) AS window_end,
-       CAST(c AS BIGINT) AS count FROM s
+points AS (SELECT tag, pane FROM h UNION SELECT tag, pane + {_K} FROM h),
+c AS (SELECT p.tag, p.pane, count(h.pane) AS n
+      FROM points p LEFT JOIN h ON h.tag = p.tag AND h.pane <= p.pane AND h.pane > p.pane - {_K} GROUP BY 1, 2),
+l AS (SELECT *, lead(pane) OVER (PARTITION BY tag ORDER BY pane) AS nxt FROM c)
+SELECT tag, make_timestamp(CAST(pane * {SLIDE_S * 1_000_000} AS BIGINT)) AS valid_from,
+       make_timestamp(CAST(nxt * {SLIDE_S * 1_000_000} AS BIGINT)) AS valid_to, CAST(n AS BIGINT) AS count
+FROM l WHERE n > 0
 """
 
 
 @register("hashtag_windows", _SLIDING_SQL)
 def hashtag_windows(spark, sf):
-    """STR2-STR3 in batch (pane form, trap T5)."""
+    """STR2-STR3 in batch: all windows of every tag, as intervals of equal count."""
     return sliding_counts(hashtag_events(spark, sf), "ts", "tag", f"{WINDOW_S} seconds", f"{SLIDE_S} seconds")
 
 
 @register("hashtag_top10_latest", f"""
-WITH w AS ({_SLIDING_SQL}),
-last AS (SELECT max(window_end) AS e FROM w)
-SELECT w.tag, w.window_start, w.window_end, w.count FROM w JOIN last ON w.window_end = last.e
-ORDER BY w.count DESC, w.tag LIMIT 10
+SELECT '#' || event_type AS tag, count(*) AS count FROM events
+WHERE ts >= (SELECT date_trunc('second', max(ts)) - INTERVAL {WINDOW_S - SLIDE_S} SECOND FROM events)
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
 def hashtag_top10_latest(spark, sf):
     """STR4/STR5: the ten most frequent tags of the latest 300 s window."""
-    counts = hashtag_windows(spark, sf).persist()
-    return top_per_window(counts, 10, "tag", "count")
+    return top_of_latest_window(hashtag_events(spark, sf), "ts", "tag", f"{WINDOW_S} seconds", f"{SLIDE_S} seconds", 10)
+
+
+@register("document_hashtags_stream", r"""
+WITH w AS (SELECT unnest(string_split(regexp_replace(text, '([^ \n]+)###', '#\1', 'g'), ' ')) AS tag FROM documents)
+SELECT tag, count(*) AS count FROM w WHERE tag LIKE '#%' GROUP BY tag ORDER BY 2 DESC, 1 LIMIT 10
+""")
+def document_hashtags_stream(spark, sf):
+    """STR2, STR4, STR5, FLT4, SNK6: documents as a message stream (words that
+    end in ``###`` there are tags here, with one ``#`` before them) -> words ->
+    words that start with ``#`` -> running counts; every batch sorts them and
+    writes its first ten. The last batch's ten are the result."""
+    docs = read_table_stream(spark, sf, "documents", "doc_id BIGINT, text STRING")
+    docs = docs.withColumn("text", F.regexp_replace("text", r"([^ \n]+)###", "#$1"))
+    counts = hashtags(docs, "text", "doc_id").groupBy(F.col("word").alias("tag")).agg(F.count(F.lit(1)).alias("count"))
+    out = run_to_table(counts, "document-hashtags", output_mode="complete",
+                       per_batch=lambda b: b.orderBy(F.desc("count"), F.asc("tag")).limit(10))
+    rows = read_output(spark, out, "tag STRING, count BIGINT")
+    last = rows.agg(F.max("batch_id")).first()[0]  # one number
+    return rows.filter(F.col("batch_id") == last).select("tag", "count")
 
 
 @register("events_hourly_windows", """
@@ -75,13 +93,13 @@ def events_hourly_windows(spark, sf):
 
 def _event_stream(spark, sf):
     ev = read_table_stream(spark, sf, "events", EVENTS_SCHEMA)
-    return ev.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", WATERMARK)
+    return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @register("hashtag_windows_stream", _SLIDING_SQL)
 def hashtag_windows_stream(spark, sf):
     """STR1-STR7: file stream -> '#' tags -> 1 s pane counts kept in the state
-    store (update mode, watermark evicts old panes) -> foreachBatch table ->
+    store (update mode) -> foreachBatch table ->
     300 s sliding sums over the panes. Equals the batch query."""
     ev = _event_stream(spark, sf)
     tags = ev.select("ts", F.concat(F.lit("#"), F.col("event_type")).alias("tag")).filter(F.col("tag").startswith("#"))
@@ -104,7 +122,7 @@ def hourly_action_count_stream(spark, sf):
     logs = scratch_path(spark, "action-logs")
     T(spark, sf, "events").select(F.col("event_type").alias("action"),
                                   F.col("ts").cast("timestamp").alias("time")).write.json(logs)
-    stream = read_json_stream(spark, logs, "action STRING, time TIMESTAMP").withWatermark("time", WATERMARK)
+    stream = read_json_stream(spark, logs, "action STRING, time TIMESTAMP")
     counts = stream.groupBy("action", F.window("time", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("count"))
     counts = counts.select("action", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "count")
     out = run_to_table(counts, "hourly-actions")

@@ -41,13 +41,15 @@ def read_json_stream(spark: SparkSession, path: str, schema: str, max_files_per_
     return reader.json(path)
 
 
-def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A driver parquet table read as a file stream (SRC13 stand-in).
 
-    The tables are single files in one folder, so a glob filter picks the table.
+    A table is one file or a folder of part files; a stream needs a folder or a
+    glob, and the glob ``<name>.parquet*`` matches either. A table that is not
+    there is an error, not an empty stream.
     """
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")  # resolves the path
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{sf_dir}/{name}.parquet*")

@@ -18,16 +18,20 @@ from pyspark.errors import AnalysisException
 from kindling.session import scratch_path
 
 
-def run_to_table(stream: DataFrame, name: str, output_mode: str = "update", timeout_s: int = 600,
-                 processing_time: str | None = None) -> str:
+def run_to_table(stream: DataFrame, name: str, output_mode: str = "update", timeout_s: float | None = None,
+                 processing_time: str | None = None, per_batch=None) -> str:
     """Run ``stream`` (``availableNow`` unless a processing-time trigger is given)
-    and return the folder of its batch-partitioned output."""
+    and return the folder of its batch-partitioned output.
+
+    ``per_batch`` maps each batch's frame before it is written.
+    It runs to its end unless ``timeout_s`` is given. It fails if it dropped
+    rows as later than the watermark: a result without them would be wrong."""
     spark = stream.sparkSession
     out = scratch_path(spark, name)
     ckpt = scratch_path(spark, name + "-checkpoint")
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        (per_batch(batch) if per_batch else batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt).foreachBatch(_write)
     if processing_time:
@@ -35,11 +39,21 @@ def run_to_table(stream: DataFrame, name: str, output_mode: str = "update", time
     else:
         writer = writer.trigger(availableNow=True)
     q = writer.queryName(f"{name}_{abs(hash(out)) % 10**8}").start()
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    waited, late = 0.0, {}
+    while True:
+        ended = q.awaitTermination(5)
+        waited += 5
+        for p in q.recentProgress:
+            late[p["batchId"]] = sum(s.get("numRowsDroppedByWatermark", 0) for s in p["stateOperators"])
+        if ended:
+            break
+        if timeout_s is not None and waited >= timeout_s:
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if sum(late.values()):
+        raise RuntimeError(f"stream {name} dropped {sum(late.values())} rows that came later than the watermark")
     return out
 
 

@@ -5,7 +5,9 @@ windows. The pane form avoids that: count per (key, slide-sized pane) first
 (a partial aggregate), then sum the last ``window/slide`` panes with a range
 frame. After pre-aggregation a key holds at most one row per pane, so the
 window function's per-key work is bounded by the time span, not by the rows.
-It yields one row per pane that holds an event, for the window ending there.
+A window that slides every pane changes its count only where an event enters
+or leaves it, so the table of its counts is kept as intervals between those
+change points: complete, and at most two rows per pane that holds an event.
 """
 
 from __future__ import annotations
@@ -36,29 +38,38 @@ def pane_counts(df: DataFrame, ts: str, key: str, slide) -> DataFrame:
 
 def sliding_from_panes(panes: DataFrame, key: str, window, slide, value: str = "n", out: str = "count",
                        chunk_windows: int = 64) -> DataFrame:
-    """Sum of the last ``window/slide`` panes per key, at every pane present.
-
-    The pane axis is cut into chunks of ``chunk_windows * k`` panes (``k`` panes
-    per window) and the window function runs per (key, chunk), so one busy key
-    is spread over many tasks instead of one. Each chunk also receives the last
-    ``k - 1`` panes of the chunk before it as context rows; they feed the sums
-    of the chunk's first panes and are then dropped.
+    """The count of every sliding window as intervals ``(key, valid_from,
+    valid_to, count)``: all windows that end after ``valid_from`` and not after
+    ``valid_to`` hold ``count`` events, ``count`` > 0.
+
+    A pane of ``n`` events adds ``n`` where it ends and takes it back one window
+    later. The pane axis is cut into chunks of ``chunk_windows`` windows, and the
+    window function runs per (key, chunk), so one busy key is spread over many
+    tasks. Each chunk also gets the panes of the last window before it, which
+    feed its sums and are then dropped, and the first change point after it.
     """
     w, s = _seconds(window), _seconds(slide)
     k = w // s
     size = max(k, chunk_windows * k)
     chunk = F.floor(F.col("pane") / size).cast("bigint")
-    own = panes.select(key, "pane", value, chunk.alias("_chunk"), F.lit(False).alias("_ctx"))
+    points = panes.select(key, "pane", value).unionByName(
+        panes.select(key, (F.col("pane") + k).alias("pane"), F.lit(0).cast("bigint").alias(value)))
+    points = points.groupBy(key, "pane").agg(F.sum(value).alias(value))
+    own = points.select(key, "pane", value, chunk.alias("_chunk"), F.lit(False).alias("_ctx"))
     ctx = (
-        panes.filter(F.pmod(F.col("pane"), F.lit(size)) >= size - (k - 1))
+        points.filter(F.pmod(F.col("pane"), F.lit(size)) >= size - (k - 1))
         .select(key, "pane", value, (chunk + 1).alias("_chunk"), F.lit(True).alias("_ctx"))
     )
-    spec = Window.partitionBy(key, "_chunk").orderBy("pane").rangeBetween(-(k - 1), 0)
-    summed = own.unionByName(ctx).withColumn(out, F.sum(value).over(spec)).filter(~F.col("_ctx"))
+    line = Window.partitionBy(key, "_chunk").orderBy("pane")
+    summed = own.unionByName(ctx).withColumn(out, F.sum(value).over(line.rangeBetween(-(k - 1), 0)))
+    summed = summed.withColumn("_next", F.lead("pane").over(line)).filter(~F.col("_ctx"))
+    firsts = points.groupBy(key, chunk.alias("_chunk")).agg(F.min("pane").alias("_first"))
+    firsts = firsts.select(key, "_chunk", F.lead("_first").over(Window.partitionBy(key).orderBy("_chunk")).alias("_after"))
+    summed = summed.join(firsts, [key, "_chunk"]).withColumn("_next", F.coalesce("_next", "_after")).filter(F.col(out) > 0)
     return summed.select(
         key,
-        F.timestamp_seconds((F.col("pane") - (k - 1)) * s).cast("timestamp_ntz").alias("window_start"),
-        F.timestamp_seconds((F.col("pane") + 1) * s).cast("timestamp_ntz").alias("window_end"),
+        F.timestamp_seconds(F.col("pane") * s).cast("timestamp_ntz").alias("valid_from"),
+        F.timestamp_seconds(F.col("_next") * s).cast("timestamp_ntz").alias("valid_to"),
         F.col(out).cast("bigint").alias(out),
     )
 
@@ -68,6 +79,18 @@ def sliding_counts(df: DataFrame, ts: str, key: str, window="300 seconds", slide
     return sliding_from_panes(pane_counts(df, ts, key, slide), key, window, slide)
 
 
+def top_of_latest_window(df: DataFrame, ts: str, key: str, window="300 seconds", slide="1 second", k: int = 10,
+                         out: str = "count") -> DataFrame:
+    """STR4/STR5: the ``k`` most frequent keys (ties by key) of the latest
+    window: one aggregate finds its end, a filter on ``ts`` keeps its events."""
+    w, s = _seconds(window), _seconds(slide)
+    last = df.agg(pane_of(F.max(ts), s).alias("last")).first()["last"]
+    if last is None:
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(out)).limit(0)
+    start = F.timestamp_seconds(F.lit((last + 1) * s - w))
+    return df.filter(F.col(ts) >= start).groupBy(key).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), F.asc(key)).limit(k)
+
+
 def tumbling(df: DataFrame, ts: str, size: str, keys=(), value: str | None = None, out: str = "count") -> DataFrame:
     """STR8/STR10: tumbling-window count (or sum of ``value``) per key."""
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
@@ -89,10 +112,3 @@ def hashtags(df: DataFrame, text: str, ts: str) -> DataFrame:
 
     words = df.select(F.col(ts), F.explode(java_split(F.col(text), " ")).alias("word"))
     return words.filter(F.col("word").startswith("#"))
-
-
-def top_per_window(counts: DataFrame, k: int = 10, key: str = "tag", value: str = "count") -> DataFrame:
-    """STR4/STR5 for the latest window: the ``k`` biggest counts (ties by key)."""
-    latest = counts.agg(F.max("window_end").alias("_last"))
-    last = latest.first()["_last"]
-    return counts.filter(F.col("window_end") == F.lit(last)).orderBy(F.desc(value), F.asc(key)).limit(k)

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from kindling.operators.regression import sgd_least_squares
@@ -75,19 +76,43 @@ def test_chunked_sliding_window_equals_brute_force(spark):
     from kindling.streaming.windows import sliding_from_panes
 
     rnd = random.Random(9)
-    panes = sorted({(t, p) for t in "ab" for p in rnd.sample(range(0, 400), 150)})
+    panes = sorted({(t, p) for t in "ab" for p in rnd.sample(range(0, 400), 60)})
     rows = [(t, p, rnd.randint(1, 5)) for t, p in panes]
     df = spark.createDataFrame(rows, "tag STRING, pane BIGINT, n BIGINT")
-    # k = 7 panes per window, chunks of 2 windows: many chunk edges are crossed.
-    got = {(r["tag"], r["window_end"]): r["count"]
-           for r in sliding_from_panes(df, "tag", 7, 1, chunk_windows=2).collect()}
+    # 7 panes per window, chunks of 2 windows: many chunk edges are crossed.
+    got = {}
+    for r in sliding_from_panes(df, "tag", 7, 1, chunk_windows=2).collect():
+        zero = r["valid_from"].replace(year=1970, month=1, day=1, hour=0, minute=0, second=0)
+        first, last = (int((r[c] - zero).total_seconds()) for c in ("valid_from", "valid_to"))
+        for p in range(first, last):
+            assert got.setdefault((r["tag"], p), r["count"]) == r["count"]
     counts = {(t, p): n for t, p, n in rows}
-    import datetime as dt
-    want = {}
-    for t, p, _ in rows:
-        end = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=p + 1)
-        want[(t, end)] = sum(counts.get((t, q), 0) for q in range(p - 6, p + 1))
-    assert got == want
+    want = {(t, p): sum(counts.get((t, q), 0) for q in range(p - 6, p + 1)) for t in "ab" for p in range(0, 420)}
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_latest_top_ten_holds_every_tag_of_the_window(spark):
+    import __spark_entry__ as entry
+
+    top = entry.queries()["hashtag_top10_latest"](spark, "/root/testdata/sf0.1").collect()
+    assert [tuple(r) for r in top] == [("#view", 4), ("#error", 3), ("#purchase", 3), ("#click", 1), ("#signup", 1)]
+
+
+def test_stream_reads_a_folder_in_any_order_and_late_rows_fail(spark, tmp_path):
+    from kindling.sources.formats import read_table_stream
+
+    folder = os.path.join(tmp_path, "events.parquet")
+    for day in (3, 2, 1):  # newest first, one file each
+        spark.range(50).select(F.timestamp_seconds(F.lit(1_700_000_000 + day * 86400) + F.col("id")).alias("ts")).coalesce(1).write.mode("append").parquet(folder)
+    stream = read_table_stream(spark, str(tmp_path), "events", "ts TIMESTAMP", max_files_per_trigger=1)
+    out = run_to_table(stream.groupBy(F.window("ts", "1 hour").alias("w")).count().select("w.start", "count"), "test-order")
+    merged = latest(read_output(spark, out, "start TIMESTAMP, count BIGINT"), ["start"])
+    assert merged.agg(F.sum("count")).first()[0] == 150
+    late = stream.withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour").alias("w")).count().select("w.start", "count")
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run_to_table(late, "test-late")
+    with pytest.raises(Exception, match="(?i)path.*not.*exist"):
+        read_table_stream(spark, str(tmp_path), "absent", "ts TIMESTAMP")
 
 
 def test_graph_loop_then_classifier_in_one_session(spark):

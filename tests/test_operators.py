@@ -152,3 +152,31 @@ def test_bounded_count_checks_bytes(spark):
     wide = spark.range(4).select("id", F.repeat(F.lit("x"), 100_000).alias("s"))  # ~400 KB in all
     assert bounded_count(wide, 10) == 4
     assert bounded_count(wide, 10, max_bytes=300_000) is None
+
+
+def test_arithmetic_survives_scale(spark):
+    from kindling.functions.rounding import hundredths_text, round_half_up
+
+    d = 400_000_000_000_007
+    df = spark.createDataFrame([(25 * d, d), (-7, 2), ((1 << 62) + 1, 1)], "n BIGINT, d BIGINT")
+    assert [r["q"] for r in df.select(int_div("n", "d").alias("q")).collect()] == [25, -3, (1 << 62) + 1]
+    vals = spark.createDataFrame([(2.3e16,), (1.5e300,), (-5.36,), (-0.05,), (0.125,)], "v DOUBLE")
+    assert [r["r"] for r in vals.select(round_half_up("v").alias("r")).collect()] == [2.3e16, 1.5e300, -5.36, -0.05, 0.125]
+    small = vals.filter("abs(v) < 10")
+    assert [r["t"] for r in small.select(hundredths_text("v", " F").alias("t")).collect()] == ["-5.36 F", "-0.05 F", "0.13 F"]
+
+
+def test_pregel_reads_edge_columns_and_an_initial_message(spark):
+    from kindling.operators.graph import pregel
+
+    edges = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0), (3, 2, 1.0)], "src BIGINT, dst BIGINT, weight DOUBLE")
+    verts = spark.createDataFrame([(1, 0.0), (2, 99.0), (3, 99.0), (4, 99.0)], "id BIGINT, attr DOUBLE")
+    out = pregel(verts, edges, F.col("src_attr") + F.col("weight"), "min", initial=50.0)
+    assert rows(out, "id", "attr") == [(1, 0.0), (2, 2.0), (3, 1.0), (4, 50.0)]
+
+
+def test_edges_partitioned_by_source_are_not_shuffled_again(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "src BIGINT, dst BIGINT").repartition("src").checkpoint()
+    front = spark.range(5).select(F.col("id").alias("src"))
+    text = explain_text(edges.join(front.hint("merge"), "src"))
+    assert text.count("Exchange hashpartitioning") + text.count("hashpartitioning(src") <= 3
