@@ -274,9 +274,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     mixed = named.withColumn("low", F.min("rank").over(bucket)).withColumn("high", F.max("rank").over(bucket)).where(F.col("low") < F.col("high"))
     mixed = written(spark, mixed.drop("low", "high"), "mixed-postings")
     there = mixed.groupBy("token", "group").agg(F.max("rank").alias("greatest"), F.min("size").alias("least"), F.max("size").alias("most"))
+    columns = ["group", "node", F.col("rank.component").alias("component")]
+    own = mixed.withColumn("greatest", F.max("rank").over(Window.partitionBy("token", "group"))).where(F.col("rank") < F.col("greatest")).select(columns)
     fits = (percent * F.col("size") <= 100 * F.col("most")) & (100 * F.col("size") >= percent * F.col("least"))
-    tries = mixed.select("token", "node", "size", "rank").join(there, "token").where((F.col("rank") < F.col("greatest")) & fits)
-    tries = written(spark, tries.select("group", "node", F.col("rank.component").alias("component")).distinct(), "tries")
+    elsewhere = mixed.select("token", "node", "size", "rank", F.col("group").alias("of")).join(there, "token")
+    elsewhere = elsewhere.where((F.col("group") != F.col("of")) & (F.col("rank") < F.col("greatest")) & fits).select(columns)
+    tries = written(spark, own.unionByName(elsewhere).distinct(), "tries")
 
     # Signatures are compared in blocks of many members; they say against which smaller blocks of sets a class must be held.
     members = mixed.select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
