@@ -44,6 +44,11 @@ def _tokens(signatures: np.ndarray) -> np.ndarray:
     return mix(signatures.astype(_U64) << _U64(8) | np.arange(COORDINATES, dtype=_U64))
 
 
+def _brief(signature: np.ndarray) -> bytes:
+    """The lowest byte of each coordinate: what matches in full matches here, and 1 in 256 of the rest."""
+    return signature.astype(np.uint8).tobytes()
+
+
 def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
@@ -51,14 +56,16 @@ def _signatures(column: pa.Array) -> np.ndarray:
 def _sets(n_words: int):
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, digests, signatures = [], [], []
+        sizes, digests, signatures, briefs = [], [], [], []
         for text in utf8(batch.column(1)):
             found = shingles(text, n_words)
             sizes.append(len(found))
             digests.append(blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-            signatures.append(signature(found).tobytes() if len(found) else None)
-        return pa.record_batch([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                               ["doc_id", "text_hash", "n_shingles", "digest", "signature"])
+            least = signature(found) if len(found) else None
+            signatures.append(None if least is None else least.tobytes())
+            briefs.append(None if least is None else _brief(least))
+        return pa.record_batch([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), *map(binary_array, (digests, signatures, briefs))],
+                               ["doc_id", "text_hash", "n_shingles", "digest", "signature", "brief"])
 
     return run
 
@@ -106,14 +113,14 @@ class _Block:
 
 
 class _BySignature(_Block):
-    """Counts the coordinates in which a signature collides with each member's."""
+    """Counts the coordinates in which a brief signature collides with each member's."""
 
     def ready(self) -> None:
         super().ready()
-        self.matrix = np.frombuffer(b"".join(self.payloads), np.uint32).reshape(-1, COORDINATES)
+        self.matrix = np.frombuffer(b"".join(self.payloads), np.uint8).reshape(-1, COORDINATES)
 
     def hits(self, payload: bytes) -> np.ndarray:
-        return (self.matrix == np.frombuffer(payload, np.uint32)).sum(1) >= MATCHES
+        return np.count_nonzero(self.matrix == np.frombuffer(payload, np.uint8), axis=1) >= MATCHES
 
 
 class _BySet(_Block):
@@ -178,14 +185,18 @@ class _Corpus:
     def __init__(self, spark: SparkSession, docs: DataFrame, n_words: int, percent: int):
         self.spark, self.n_words, self.percent = spark, n_words, percent
         self.docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-        self.sets = written(spark, self.docs.mapInArrow(_sets(n_words), "doc_id long, text_hash long, n_shingles long, digest binary, signature binary"), "shingle-sets")
-        classes = self.sets.where("digest IS NOT NULL").groupBy("digest").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("head"), F.min("n_shingles").alias("size"), F.first("signature").alias("signature"))
-        classes = classes.select("digest", "head.*", "size", "signature").withColumnRenamed("doc_id", "doc")
+        self.sets = written(spark, self.docs.mapInArrow(_sets(n_words), "doc_id long, text_hash long, n_shingles long, digest binary, signature binary, brief binary"), "shingle-sets")
+        some = self.sets.where("digest IS NOT NULL")
+        classes = some.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").alias("doc"), "text_hash")).alias("head"), F.min("n_shingles").alias("size"),
+                                             F.first(F.struct("signature", "brief")).alias("minima"))
         # A class is known by its smallest document. Where texts share a doc_id, the others are known by their digest, below 0.
+        # Signatures stay where the digests' groups are; only ids and digests are dealt by document.
         own = Window.partitionBy("doc").orderBy("digest")
+        named = some.groupBy("digest").agg(F.min("doc_id").alias("doc")).withColumn("nth", F.row_number().over(own))
+        classes = classes.join(named.where("nth > 1").select("digest", "nth"), "digest", "left")
         other = -1 - F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
-        classes = classes.withColumn("node", F.when(F.row_number().over(own) == 1, F.col("doc")).otherwise(other))
+        node = F.when(F.col("nth").isNull(), F.col("head.doc")).otherwise(other).alias("node")
+        classes = classes.select("digest", "head.*", "size", "minima.*", node)
         self.classes = written(spark, classes, "shingle-classes")
 
     def postings(self) -> DataFrame:
@@ -196,7 +207,7 @@ class _Corpus:
         counts = np.frombuffer(b"".join(r["counts"] for r in counted), np.int64) if counted else np.zeros(COUNTERS, np.int64)
         counts = self.spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))  # COUNTERS numbers
         found = self.classes.select("node", "size", "signature").mapInArrow(_postings(counts), "token long, node long, size long")
-        met = found.distinct().withColumn("many", F.count("*").over(Window.partitionBy("token")))
+        met = found.withColumn("many", F.count("*").over(Window.partitionBy("token")))  # a class has a pair once
         return written(self.spark, met.where("many > 1"), "postings")
 
     def texts(self, nodes: DataFrame) -> DataFrame:
@@ -206,7 +217,7 @@ class _Corpus:
         return written(self.spark, rows.select("node", F.col("text").alias("payload")), "texts")
 
     def signatures(self) -> DataFrame:
-        return self.classes.select("node", F.col("signature").alias("payload"))
+        return self.classes.select("node", F.col("brief").alias("payload"))
 
     def met(self, members: DataFrame, others: DataFrame, payloads: DataFrame, new_block, copy_for: int) -> DataFrame:
         """Holds ``others`` (``group``, ``block``, ``node``, ``component``) against
