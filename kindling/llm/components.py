@@ -24,12 +24,12 @@ def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
         named = labels.select(F.col("node").alias("b"), "label")
         heard = both.join(named, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
         heard = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("heard"))
-        told = heard.select("node", F.col("heard").alias("new")).unionByName(heard.select(F.col("label").alias("node"), F.col("heard").alias("new")))
-        told = told.groupBy("node").agg(F.min("new").alias("new"))
+        told = heard.select("node", F.col("heard").alias("new"), F.col("label").alias("old"))
+        told = told.unionByName(heard.select(F.col("label").alias("node"), F.col("heard").alias("new"), F.lit(None).cast("long").alias("old")))
+        told = told.groupBy("node").agg(F.min("new").alias("new"), F.max("old").alias("old"))
         jump = told.select(F.col("node").alias("at"), F.col("new").alias("jump"))
-        new = told.join(jump, F.col("new") == F.col("at")).select("node", F.least("new", "jump").alias("label"))
+        new = told.join(jump, F.col("new") == F.col("at")).select("node", F.least("new", "jump").alias("label"), "old")
         new = written(spark, new, "labels")
-        moved = new.join(labels.withColumnRenamed("label", "old"), "node").where(F.col("label") != F.col("old"))
-        if moved.isEmpty():
-            return new.withColumnRenamed("label", "component")
-        labels = new
+        labels = new.drop("old")
+        if new.where(F.col("label") != F.col("old")).isEmpty():
+            return labels.withColumnRenamed("label", "component")

@@ -16,16 +16,17 @@ from kindling.llm.components import connected_components
 #: Coordinates of a signature, and how many two signatures must share for their sets to be compared.
 #: At a similarity of 0.8 the shared coordinates are binomial (128, 0.8): fewer than 80 are 5 deviations off, 6e-7.
 COORDINATES, MATCHES = 128, 80
-#: By the prefix rule, sets with that many shared coordinates share one among the first PREFIX of either, in any common order.
-PREFIX = COORDINATES - MATCHES + 1
+#: By the prefix rule, sets with that many shared coordinates share MEETINGS among the first PREFIX of either, in any common order.
+MEETINGS = 8
+PREFIX = COORDINATES - MATCHES + MEETINGS
 #: Counters of how often a coordinate-value pair occurs, how many make one row, and the tasks that count at most.
 COUNTERS, COUNTERS_A_ROW, COUNTING_TASKS = 1 << 18, 1 << 12, 64
 _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
 _NO_ID = (1 << 63) - 1
-#: About how many members, and members of how many shingles, are held in memory to compare others with.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 1_000_000
+#: About how many members (2 MB of brief signatures), and members of how many shingles, are held in memory to compare others with.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 16384, 1_000_000
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -242,7 +243,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
 
     Documents of equal sets are one class. A class is posted under the rarest
     coordinate-value pairs of its MinHash signature: so many that two classes
-    with ``MATCHES`` shared coordinates have a posting in common. All members
+    with ``MATCHES`` shared coordinates have ``MEETINGS`` postings in common. All members
     of a posting list are held against its first; components of the links found
     so then leave only pairs of different components to be tried, which are
     all tried: a list of thousands of copies costs as many comparisons, not
@@ -267,8 +268,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     star = star.where((F.col("group") != F.col("node")) & _near_size(F.col("size"), F.col("head_size"), percent)).groupBy("group", "node").count()
     # Each class goes to the head with which it shares the most lists.
     group = star.groupBy("node").agg(F.max(F.struct("count", F.negate("group").alias("group"))).alias("best"))
-    group = written(spark, group.select("node", F.negate("best.group").alias("group")), "groups")
-    others = group.select("group", one.alias("block"), "node", F.col("node").alias("component"))
+    group = written(spark, group.select("node", F.negate("best.group").alias("group"), F.col("best.count").alias("count")), "groups")
+    # Those that share few lists with their head are no links of it, or else are tried with all that is left.
+    others = group.where(F.col("count") >= MEETINGS).select("group", one.alias("block"), "node", F.col("node").alias("component"))
     alone = group.select("group").distinct().select("group", one.alias("block"), F.col("group").alias("node"), F.col("group").alias("component"), one.alias("tag"))
     like = corpus.met(alone, others, signatures, _BySignature, 2048).select("group", one.alias("block"), F.col("b").alias("node"), F.col("b").alias("component"))
     like = written(spark, like, "like-heads")
@@ -280,7 +282,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     sizes = known.groupBy("component").count()
     ranked = known.join(sizes, "component").select("node", "component", "count")
     rank = F.struct(F.coalesce("count", F.lit(1)).alias("count"), F.coalesce("component", "node").alias("component"))
-    named = postings.join(ranked, "node", "left").join(group, "node", "left").select("token", "node", "size", F.coalesce("group", "node").alias("group"), rank.alias("rank"))
+    named = postings.join(ranked, "node", "left").join(group.drop("count"), "node", "left").select("token", "node", "size", F.coalesce("group", "node").alias("group"), rank.alias("rank"))
     bucket = Window.partitionBy("token")
     mixed = named.withColumn("low", F.min("rank").over(bucket)).withColumn("high", F.max("rank").over(bucket)).where(F.col("low") < F.col("high"))
     mixed = written(spark, mixed.drop("low", "high"), "mixed-postings")
@@ -290,10 +292,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     fits = (percent * F.col("size") <= 100 * F.col("most")) & (100 * F.col("size") >= percent * F.col("least"))
     elsewhere = mixed.select("token", "node", "size", "rank", F.col("group").alias("of")).join(there, "token")
     elsewhere = elsewhere.where((F.col("group") != F.col("of")) & (F.col("rank") < F.col("greatest")) & fits).select(columns)
-    tries = written(spark, own.unionByName(elsewhere).distinct(), "tries")
+    # A link shares MEETINGS lists at least, so a class meets the group of a link's other end in as many.
+    lists = own.unionByName(elsewhere).groupBy("group", "node", "component").count()
+    tries = written(spark, lists.where(F.col("count") >= MEETINGS).drop("count"), "tries")
 
     # Signatures are compared in blocks of many members; they say against which smaller blocks of sets a class must be held.
-    members = mixed.select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
+    members = mixed.join(tries.select("group").distinct(), "group").select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
     split = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("parts"))
     members = members.join(split, "group").select("group", "node", "component", *(F.pmod(F.xxhash64("node"), F.col(n)).alias(c) for c, n in (("block", "blocks"), ("part", "parts"))))
     members = written(spark, members, "members")
