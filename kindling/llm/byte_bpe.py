@@ -20,7 +20,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: What public_tokenizers.PATTERN matches in ASCII texts.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: Encoded pieces that a worker remembers; their memory is bounded, what they encode to is not changed.
-REMEMBERED, REMEMBERED_LENGTH, TOGETHER = 800_000, 64, 1 << 21
+REMEMBERED, REMEMBERED_LENGTH, TOGETHER = 400_000, 64, 1 << 20
 
 
 @lru_cache(4)
@@ -156,7 +156,7 @@ class _Pieces(dict):
     """Piece of text -> its ids as 32-bit integers; those that texts have are encoded many at a time."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.pairs = ranks, _Pairs(ranks)
+        self.ranks, self.pairs, self.older = ranks, _Pairs(ranks), {}
 
     def learn(self, pieces: set[str]) -> None:
         by_size: dict[int, list[str]] = {}
@@ -176,10 +176,14 @@ class _Pieces(dict):
     def encode(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of texts given as their pieces."""
         new = set().union(*texts).difference(self)
-        if len(self) + len(new) > REMEMBERED:
+        if len(self) + len(new) > REMEMBERED // 2:
+            self.older = dict(self)
             self.clear()
             new = set().union(*texts)
-        self.learn(new)
+        # What is met again stays known; the rest goes when the next half is full.
+        again = new.intersection(self.older)
+        self.update((p, self.older[p]) for p in again)
+        self.learn(new - again)
         out = [b"".join(map(self.__getitem__, t)) for t in texts]
         for p in [p for p in new if len(p) > REMEMBERED_LENGTH]:
             del self[p]
@@ -223,6 +227,24 @@ def decode_ids(ids: list[int], path: str) -> bytes:
     return b"".join(map(_vocabulary(path).__getitem__, ids))
 
 
+def _ids(batch: pa.RecordBatch, path: str, pattern: str) -> pa.ListArray:
+    ids = encode_texts(batch.column(0).to_pylist(), path, pattern)
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+
+
+def _decoded(ids: pa.ListArray, path: str) -> pa.Array:
+    # Offsets and values are taken as arrays: as Python lists of a whole batch they cost more than the decoding.
+    offsets = ids.offsets.to_numpy()
+    values = ids.values.to_numpy(zero_copy_only=False)
+    return binary_array([decode_ids(values[a:z].tolist(), path) for a, z in zip(offsets[:-1], offsets[1:], strict=True)])
+
+
+def _by_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    rows = docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
+    return rows, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
+
+
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``row`` (the columns of ``docs`` but the text) and ``ids`` (array of
     ints), the tokens of each whole text by the rank file at ``path``, every match of
@@ -233,12 +255,10 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
 
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encode_texts(batch.column(0).to_pylist(), path, pattern)
-        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        return pa.record_batch([batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))], ["row", "ids"])
+        return pa.record_batch([batch.column(1), _ids(batch, path, pattern)], ["row", "ids"])
 
-    rows = docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
+    rows, kind = _by_row(docs)
+    return rows.mapInArrow(run, kind)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -246,16 +266,27 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [decode_ids(ids, path) if ids else b"" for ids in batch.column(1).to_pylist()]
-        return pa.record_batch([batch.column(0), batch.column(1), binary_array(texts)], ["row", "ids", "decoded"])
+        return pa.record_batch([*batch.columns, _decoded(batch.column(1), path)], ["row", "ids", "decoded"])
 
     encoded = encoded.select("row", "ids")
     return encoded.mapInArrow(run, f"row {encoded.schema['row'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """:func:`decode` of :func:`encode`, in the same Python workers: half as many of them, and ids cross to the JVM once."""
+
+    @per_batch
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = _ids(batch, path, pattern)
+        return pa.record_batch([batch.column(1), ids, _decoded(ids, path)], ["row", "ids", "decoded"])
+
+    rows, kind = _by_row(docs)
+    return rows.mapInArrow(run, f"{kind}, decoded binary")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    coded = decode(encode(table(spark, sf_dir, "documents", "doc_id", "text"), path), path)
+    coded = encode_and_decode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
     return coded.select(
         "row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
