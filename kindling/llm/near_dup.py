@@ -14,8 +14,9 @@ from kindling.llm.common import binary_array, mix, per_batch, shingles, table, u
 from kindling.llm.components import connected_components
 
 #: Coordinates of a signature, and how many two signatures must share for their sets to be compared.
-#: At a similarity of 0.8 the shared coordinates are binomial (128, 0.8): fewer than 80 are 5 deviations off, 6e-7.
-COORDINATES, MATCHES = 128, 80
+#: At a similarity of 0.8 the shared coordinates are binomial (64, 0.8): fewer than 34 have a probability of 3.2e-7.
+#: (128 coordinates and 80 matches miss 1.4e-6 and post 56 pairs a document instead of 38.)
+COORDINATES, MATCHES = 64, 34
 #: By the prefix rule, sets with that many shared coordinates share MEETINGS among the first PREFIX of either, in any common order.
 MEETINGS = 8
 PREFIX = COORDINATES - MATCHES + MEETINGS
@@ -25,7 +26,7 @@ _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
 _NO_ID = (1 << 63) - 1
-#: About how many members (2 MB of brief signatures), and members of how many shingles, are held in memory to compare others with.
+#: About how many members (1 MB of brief signatures), and members of how many shingles, are held in memory to compare others with.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 16384, 1_000_000
 
 
