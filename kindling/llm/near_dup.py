@@ -20,8 +20,6 @@ COORDINATES, MATCHES = 64, 34
 #: By the prefix rule, sets with that many shared coordinates share MEETINGS among the first PREFIX of either, in any common order.
 MEETINGS = 8
 PREFIX = COORDINATES - MATCHES + MEETINGS
-#: Counters of how often a coordinate-value pair occurs, how many make one row, and the tasks that count at most.
-COUNTERS, COUNTERS_A_ROW, COUNTING_TASKS = 1 << 18, 1 << 12, 64
 _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
@@ -72,32 +70,11 @@ def _sets(n_words: int):
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(COUNTERS, np.int64)
-    for b in batches:
-        counts += np.bincount((_tokens(_signatures(b.column(0))) & _U64(COUNTERS - 1)).astype(np.int64).ravel(), minlength=COUNTERS)
-    parts = counts.reshape(-1, COUNTERS_A_ROW)
-    yield pa.record_batch([pa.array(np.arange(len(parts))), binary_array([p.tobytes() for p in parts])], ["part", "counts"])
-
-
-def _sum_counts(part: pa.Table) -> pa.Table:
-    """Adds up the rows of one part: one from each of ``COUNTING_TASKS`` tasks at most."""
-    counts = sum(np.frombuffer(x.as_py(), np.int64) for x in part.column("counts"))
-    return pa.table([part.column("part")[:1], binary_array([counts.tobytes()])], ["part", "counts"])
-
-
-def _postings(counts) -> object:
-    @per_batch
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = _tokens(_signatures(batch.column(2)))
-        # Rare pairs first, in one order for all documents: by the counter, then by the key.
-        often = counts.value[(tokens & _U64(COUNTERS - 1)).astype(np.int64)]
-        order = np.lexsort((tokens, often), axis=1)[:, :PREFIX]
-        first = np.take_along_axis(tokens, order, 1).view(np.int64)
-        node, size = (np.repeat(batch.column(i).to_numpy(), PREFIX) for i in (0, 1))
-        return pa.record_batch([pa.array(first.ravel()), pa.array(node), pa.array(size)], ["token", "node", "size"])
-
-    return run
+@per_batch
+def _pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    tokens = _tokens(_signatures(batch.column(2))).view(np.int64)
+    node, size = (np.repeat(batch.column(i).to_numpy(), COORDINATES) for i in (0, 1))
+    return pa.record_batch([pa.array(tokens.ravel()), pa.array(node), pa.array(size)], ["token", "node", "size"])
 
 
 class _Block:
@@ -202,15 +179,18 @@ class _Corpus:
         self.classes = written(spark, classes, "shingle-classes")
 
     def postings(self) -> DataFrame:
-        """``token``, ``node``, ``size``: each class under the rarest coordinate-value pairs of its signature, where two classes or more meet."""
-        spread = self.classes.select("signature").coalesce(COUNTING_TASKS)
-        kind = "part long, counts binary"
-        counted = spread.mapInArrow(_count, kind).groupBy("part").applyInArrow(_sum_counts, kind).orderBy("part").collect()
-        counts = np.frombuffer(b"".join(r["counts"] for r in counted), np.int64) if counted else np.zeros(COUNTERS, np.int64)
-        counts = self.spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))  # COUNTERS numbers
-        found = self.classes.select("node", "size", "signature").mapInArrow(_postings(counts), "token long, node long, size long")
-        met = found.withColumn("many", F.count("*").over(Window.partitionBy("token")))  # a class has a pair once
-        return written(self.spark, met.where("many > 1"), "postings")
+        """``token``, ``node``, ``size``, ``many``: each class under the rarest coordinate-value pairs of its signature, where
+        ``many`` classes, two or more, have the pair. Pairs are ordered by ``many``, then by the key; those of one class alone
+        come first, fill the prefix and are posted nowhere."""
+        pairs = self.classes.select("node", "size", "signature").mapInArrow(_pairs, "token long, node long, size long")
+        pairs = written(self.spark, pairs, "pairs")  # a class has a pair once
+        often = pairs.groupBy("token").agg(F.count("*").alias("many")).where("many > 1")
+        own = Window.partitionBy("node")
+        shared = pairs.join(often, "token").withColumn("nth", F.row_number().over(own.orderBy("many", "token")))
+        shared = shared.withColumn("alone", F.lit(COORDINATES) - F.count("*").over(own))
+        # A class with more pairs alone has fewer than MATCHES to share.
+        shared = shared.where((F.col("alone") <= PREFIX - MEETINGS) & (F.col("alone") + F.col("nth") <= PREFIX))
+        return written(self.spark, shared.drop("alone", "nth"), "postings")
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """``node`` and ``payload``, a text of the class, for the classes of ``nodes``."""
@@ -286,7 +266,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     named = postings.join(ranked, "node", "left").join(group.drop("count"), "node", "left").select("token", "node", "size", F.coalesce("group", "node").alias("group"), rank.alias("rank"))
     bucket = Window.partitionBy("token")
     mixed = named.withColumn("low", F.min("rank").over(bucket)).withColumn("high", F.max("rank").over(bucket)).where(F.col("low") < F.col("high"))
-    mixed = written(spark, mixed.drop("low", "high"), "mixed-postings")
+    # Both ends of a link that is still missing are in MEETINGS such lists at least.
+    mixed = mixed.withColumn("lists", F.count("*").over(Window.partitionBy("node"))).where(F.col("lists") >= MEETINGS)
+    mixed = written(spark, mixed.drop("low", "high", "lists"), "mixed-postings")
     there = mixed.groupBy("token", "group").agg(F.max("rank").alias("greatest"), F.min("size").alias("least"), F.max("size").alias("most"))
     columns = ["group", "node", F.col("rank.component").alias("component")]
     own = mixed.withColumn("greatest", F.max("rank").over(Window.partitionBy("token", "group"))).where(F.col("rank") < F.col("greatest")).select(columns)
