@@ -79,14 +79,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_hashes(text: bytes, separators: np.ndarray = BY_SPACE) -> np.ndarray:
-    """64-bit hashes of the words of a whole text, in order.
-
-    A word's hash is a polynomial in its bytes, got from two prefix sums, so no
-    word becomes a Python object. The text is taken in blocks of about 1 MB
-    that end at a separator, which bounds the memory of very long texts.
-    """
-    data, at, out = np.frombuffer(text, np.uint8), 0, []
+def _blocks(text: bytes, separators: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """A whole text in blocks of about 1 MB that end at a separator, which
+    bounds the memory of very long texts: the bytes, where words start and end,
+    prefix sums of the bytes' polynomial and the powers to divide it by."""
+    data, at = np.frombuffer(text, np.uint8), 0
     while at < len(data):
         end = at + _BLOCK
         if end < len(data):
@@ -104,10 +101,32 @@ def word_hashes(text: bytes, separators: np.ndarray = BY_SPACE) -> np.ndarray:
         up, down = _powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, _U64)
         np.cumsum(_CODES[part] * up[:len(part)], out=sums[1:])
-        out.append(mix((sums[ends] - sums[starts]) * down[starts]))
+        yield part, starts, ends, sums, down
+
+
+def word_hashes(text: bytes, separators: np.ndarray = BY_SPACE) -> np.ndarray:
+    """64-bit hashes of the words of a whole text, in order.
+
+    A word's hash is a polynomial in its bytes, got from two prefix sums, so no
+    word becomes a Python object."""
+    out = [mix((sums[ends] - sums[starts]) * down[starts]) for _, starts, ends, sums, down in _blocks(text, separators)]
     return np.concatenate(out) if out else np.empty(0, _U64)
 
 
+def beginnings(text: bytes, lengths: tuple[int, ...], separators: np.ndarray = BY_SPACE) -> list[np.ndarray]:
+    """For each of ``lengths`` the 64-bit hashes of the first so many characters of all longer words, in order."""
+    out: list[list[np.ndarray]] = [[] for _ in lengths]
+    for part, starts, ends, sums, down in _blocks(text, separators):
+        characters = np.append(np.flatnonzero((part & 0xC0) != 0x80), [len(part)] * max(lengths))
+        first = np.searchsorted(characters, starts)
+        for found, n in zip(out, lengths, strict=True):
+            stop = characters[first + n]
+            longer = stop < ends
+            begin = starts[longer]
+            found.append(mix((sums[stop[longer]] - sums[begin]) * down[begin]))
+    return [np.concatenate(found) if found else np.empty(0, _U64) for found in out]
+
+
 def windows(words: np.ndarray, n: int) -> np.ndarray:
     """64-bit hashes of all windows of ``n`` words; no window of fewer words."""
     if len(words) < n:

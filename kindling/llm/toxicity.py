@@ -9,21 +9,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindling.llm.common import BY_NON_LETTER, per_batch, word_hashes, written
-
-#: At most about this many labelled documents are fitted, and at most this many words are features.
-FIT_ROWS, MAX_FEATURES = 20_000, 4096
-#: A feature is found in this many fitted documents, and its grades differ from all documents' by this z-score.
-MIN_DOCS, MIN_Z = 5, 5.5
-#: Toxic documents with this many occurrences of telling words or more are of the higher grade.
+from kindling.llm.common import BY_NON_LETTER, beginnings, binary_array, per_batch, word_hashes, written
+
+#: At most about this many labelled documents are fitted.
+FIT_ROWS = 20_000
+#: Besides whole words, the beginnings of longer words with this many characters are features: they stay where endings vary.
+BEGINNINGS = (3, 4, 5, 6)
+#: A feature is found in this many fitted documents: a weight for what only one has would be that document's alone.
+MIN_DOCS = 2
+#: A feature's values are scaled by its z-score in units of this one, so the penalty costs uneven features less. None is left out.
+#: A feature of this z-score or more that is found in toxic documents only, or nearly so, is telling.
+UNIT_Z = 5.5
+#: Toxic documents with this many occurrences of telling words or beginnings of one length are of the higher grade.
 SEVERE_FROM = 5
+#: Cells of the sparse matrix that are taken at a time.
+CELLS = 1 << 20
+_KIND_BITS = 3
+
 
+def feature_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct features of a whole text (letters and digits, lower-cased) and their counts.
 
-def word_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the distinct words of a whole text (letters and digits, lower-cased) and their counts."""
-    hashes = word_hashes(text.lower().encode("utf-8", "replace"), BY_NON_LETTER) if text else np.empty(0, np.uint64)
-    hashes, n = np.unique(hashes, return_counts=True)
-    return hashes.view(np.int64), n
+    A feature is 28 bits of a hash and the kind: 0 for whole words, then one for each length of ``BEGINNINGS``."""
+    if not text:
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    data = text.lower().encode("utf-8", "replace")
+    kinds = [word_hashes(data, BY_NON_LETTER), *beginnings(data, BEGINNINGS, BY_NON_LETTER)]
+    ids = [(h >> np.uint64(36) << np.uint64(_KIND_BITS) | np.uint64(kind)).astype(np.int32) for kind, h in enumerate(kinds)]
+    return np.unique(np.concatenate(ids), return_counts=True)
 
 
 @dataclass
@@ -54,22 +67,24 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     theta = np.concatenate((np.zeros(n_features), start[:1], np.log(np.maximum(np.diff(start), 1e-2))))
     first, second, n = np.zeros_like(theta), np.zeros_like(theta), len(grades)
     at, everyone = np.arange(n), np.ones(n)
+    parts = [slice(i, i + CELLS) for i in range(0, len(rows), CELLS)]
     for step in range(1, steps + 1):
         w, gaps = theta[:n_features], np.exp(theta[n_features + 1:])
         cuts = np.concatenate((theta[n_features:n_features + 1], theta[n_features] + np.cumsum(gaps)))
-        score = np.bincount(rows, values * w[columns], n)
+        score = sum((np.bincount(rows[p], values[p] * w[columns[p]], n) for p in parts), np.zeros(n))
         over = 1 / (1 + np.exp(np.clip(cuts - score[:, None], -50, 50)))
         over = np.column_stack((everyone, over, 0 * everyone))  # P(grade > -1), ..., P(grade > top)
         slope = over * (1 - over)
         upper, lower = slope[at, grades], slope[at, grades + 1]
-        p = np.maximum(over[at, grades] - over[at, grades + 1], 1e-12)
-        by_score = (upper - lower) / p
+        chance = np.maximum(over[at, grades] - over[at, grades + 1], 1e-12)
+        by_score = (upper - lower) / chance
         by_cut = np.zeros((n, top + 2))
-        np.add.at(by_cut, (at, grades), -upper / p)
-        np.add.at(by_cut, (at, grades + 1), lower / p)
+        np.add.at(by_cut, (at, grades), -upper / chance)
+        np.add.at(by_cut, (at, grades + 1), lower / chance)
         by_cut = by_cut[:, 1:-1].sum(0)
         gap_gradient = np.array([by_cut[k + 1:].sum() * gaps[k] for k in range(top - 1)])
-        gradient = np.concatenate((np.bincount(columns, values * by_score[rows], n_features) - l2 * w, [by_cut.sum()], gap_gradient))
+        by_weight = sum((np.bincount(columns[p], values[p] * by_score[rows[p]], n_features) for p in parts), -l2 * w)
+        gradient = np.concatenate((by_weight, [by_cut.sum()], gap_gradient))
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta += 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
     gaps = np.exp(theta[n_features + 1:])
@@ -77,51 +92,67 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
 
 
 @per_batch
-def _words(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found = [word_counts(t) for t in batch.column(0).to_pylist()]
-    ends = pa.array(np.cumsum([0, *(len(h) for h, _ in found)], dtype=np.int32))
-    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[i] for f in found]).astype(np.int64))) for i in (0, 1)]
-    return pa.record_batch([batch.column(1), batch.column(2), *lists], ["doc_id", "toxic", "word", "n"])
+def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
+    found = [feature_counts(t) for t in batch.column(0).to_pylist()]
+    ids, counts = (binary_array([f[i].astype(np.int32).tobytes() for f in found]) for i in (0, 1))
+    return pa.record_batch([batch.column(1), batch.column(2), ids, counts], ["doc_id", "toxic", "features", "counts"])
+
+
+def _joined(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.int32)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ordinal | None:
     """An ordinal model out of about ``fit_rows`` labelled documents, chosen by a hash of their id.
 
     ``labels`` only says toxic or not, so the grades are 0 (not toxic), 1 and 2
-    (toxic, with fewer than ``SEVERE_FROM`` occurrences of words that are
-    telling for toxic documents, or more). Features are the words whose
-    documents' grades differ most from all documents'. Labels that are null or
-    contradict each other don't count. None if either label is missing."""
+    (toxic, with fewer than ``SEVERE_FROM`` occurrences of words, or beginnings
+    of one length, that are telling for toxic documents, or more). All words
+    and beginnings of words found in ``MIN_DOCS`` fitted documents are features;
+    the penalty decides what they weigh. Labels that are null or contradict
+    each other don't count. None if either label is missing.
+
+    The driver holds about 20 bytes for each distinct feature of each fitted document."""
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
     known = known.where((F.col("low") == F.col("high")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), (F.col("low") > 0).alias("toxic"))
     share = min(1.0, fit_rows / max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else known
     # About fit_rows rows are broadcast, whatever the size of the table.
     sample = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
-    words = written(spark, sample.select("text", "doc_id", "toxic").mapInArrow(_words, "doc_id long, toxic boolean, word array<long>, n array<long>"), "toxic-words")
-    n_toxic, n_docs = words.agg(F.count_if("toxic"), F.count("*")).first()
-    if not 0 < n_toxic < n_docs:
+    found = sample.select("text", "doc_id", "toxic").mapInArrow(_features, "doc_id long, toxic boolean, features binary, counts binary").toArrow().to_pandas()
+    toxic = found["toxic"].to_numpy(bool)
+    if not 0 < toxic.sum() < len(toxic):
         return None
-    each = words.select("doc_id", "toxic", F.explode(F.arrays_zip("word", "n")).alias("w")).select("doc_id", "toxic", "w.word", "w.n")
-    rate = n_toxic / n_docs
-    seen = each.groupBy("word").agg(F.count("*").alias("found"), F.count_if("toxic").alias("in_toxic")).where(F.col("found") >= MIN_DOCS)
-    z = (F.col("in_toxic") - F.col("found") * rate) / F.sqrt(F.col("found") * rate * (1 - rate))
-    telling = seen.withColumn("z", z).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "word").limit(MAX_FEATURES).toPandas()
-    if telling.empty:
+    found = found.sort_values(["doc_id", "features", "counts"], ignore_index=True)
+    toxic, sizes = found["toxic"].to_numpy(bool), found["features"].map(len).to_numpy() // 4
+    ids, counts = (_joined(found.pop(c).tolist()) for c in ("features", "counts"))
+    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), sizes)
+    features, n_found = np.unique(ids, return_counts=True)
+    features = features[n_found >= MIN_DOCS]
+    if not len(features):
         return None
-    features = np.sort(telling["word"].to_numpy(np.int64))
-    severe = telling.loc[(telling["z"] > 0) & (telling["in_toxic"] > 0.9 * telling["found"]), "word"].tolist()
-    chosen = F.broadcast(spark.createDataFrame([(int(x), int(x) in set(severe)) for x in features], "word long, severe boolean"))
-    cells = each.join(chosen, "word").toPandas()
-    people = words.select("doc_id", "toxic").toPandas().drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
-    cells = cells.drop_duplicates(["doc_id", "word"])
-    rows = np.searchsorted(people["doc_id"].to_numpy(), cells["doc_id"].to_numpy())
-    signs = np.bincount(rows, cells["n"].to_numpy() * cells["severe"].to_numpy(), len(people))
-    grades = np.where(people["toxic"].to_numpy(bool), np.where(signs >= SEVERE_FROM, 2, 1), 0)
+    columns, kept = _places(features, ids)
+    rows, columns, counts = rows[kept], columns[kept], counts[kept]
+    n_found, in_toxic = np.bincount(columns, minlength=len(features)), np.bincount(columns[toxic[rows]], minlength=len(features))
+    rate = toxic.mean()
+    z = (in_toxic - n_found * rate) / np.sqrt(n_found * rate * (1 - rate))
+    severe = (z >= UNIT_Z) & (in_toxic > 0.9 * n_found)
+    kinds, signs = features & (1 << _KIND_BITS) - 1, np.zeros(len(toxic))
+    for kind in range(1 + len(BEGINNINGS)):  # a word has one beginning of each length at most
+        of_kind = (severe & (kinds == kind))[columns]
+        signs = np.maximum(signs, np.bincount(rows[of_kind], counts[of_kind], len(toxic)))
+    grades = np.where(toxic, np.where(signs >= SEVERE_FROM, 2, 1), 0)
     grades = np.unique(grades, return_inverse=True)[1]  # a grade that none has gets no cut
-    columns = np.searchsorted(features, cells["word"].to_numpy())
-    weights, cuts = fit_ordinal(rows, columns, _value(cells["n"].to_numpy()), grades, len(features))
-    return Ordinal(features, weights, cuts)
+    scale = np.abs(z) / UNIT_Z
+    values = _value(counts.astype(np.float32)) * scale.astype(np.float32)[columns]
+    weights, cuts = fit_ordinal(rows, columns, values, grades, len(features), steps=100)
+    return Ordinal(features, weights * scale, cuts)
+
+
+def _places(features: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each id is in the sorted ``features``, and whether it is there."""
+    at = np.minimum(np.searchsorted(features, ids), len(features) - 1).astype(np.int32)
+    return at, features[at] == ids
 
 
 def severity(spark: SparkSession, docs: DataFrame, model: Ordinal | None) -> DataFrame:
@@ -130,7 +161,7 @@ def severity(spark: SparkSession, docs: DataFrame, model: Ordinal | None) -> Dat
     Null and empty texts have no words and the severity of a document without
     features. Without a model nothing is toxic. Repeated rows are graded
     alike; no rows give no rows."""
-    sent = spark.sparkContext.broadcast(model)  # MAX_FEATURES weights at most
+    sent = spark.sparkContext.broadcast(model)  # a weight for each feature of the fitted documents
 
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,9 +169,8 @@ def severity(spark: SparkSession, docs: DataFrame, model: Ordinal | None) -> Dat
         if m is None:
             return pa.record_batch([batch.column(1), pa.array(score), pa.array(score > 0)], ["row", "severity", "toxic"])
         for i, text in enumerate(batch.column(0).to_pylist()):
-            words, n = word_counts(text)
-            at = np.minimum(np.searchsorted(m.features, words), len(m.features) - 1)
-            hit = m.features[at] == words
+            ids, n = feature_counts(text)
+            at, hit = _places(m.features, ids)
             score[i] = (_value(n[hit]) * m.weights[at[hit]]).sum()
         over = m.exceeds(score)
         return pa.record_batch([batch.column(1), pa.array(over.sum(1)), pa.array(over[:, 0] >= 0.5)], ["row", "severity", "toxic"])

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindling.llm import (byte_bpe, chat, language_id, line_dedup, near_dup, packing, quality, topk_search, toxicity, warc)
-from kindling.llm.common import BY_NON_LETTER, shingles, word_hashes
+from kindling.llm.common import BY_NON_LETTER, beginnings, shingles, word_hashes
 from kindling.llm.components import connected_components
 from tests.conftest import rows
 
@@ -262,6 +262,25 @@ def test_toxicity_catches_and_spares(spark, edge):
     assert toxicity.severity(spark, edge.limit(0), model).count() == 0
 
 
+def test_beginnings_of_words():
+    text = "réeuxment réeuxan ré abc abcd " * 70_000  # several blocks
+    three, five = beginnings(text.encode(), (3, 5))
+    words = word_hashes("rée abc réeux".encode())
+    assert three.tolist() == [words[0], words[0], words[1]] * 70_000 and five.tolist() == [words[2]] * 2 * 70_000
+
+
+def test_toxicity_is_caught_in_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(spark, docs, labels.where("doc_id % 3 <> 0"))
+    held = docs.join(labels.where("doc_id % 3 = 0").withColumnRenamed("toxic", "label"), "doc_id")
+    said = collections.Counter((r.row.lang, r.row.label, r.toxic) for r in toxicity.severity(spark, held, model).collect())
+    recall = {lang: said[lang, 1, True] / (said[lang, 1, True] + said[lang, 1, False]) for lang in ("en", "de", "es", "fr")}
+    assert min(recall.values()) >= 0.85, recall
+    wrong = sum(n for (_, label, toxic), n in said.items() if toxic and not label)
+    assert wrong <= 0.005 * sum(n for (_, label, _), n in said.items() if not label), said
+
+
 PAGES = [(1, "http://www.a.example/x?y#z", "p" * 1500), (9, "http://b.a.example:80/", "p" * 1500), (4, "https://a.example/x?y", "p" * 1500), (5, None, None), (6, "bad\r\nurl", "é\r\n\r\nWARC/1.1\r\n"),
          (7, "http://a.example/s", "small"), (8, "http://a.example/s", "small"), (8, "http://a.example/s", "small"), (None, "u", "q" * 2000), (11, "u", "q" * 2000)]
 
