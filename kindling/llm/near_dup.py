@@ -181,23 +181,28 @@ def _near_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _known_id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(_NO_ID))
+
+
 class _Corpus:
     """Documents as classes of equal shingle sets, each under one node."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, n_words: int, percent: int):
         self.spark, self.n_words, self.percent = spark, n_words, percent
-        self.docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+        self.docs = docs.select(_known_id(F.col("doc_id")).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
         self.sets = written(spark, self.docs.mapInArrow(_sets(n_words), "doc_id long, text_hash long, n_shingles long, digest binary, signature binary, brief binary"), "shingle-sets")
         some = self.sets.where("digest IS NOT NULL")
         classes = some.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").alias("doc"), "text_hash")).alias("head"), F.min("n_shingles").alias("size"),
                                              F.first(F.struct("signature", "brief")).alias("minima"))
         # A class is known by its smallest document. Where texts share a doc_id, the others are known by their digest, below 0.
         # Signatures stay where the digests' groups are; only ids and digests are dealt by document.
-        own = Window.partitionBy("doc").orderBy("digest")
-        named = some.groupBy("digest").agg(F.min("doc_id").alias("doc")).withColumn("nth", F.row_number().over(own))
-        classes = classes.join(named.where("nth > 1").select("digest", "nth"), "digest", "left")
+        # The least digest of a document is found before and after a shuffle: an id that very many rows share is no single task's.
+        named = some.groupBy("digest").agg(F.min("doc_id").alias("doc"))
+        first = named.groupBy("doc").agg(F.min("digest").alias("digest")).select("digest", F.lit(True).alias("first"))
+        classes = classes.join(first, "digest", "left")
         other = -1 - F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
-        node = F.when(F.col("nth").isNull(), F.col("head.doc")).otherwise(other).alias("node")
+        node = F.when(F.col("first"), F.col("head.doc")).otherwise(other).alias("node")
         classes = classes.select("digest", "head.*", "size", "minima.*", node)
         self.classes = written(spark, classes, "shingle-classes")
 
@@ -236,26 +241,9 @@ class _Corpus:
         return rows.mapInArrow(_meet(new_block), "group long, tag long, a long, b long")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest ``doc_id``
-    reachable by links) of every row of ``docs``. Linked are documents whose
-    sets of distinct ``n_words``-word shingles have a Jaccard similarity of at
-    least ``percent`` %; a text of fewer words is one shingle.
-
-    Documents of equal sets are one class. A class is posted under the rarest
-    coordinate-value pairs of its MinHash signature: so many that two classes
-    with ``MATCHES`` shared coordinates have ``MEETINGS`` postings in common. All members
-    of a posting list are held against its first; components of the links found
-    so then leave only pairs of different components to be tried, which are
-    all tried: a list of thousands of copies costs as many comparisons, not
-    their square, and no link is left out. A pair is tried by the number of
-    coordinates that match, then by its full sets. A link of similarity 0.8
-    itself is missed with a probability under 1e-6, by a signature that falls
-    short of ``MATCHES``; linked documents of a group have many such chances.
-
-    Null and empty texts have no set and are linked with nothing. Rows that
-    share a ``doc_id`` are one document; null ids are one document after all
-    others. No rows give no rows; other columns are not read."""
+def _linked_rows(spark: SparkSession, docs: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """``doc_id`` (``_NO_ID`` for null), ``text_hash``, ``n_shingles`` and ``smallest`` (``doc`` and
+    ``text_hash`` of the smallest row of the component; null without shingles) of every row of ``docs``."""
     corpus = _Corpus(spark, docs, n_words, percent)
     postings = corpus.postings()
     signatures = corpus.signatures()
@@ -313,21 +301,52 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     links = first.unionByName(found.select("a", "b"))
     found = connected_components(spark, links)
 
-    classes = corpus.classes.select("digest", "node", "doc").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = classes.groupBy("component").agg(F.min("doc").alias("smallest"))
+    classes = corpus.classes.select("digest", "node", "doc", "text_hash").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = classes.groupBy("component").agg(F.min(F.struct("doc", "text_hash")).alias("smallest"))
     classes = written(spark, classes.join(smallest, "component").select(F.col("digest").alias("same"), "smallest"), "class-components")
-    rows = corpus.sets.select("doc_id", "n_shingles", "digest").join(classes, F.col("digest") == F.col("same"), "left")
-    # Rows of one document that are in several components join them.
+    rows = corpus.sets.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, F.col("digest") == F.col("same"), "left")
+    return rows.select("doc_id", "text_hash", "n_shingles", "smallest")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest ``doc_id``
+    reachable by links) of every row of ``docs``. Linked are documents whose
+    sets of distinct ``n_words``-word shingles have a Jaccard similarity of at
+    least ``percent`` %; a text of fewer words is one shingle.
+
+    Documents of equal sets are one class. A class is posted under the rarest
+    coordinate-value pairs of its MinHash signature: so many that two classes
+    with ``MATCHES`` shared coordinates have ``MEETINGS`` postings in common. All members
+    of a posting list are held against its first; components of the links found
+    so then leave only pairs of different components to be tried, which are
+    all tried: a list of thousands of copies costs as many comparisons, not
+    their square, and no link is left out. A pair is tried by the number of
+    coordinates that match, then by its full sets. A link of similarity 0.8
+    itself is missed with a probability under 1e-6, by a signature that falls
+    short of ``MATCHES``; linked documents of a group have many such chances.
+
+    Null and empty texts have no set and are linked with nothing. Every row is
+    a document of its own, linked by its text alone: rows that share a
+    ``doc_id`` but not a component have one ``component_id`` each, and join no
+    components. Null ids come after all others; components of rows without ids
+    are told apart by no ``component_id``. No rows give no rows; other columns
+    are not read."""
+    rows = _linked_rows(spark, docs, n_words, percent)
     real = lambda c: F.nullif(c, F.lit(_NO_ID))
-    return rows.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(F.coalesce("smallest", "doc_id")).alias("component_id"))
+    return rows.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(F.coalesce("smallest.doc", "doc_id")).alias("component_id"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component; of rows that repeat one, one."""
-    found = near_duplicates(spark, docs, n_words, percent)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row")).join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    return rows.select("row.*").dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each component: of its smallest ``doc_id`` (null
+    after all others), and of that id's texts one. Rows whose texts are linked
+    with nothing stay, whatever id they share; of rows equal in ``doc_id`` and
+    text, one."""
+    found = _linked_rows(spark, docs, n_words, percent)
+    gone = found.where(F.struct(F.col("doc_id").alias("doc"), "text_hash") != F.col("smallest"))
+    gone = gone.select(F.col("doc_id").alias("gone"), F.col("text_hash").alias("gone_hash")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = (_known_id(F.col("row.doc_id")) == F.col("gone")) & (F.xxhash64("row.text") == F.col("gone_hash"))
+    return rows.join(gone, same, "left_anti").select("row.*").dropDuplicates(["doc_id", "text"])
 
 
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

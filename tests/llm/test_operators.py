@@ -186,6 +186,19 @@ def test_near_duplicates_edge_cases(spark, edge):
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(spark, same_id).collect()}[2] == 1
 
 
+def test_one_of_each_drops_rows_by_their_own_text(spark):
+    a, b, c, d, e = ("a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z 1 2", "3 4 5 6 7 8 9")
+    docs = [(None, a), (None, a.upper()), (None, b), (None, c), (None, c), (None, ""), (1, a), (2, d), (3, d), (3, e), (4, ""), (4, "x y")]
+    kept = near_dup.one_of_each(spark, spark.createDataFrame(docs, "doc_id long, text string").withColumn("gone", F.lit(1)))
+    assert rows(kept, "doc_id", "text") == sorted([(1, a), (2, d), (3, e), (4, ""), (4, "x y"), (None, ""), (None, b), (None, c)], key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def test_near_duplicates_are_linked_by_text_alone(spark):
+    a, b = "a b c d e f g", "h i j k l m n"
+    docs = spark.createDataFrame([(0, a), (1, a), (1, b), (2, b)], "doc_id long, text string")
+    assert rows(near_dup.near_duplicates(spark, docs), "doc_id", "component_id") == [(0, 0), (1, 0), (1, 1), (2, 1)]
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (103, 101), (200, 200)]
     got = rows(connected_components(spark, spark.createDataFrame(links, "a long, b long")))
