@@ -29,9 +29,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-    return loaded
+    return Tokenizer.from_file(path)
 
 
 class _Chunks:

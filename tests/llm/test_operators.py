@@ -251,6 +251,18 @@ def test_packing_matches_the_tokenizer(spark, edge):
     assert packing.pack_documents(spark, edge.limit(0), path).count() == 0
 
 
+def test_packing_keeps_special_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = P.path(packing.TOKENIZER)
+    texts = ["a <|endoftext|> b", "<|startoftext|>Foo<|endoftext|>bar.", "x,<|endoftext|>", "<|endoftext|>" * 3 + " <|ENDOFTEXT|> <|endoftext |>", "it's<|endoftext|>'s 12<|startoftext|>3!?"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fresh = Tokenizer.from_file(path)
+    want = {i: [*fresh.encode(x, add_special_tokens=False).ids, 0] for i, x in enumerate(texts)}
+    assert want[0] == [320, 49407, 321, 0]
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.token_pieces(docs, path).collect()} == want
+
+
 def test_ordinal_regression_orders_grades():
     rng = np.random.default_rng(4)
     n, columns = 3000, 6
