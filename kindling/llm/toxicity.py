@@ -131,8 +131,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     features = features[n_found >= MIN_DOCS]
     if not len(features):
         return None
-    columns, kept = _places(features, ids)
-    rows, columns, counts = rows[kept], columns[kept], counts[kept]
+    del n_found
+    # Cells are taken in parts, and what is read is let go: the driver holds them all.
+    parts = [_places(features, ids[i:i + CELLS]) for i in range(0, len(ids), CELLS)]
+    columns, kept = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    del ids, parts
+    columns = columns[kept]
+    counts = counts[kept]
+    rows = rows[kept]
     n_found, in_toxic = np.bincount(columns, minlength=len(features)), np.bincount(columns[toxic[rows]], minlength=len(features))
     rate = toxic.mean()
     z = (in_toxic - n_found * rate) / np.sqrt(n_found * rate * (1 - rate))
@@ -144,7 +150,10 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     grades = np.where(toxic, np.where(signs >= SEVERE_FROM, 2, 1), 0)
     grades = np.unique(grades, return_inverse=True)[1]  # a grade that none has gets no cut
     scale = np.abs(z) / UNIT_Z
-    values = _value(counts.astype(np.float32)) * scale.astype(np.float32)[columns]
+    del kept, of_kind
+    values = _value(counts.astype(np.float32))
+    del counts
+    values *= scale.astype(np.float32)[columns]
     weights, cuts = fit_ordinal(rows, columns, values, grades, len(features), steps=100)
     return Ordinal(features, weights * scale, cuts)
 
