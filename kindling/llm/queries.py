@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from kindling.llm import byte_bpe, chat, language_id, line_dedup, near_dup, packing, quality, topk_search, toxicity, warc
+from kindling.llm import (alignment, byte_bpe, chat, importance, language_id, line_dedup, near_dup, packing, quality, token_counts, topk_search,
+                          toxicity, warc)
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_importance_resampling": importance.op11_importance_resampling,
+    "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 ORACLE = {
@@ -22,4 +26,5 @@ ORACLE = {
     "op4_exact_top_k": topk_search.OP4_SQL,
     "op8_warc": warc.OP8_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
+    "op11_importance_resampling": importance.OP11_SQL,
 }
