@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,11 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindling.llm.common import table, written
-from kindling.llm.token_counts import byte_characters
+from kindling.llm.token_counts import byte_characters, counter
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of texts aligned in one go, terms of a sparse product and postings held in one go. They bound memory only.
 TOGETHER, TERMS, POSTINGS = 1 << 18, 1 << 21, 1 << 21
+#: Encoded pieces that a worker remembers for each side, and their greatest length: they bound memory only, too.
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
 #: Bits of a document's number in its block and of a block's number in its partition; partitions that share a key of the joins.
 DOC_BITS, BLOCK_BITS, PARTITIONS_A_KEY = 16, 20, 1 << 10
 
@@ -74,46 +77,72 @@ def product(left: Csr, right: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 
 
 class _Side:
-    """Token bytes of a vocabulary."""
-
-    def __init__(self, tokens: list[bytes]):
-        self.tokens, self.lengths = tokens, np.fromiter(map(len, tokens), np.int64, len(tokens))
-        self.names = [[f"{i}{mark}" for i in range(len(tokens))] for mark in ",|;"]
-
-    def spell(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    """A vocabulary's token bytes, and the ids of pieces of text that its library encodes one by one to what it encodes whole texts to."""
+
+    def __init__(self, tokens: list[bytes], split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]):
+        self.tokens, self.split, self.encode, self.known = tokens, split, encode, {}
+        self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+
+    def learn(self, pieces: set[str]) -> None:
+        """Pieces that are not spelled back have None."""
+        new = sorted(pieces)
+        for piece, ids in zip(new, self.encode(new), strict=True):
+            same = b"".join(map(self.tokens.__getitem__, ids)) == piece.encode()
+            self.known[piece] = np.array(ids, np.int32).tobytes() if same else None
+
+    def __call__(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of whole texts as 32-bit integers; None if the text is not spelled back."""
+        split = list(map(self.split, texts))
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = set().union(*split)
+        self.learn(new)
+        out = []
+        for text, pieces in zip(texts, split, strict=True):
+            ids = list(map(self.known.__getitem__, pieces))
+            out.append(None if None in ids or sum(map(len, pieces)) != len(text) else b"".join(ids))
+        for piece in new:
+            if len(piece) > REMEMBERED_LENGTH:
+                del self.known[piece]
+        return out
 
 
 class Tokenizers:
     """A byte-level BPE of the tokenizers library (A) and a sentencepiece model
-    that puts a space before the text (B)."""
+    that puts a space before the text (B).
+
+    A's library splits texts by its pattern before it merges. B has no token with
+    a space behind another character (else its texts are encoded whole), so none reaches from one run of spaces and
+    the word behind it into the next."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a_library = Tokenizer.from_file(path_a)
-        self.a_library.encode_special_tokens = True
-        self.b_library = SentencePieceProcessor(model_file=path_b)
+        a, b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
+        a.encode_special_tokens = True
         with open(path_a, encoding="utf-8") as f:
             added = {t["id"]: t["content"].encode() for t in json.load(f)["added_tokens"]}
-        of, vocabulary = byte_characters(), self.a_library.get_vocab()
-        spelled = {i: added[i] if i in added else bytes(map(of.__getitem__, t)) for t, i in vocabulary.items()}
-        self.a = _Side([spelled.get(i, b"") for i in range(max(spelled) + 1)])
-        b = self.b_library
-        self.b = _Side([bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
-                        for i in range(b.get_piece_size())])
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """The ids of A and B of each text; none if either side does not spell the text with a space before it."""
-        a = [e.ids for e in self.a_library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b_library.encode(texts, num_threads=1)
-        out = []
-        for text, x, y in zip(texts, a, b, strict=True):
-            raw = b" " + text.encode()
-            out.append((x, y) if text and self.a.spell(x) == raw == self.b.spell(y) else ([], []))
-        return out
+        of = byte_characters()
+        spelled = {i: added[i] if i in added else bytes(map(of.__getitem__, t)) for t, i in a.get_vocab().items()}
+        self.a = _Side([spelled.get(i, b"") for i in range(max(spelled) + 1)], counter(path_a).pieces,
+                       lambda pieces: [e.ids for e in a.encode_batch_fast(pieces, add_special_tokens=False)])
+        tokens = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())]
+        crossing = any(re.search("[^▁]▁", b.id_to_piece(i)) for i in range(b.get_piece_size()))
+        self.b = _Side(tokens, (lambda text: [text]) if crossing else re.compile(r" +[^ ]+(?: +\Z)?| +\Z").findall,
+                       lambda pieces: b.encode([p[1:] for p in pieces], num_threads=1))
+        sizes = len(self.a.tokens), len(tokens)
+        #: For each side and what follows (a comma, a bar, a semicolon) the ids as texts, one after the other.
+        self.names = [f"{i}{mark}" for n in sizes for mark in ",|;" for i in range(n)]
+        self.first_name = np.cumsum([0, *[n for n in sizes for _ in range(3)]])[:6]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ids of A and B of each text with a space before it; none if either side does not spell that."""
+        spaced = [" " + t if t else "" for t in texts]
+        return [tuple(np.frombuffer(b"" if a is None or b is None else ids, np.int32).astype(np.int64) for ids in (a, b))
+                for a, b in zip(self.a(spaced), self.b(spaced), strict=True)]
 
 
 @lru_cache(2)
@@ -156,12 +185,12 @@ def _by_id(doc: np.ndarray, ids: np.ndarray, group: np.ndarray, width: int) -> t
 class Aligned:
     """Texts aligned together: their tokens follow each other, and no group has tokens of two texts."""
 
-    def __init__(self, coded: list[tuple[list[int], list[int]]], by: Tokenizers):
+    def __init__(self, coded: list[tuple[np.ndarray, np.ndarray]], by: Tokenizers):
         self.n, self.by = len(coded), by
         sides = []
         for side, of in enumerate((by.a, by.b)):
             size = np.fromiter((len(c[side]) for c in coded), np.int64, self.n)
-            ids = np.fromiter((i for c in coded for i in c[side]), np.int64, int(size.sum()))
+            ids = np.concatenate([c[side] for c in coded])
             sides.append((size, ids, np.repeat(np.arange(self.n), size), np.cumsum(of.lengths[ids])))
         (self.size_a, self.ids_a, self.doc_a, ends_a), (self.size_b, self.ids_b, self.doc_b, ends_b) = sides
         self.group_a, self.group_b = groups(ends_a, ends_b)
@@ -190,8 +219,7 @@ class Aligned:
         mark[:-1][side[1:] > side[:-1]] = 1
         mark[:-1][group[1:] > group[:-1]] = 2
         mark[-1:] = 2
-        a, b = self.by.a.names, self.by.b.names
-        words = [(b if s else a)[m][i] for s, m, i in zip(side.tolist(), mark.tolist(), ids.tolist(), strict=True)]
+        words = list(map(self.by.names.__getitem__, (self.by.first_name[3 * side + mark] + ids).tolist()))
         upto = np.concatenate(([0], np.cumsum(self.size_a + self.size_b))).tolist()
         return ["".join(words[x:y])[:-1] for x, y in zip(upto[:-1], upto[1:], strict=True)]
 

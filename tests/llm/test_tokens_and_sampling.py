@@ -198,6 +198,21 @@ def test_alignment_of_edge_rows_matches_brute_force(spark, edge, paths):
     assert nothing.count() == none.count() == 0
 
 
+def test_ids_are_those_of_the_libraries_on_whole_texts(paths):
+    from sentencepiece import SentencePieceProcessor
+
+    a, b, by = Tokenizer.from_file(paths[0]), SentencePieceProcessor(model_file=paths[1]), alignment.load(*paths)
+    a.encode_special_tokens = True
+    texts = [t for t in mixed(4000, 9) + TEXTS + [" ".join(mixed(400, 11)), "   three  spaces   ", "<s> </s> <unk> <0x41>"] if t]
+    spelled = 0
+    for text, (x, y) in zip(texts, by.encode(texts), strict=True):
+        whole = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        same = all(b"".join(side.tokens[i] for i in ids) == b" " + text.encode() for side, ids in zip((by.a, by.b), whole, strict=True))
+        assert (x.tolist(), y.tolist()) == (whole if same else ([], []))
+        spelled += same
+    assert len(texts) // 2 < spelled < len(texts)
+
+
 def test_a_stretch_without_common_ends_is_one_group(paths):
     by = alignment.load(*paths)
     texts = ["-" * 4999 + "=" * 3001, "plain text", "", "=" * 77]
