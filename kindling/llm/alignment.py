@@ -8,6 +8,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -77,34 +78,45 @@ def product(left: Csr, right: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 
 
 class _Side:
-    """A vocabulary's token bytes, and the ids of pieces of text that its library encodes one by one to what it encodes whole texts to."""
+    """A vocabulary's token bytes, and the ids of pieces of texts. ``encode``
+    gives the ids of many pieces one after the other, each as in a whole text."""
 
-    def __init__(self, tokens: list[bytes], split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]):
-        self.tokens, self.split, self.encode, self.known = tokens, split, encode, {}
+    def __init__(self, tokens: list[bytes], split: Callable[[str], list[str]], encode: Callable[[list[str]], list[int]]):
+        self.tokens, self.split, self.encode, self.known, self.odd = tokens, split, encode, {}, set()
         self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
 
-    def learn(self, pieces: set[str]) -> None:
-        """Pieces that are not spelled back have None."""
-        new = sorted(pieces)
-        for piece, ids in zip(new, self.encode(new), strict=True):
-            same = b"".join(map(self.tokens.__getitem__, ids)) == piece.encode()
-            self.known[piece] = np.array(ids, np.int32).tobytes() if same else None
+    def learn(self, pieces: list[str]) -> None:
+        """The bytes of ids spelled back tell where each piece ends; if they
+        don't, the pieces are halved until those are alone that are not spelled back."""
+        if not pieces:
+            return
+        raw = [p.encode() for p in pieces]
+        ids = np.array(self.encode(pieces), np.int32)
+        if b"".join(map(self.tokens.__getitem__, ids.tolist())) == b"".join(raw):
+            ends = np.cumsum(self.lengths[ids])
+            after = (4 * (np.searchsorted(ends, np.cumsum(list(map(len, raw)))) + 1)).tolist()
+            coded = ids.tobytes()
+            self.known.update(zip(pieces, [coded[x:y] for x, y in zip([0, *after], after)], strict=True))  # noqa: B905
+        elif len(pieces) == 1:
+            self.known[pieces[0]] = b""
+            self.odd.add(pieces[0])
+        else:
+            self.learn(pieces[:len(pieces) // 2])
+            self.learn(pieces[len(pieces) // 2:])
 
     def __call__(self, texts: list[str]) -> list[bytes | None]:
         """The ids of whole texts as 32-bit integers; None if the text is not spelled back."""
         split = list(map(self.split, texts))
-        new = set().union(*split).difference(self.known)
+        every = set().union(*split)
+        new = every.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*split)
-        self.learn(new)
-        out = []
-        for text, pieces in zip(texts, split, strict=True):
-            ids = list(map(self.known.__getitem__, pieces))
-            out.append(None if None in ids or sum(map(len, pieces)) != len(text) else b"".join(ids))
+            self.known, self.odd, new = {}, set(), every
+        self.learn(sorted(new))
+        out = [None if self.odd and not self.odd.isdisjoint(pieces) else b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
         for piece in new:
             if len(piece) > REMEMBERED_LENGTH:
                 del self.known[piece]
+                self.odd.discard(piece)
         return out
 
 
@@ -128,11 +140,12 @@ class Tokenizers:
         of = byte_characters()
         spelled = {i: added[i] if i in added else bytes(map(of.__getitem__, t)) for t, i in a.get_vocab().items()}
         self.a = _Side([spelled.get(i, b"") for i in range(max(spelled) + 1)], counter(path_a).pieces,
-                       lambda pieces: [e.ids for e in a.encode_batch_fast(pieces, add_special_tokens=False)])
+                       lambda pieces: a.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids)
         tokens = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())]
         crossing = any(re.search("[^▁]▁", b.id_to_piece(i)) for i in range(b.get_piece_size()))
         self.b = _Side(tokens, (lambda text: [text]) if crossing else re.compile(r" +[^ ]+(?: +\Z)?| +\Z").findall,
-                       lambda pieces: b.encode([p[1:] for p in pieces], num_threads=1))
+                       (lambda pieces: list(chain.from_iterable(b.encode([p[1:] for p in pieces], num_threads=1)))) if crossing else
+                       lambda pieces: list(chain.from_iterable(b.encode([t[1:] for t in _sentences(pieces)], num_threads=1))))
         sizes = len(self.a.tokens), len(tokens)
         #: For each side and what follows (a comma, a bar, a semicolon) the ids as texts, one after the other.
         self.names = [f"{i}{mark}" for n in sizes for mark in ",|;" for i in range(n)]
@@ -145,6 +158,18 @@ class Tokenizers:
                 for a, b in zip(self.a(spaced), self.b(spaced), strict=True)]
 
 
+def _sentences(pieces: list[str]) -> Iterator[str]:
+    """Pieces put together again; one that ends in spaces is the last of its sentence, and a sentence has about 4,096 pieces."""
+    held = []
+    for piece in pieces:
+        held.append(piece)
+        if piece[-1] == " " or len(held) == 1 << 12:
+            yield "".join(held)
+            held = []
+    if held:
+        yield "".join(held)
+
+
 @lru_cache(2)
 def load(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
