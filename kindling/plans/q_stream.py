@@ -9,7 +9,7 @@ from kindling.plans.common import R4, T
 from kindling.plans.fixtures import hashtag_events
 from kindling.session import scratch_path
 from kindling.sources.formats import read_json_stream, read_table_stream
-from kindling.streaming.runner import latest, read_output, run_to_table
+from kindling.streaming.runner import latest, read_output, run_to_table, run_top_k
 from kindling.streaming.windows import assign_windows, hashtags, sliding_counts, sliding_from_panes, top_of_latest_window
 
 QUERIES = {}
@@ -67,13 +67,12 @@ SELECT tag, count(*) AS count FROM w WHERE tag LIKE '#%' GROUP BY tag ORDER BY 2
 def document_hashtags_stream(spark, sf):
     """STR2, STR4, STR5, FLT4, SNK6: documents as a message stream (words that
     end in ``###`` there are tags here, with one ``#`` before them) -> words ->
-    words that start with ``#`` -> running counts; every batch sorts them and
-    writes its first ten. The last batch's ten are the result."""
+    words that start with ``#`` -> running counts; every batch ranks what it changed and
+    the ten before it, and writes the first ten. The last batch's ten are the result."""
     docs = read_table_stream(spark, sf, "documents", "doc_id BIGINT, text STRING")
     docs = docs.withColumn("text", F.regexp_replace("text", r"([^ \n]+)###", "#$1"))
     counts = hashtags(docs, "text", "doc_id").groupBy(F.col("word").alias("tag")).agg(F.count(F.lit(1)).alias("count"))
-    out = run_to_table(counts, "document-hashtags", output_mode="complete",
-                       per_batch=lambda b: b.orderBy(F.desc("count"), F.asc("tag")).limit(10))
+    out = run_top_k(counts, "document-hashtags", "tag", "count", 10)
     rows = read_output(spark, out, "tag STRING, count BIGINT")
     last = rows.agg(F.max("batch_id")).first()[0]  # one number
     return rows.filter(F.col("batch_id") == last).select("tag", "count")

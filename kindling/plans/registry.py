@@ -12,6 +12,7 @@ _MODULES = (
     "kindling.plans.q_sets",
     "kindling.plans.q_ml",
     "kindling.plans.q_stream",
+    "kindling.plans.q_state",
     "kindling.plans.q_io",
 )
 

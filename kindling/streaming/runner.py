@@ -18,20 +18,36 @@ from pyspark.errors import AnalysisException
 from kindling.session import scratch_path
 
 
+def run_top_k(stream: DataFrame, name: str, key: str, count: str, k: int = 10) -> str:
+    """The ``k`` greatest running counts (ties by key) after every batch, from a stream of running counts in update mode.
+
+    Counts only grow, so a batch's first ``k`` are among the first ``k`` of the batch
+    before and the keys that it changed: each batch ranks these alone, and the state is never written out whole."""
+
+    def _rank(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
+        if batch_id:
+            before = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/batch_id={batch_id - 1}")
+            batch = batch.unionByName(before).groupBy(key).agg(F.max(count).alias(count))
+        return batch.orderBy(F.desc(count), F.asc(key)).limit(k)
+
+    return run_to_table(stream, name, per_batch=_rank)
+
+
 def run_to_table(stream: DataFrame, name: str, output_mode: str = "update", timeout_s: float | None = None,
-                 processing_time: str | None = None, per_batch=None) -> str:
+                 processing_time: str | None = None, per_batch=None, folder: str | None = None) -> str:
     """Run ``stream`` (``availableNow`` unless a processing-time trigger is given)
     and return the folder of its batch-partitioned output.
 
-    ``per_batch`` maps each batch's frame before it is written.
+    ``per_batch`` maps each batch's frame, given its number and the output folder, before it is written. ``folder`` names the
+    output; a run that finds an earlier one there goes on from its checkpoint.
     It runs to its end unless ``timeout_s`` is given. It fails if it dropped
     rows as later than the watermark: a result without them would be wrong."""
     spark = stream.sparkSession
-    out = scratch_path(spark, name)
-    ckpt = scratch_path(spark, name + "-checkpoint")
+    out = folder or scratch_path(spark, name)
+    ckpt = f"{folder}-checkpoint" if folder else scratch_path(spark, name + "-checkpoint")
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        (per_batch(batch) if per_batch else batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        (per_batch(batch, batch_id, out) if per_batch else batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt).foreachBatch(_write)
     if processing_time:
