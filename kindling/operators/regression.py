@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -82,6 +83,33 @@ def sgd_least_squares(df: DataFrame, x: str, y: str, iterations: int = 100, step
     return w, steps
 
 
+def sgd_gram(df: DataFrame, features: list[str], label: str, iterations: int = 100, step: float = 1.0, reg: float = 0.01, tol: float = 0.001):
+    """REG1 for several features: :func:`sgd_least_squares` with a weight vector.
+
+    The full-batch gradient at ``w`` is ``G w - h`` with the Gram matrix ``G = E[x x']`` and ``h = E[x y]``,
+    so one aggregate of k (k + 3) / 2 means (the matrix is symmetric) gives all that
+    the recursion needs; the steps run on these numbers alone. It stops from
+    step 2 on when ``|dw| < tol * max(|w|, 1)``, in Euclidean norms. Returns ``(weights, steps)``."""
+    k = len(features)
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    means = [F.avg(F.col(features[i]) * F.col(features[j])) for i, j in upper] + [F.avg(F.col(f) * F.col(label)) for f in features]
+    got = df.agg(*(m.alias(f"m{i}") for i, m in enumerate(means))).first()
+    if got["m0"] is None:
+        return [0.0] * k, 0
+    gram, h = np.zeros((k, k)), np.array(got[len(upper):], float)
+    for (i, j), value in zip(upper, got, strict=False):
+        gram[i, j] = gram[j, i] = value
+    w, steps = np.zeros(k), 0
+    for steps in range(1, iterations + 1):
+        s = step / math.sqrt(steps)
+        new = w * (1.0 - s * reg) - s * (gram @ w - h)
+        done = steps >= 2 and np.linalg.norm(new - w) < tol * max(np.linalg.norm(new), 1.0)
+        w = new
+        if done:
+            break
+    return w.tolist(), steps
+
+
 def text_classifier(train: DataFrame, text: str, label: str, num_features: int = 1 << 16,
                     max_iter: int = 50, reg: float = 0.01):
     """ML1: tokenize -> hashed term frequencies -> IDF -> logistic regression.

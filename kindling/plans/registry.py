@@ -11,6 +11,7 @@ _MODULES = (
     "kindling.plans.q_graph",
     "kindling.plans.q_sets",
     "kindling.plans.q_ml",
+    "kindling.plans.q_classify",
     "kindling.plans.q_stream",
     "kindling.plans.q_state",
     "kindling.plans.q_io",
