@@ -94,6 +94,39 @@ def item_similarity(r: DataFrame, user="user", item="item", rating="rating", min
     return st.select("item_i", "item_j", cosine().alias("score"), "n")
 
 
+def prune_ratings(r: DataFrame, min_n: int, user: str = "user", item: str = "item", rounds: int = 2) -> DataFrame:
+    """The rows of ``r`` that can be part of a pair with more than ``min_n`` common users.
+
+    A pair's count cannot exceed either item's raters, so an item with
+    ``min_n`` raters or fewer is in no such pair; a user who is left with one item makes none. Dropping users takes raters
+    from items, so it is done ``rounds`` times. No kept pair loses a common user that counts for it: the result is exact."""
+    for _ in range(rounds):
+        items = r.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_n).select(item)
+        r = r.join(items, item, "left_semi")
+        users = r.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(user)
+        r = r.join(users, user, "left_semi").checkpoint()
+    return r
+
+
+def top_pairs(r: DataFrame, min_score: float, min_n: int, k: int = 50, names: DataFrame | None = None, name_key: str | None = None,
+              name_col: str = "name", user="user", item="item", rating="rating", heavy_rows: int = DEFAULT_HEAVY_ROWS,
+              digits: int = 4) -> DataFrame:
+    """REC6: the ``k`` most similar pairs with a score above ``min_score`` and more than
+    ``min_n`` common users, by score (rounded half up), count and ids, with both items' names.
+
+    What cannot reach ``min_n`` is dropped before the self-join; the pairs are shuffled once, by their partial sums."""
+    from kindling.functions.rounding import round_half_up
+
+    st = pair_stats(prune_ratings(r, min_n, user, item), user, item, rating, heavy_rows).where(F.col("n") > min_n)
+    scored = st.select("item_i", "item_j", cosine().alias("_s"), "n").where(F.col("_s") > min_score)
+    scored = scored.select("item_i", "item_j", round_half_up("_s", digits).alias("score"), "n")
+    top = scored.orderBy(F.desc("score"), F.desc("n"), "item_i", "item_j").limit(k)
+    for side in ("i", "j") if names is not None else ():
+        found = names.select(F.col(name_key).alias("_k"), F.col(name_col).alias(f"name_{side}"))
+        top = lookup_names(top.withColumn("_k", F.col(f"item_{side}")), found, "_k", "_k", f"name_{side}", df_max_rows=k).drop("_k")
+    return top
+
+
 def similar_items(
     r: DataFrame,
     target,

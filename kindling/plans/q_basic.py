@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kindling.functions.rounding import hundredths_text, round_half_up, sql_hundredths_text
 from kindling.functions.scalar import tenths_celsius_to_fahrenheit
 from kindling.operators import aggregates as agg
+from kindling.operators.combine import reduce_by_key
 from kindling.operators.lookup import lookup_names
 from kindling.operators.topk import sort_by, top_k
 from kindling.plans.common import R4, T
@@ -159,7 +160,7 @@ def sql_range(spark, sf):
 # --- keyless reduce, combineByKey, statistics (AGG15, AGG16, AGG18) -----------
 
 @register("reduce_total", f"""
-SELECT count(*) AS n, {R4('sum(l_quantity)')} AS sum_quantity,
+SELECT count(*) AS n, sum(l_extendedprice::DECIMAL(18,2)) AS sum_price,
        {R4('max(l_extendedprice)')} AS max_price, {R4('min(l_discount)')} AS min_discount
 FROM lineitem
 """)
@@ -167,24 +168,41 @@ def reduce_total(spark, sf):
     li = T(spark, sf, "lineitem")
     return agg.reduce_all(
         li, F.count(F.lit(1)).alias("n"),
-        round_half_up(F.sum("l_quantity")).alias("sum_quantity"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("sum_price"),
         round_half_up(F.max("l_extendedprice")).alias("max_price"),
         round_half_up(F.min("l_discount")).alias("min_discount"),
     )
 
 
 @register("combine_by_key", f"""
-SELECT l_returnflag, {R4('sum(l_extendedprice)')} AS sum_value, count(l_extendedprice) AS n,
-       {R4('sum(l_extendedprice) / count(l_extendedprice)')} AS mean_value
+SELECT l_returnflag, sum(l_extendedprice::DECIMAL(18,2)) AS sum_value, count(l_extendedprice) AS n,
+       {R4('sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / count(l_extendedprice)')} AS mean_value
 FROM lineitem GROUP BY l_returnflag
 """)
 def combine_by_key(spark, sf):
-    li = T(spark, sf, "lineitem")
-    out = li.groupBy("l_returnflag").agg(F.sum("l_extendedprice").alias("s"), F.count("l_extendedprice").alias("n"))
-    return out.select(
-        "l_returnflag", round_half_up("s").alias("sum_value"), "n",
-        round_half_up(F.col("s") / F.col("n")).alias("mean_value"),
-    )
+    return agg.combine_by_key(T(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice")
+
+
+def _two_dearest(a, b):
+    """The first two of four (price, order, line), dearest first, and the rows counted."""
+    some = sorted((x for x in (a[1:4], a[4:7], b[1:4], b[4:7]) if x[0] is not None), key=lambda x: (-x[0], x[1], x[2]))
+    some = (some + [(None, None, None)] * 2)[:2]
+    return (a[0] + b[0], *some[0], *some[1])
+
+
+@register("two_dearest_lines", """
+WITH r AS (SELECT l_returnflag, l_extendedprice AS p, l_orderkey AS o, l_linenumber AS n, row_number() OVER (PARTITION BY l_returnflag
+             ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS k FROM lineitem)
+SELECT l_returnflag, count(*) AS lines, max(p) FILTER (k = 1) AS price_1, max(o) FILTER (k = 1) AS order_1, max(n) FILTER (k = 1) AS line_1,
+       max(p) FILTER (k = 2) AS price_2, max(o) FILTER (k = 2) AS order_2, max(n) FILTER (k = 2) AS line_2
+FROM r GROUP BY l_returnflag
+""")
+def two_dearest_lines(spark, sf):
+    """AGG16/UDF3: a combiner of tuples that no built-in aggregate has, merged in each task before three hot keys are shuffled."""
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("price_2", "double"), ("order_2", "bigint"), ("line_2", "int"))]
+    li = T(spark, sf, "lineitem").select("l_returnflag", F.lit(1).cast("bigint").alias("lines"), F.col("l_extendedprice").alias("price_1"),
+                                         F.col("l_orderkey").alias("order_1"), F.col("l_linenumber").alias("line_1"), *none)
+    return reduce_by_key(li, ["l_returnflag"], li.columns[1:], _two_dearest)
 
 
 @register("basic_statistics", f"""
@@ -198,14 +216,4 @@ SELECT count(*) AS n, {R4('avg(l_quantity)')} AS avg_l_quantity,
 FROM lineitem
 """)
 def basic_statistics(spark, sf):
-    li = T(spark, sf, "lineitem")
-    x, y = "l_quantity", "l_extendedprice"
-    r = round_half_up
-    return li.agg(
-        F.count(F.lit(1)).alias("n"),
-        r(F.avg(x)).alias(f"avg_{x}"), r(F.avg(y)).alias(f"avg_{y}"),
-        r(F.var_pop(x)).alias(f"var_{x}"), r(F.var_pop(y)).alias(f"var_{y}"),
-        r(F.stddev_samp(x)).alias(f"std_{x}"),
-        r(F.min(x)).alias(f"min_{x}"), r(F.max(x)).alias(f"max_{x}"),
-        r(F.corr(x, y)).alias(f"corr_{x}_{y}"),
-    )
+    return agg.basic_statistics(T(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")

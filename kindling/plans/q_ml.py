@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from kindling.functions.rounding import round_half_up
@@ -56,7 +55,7 @@ m AS (SELECT w, my - w * mx AS b FROM b)"""
 
 
 def _train_test(spark, sf):
-    xy = _doc_xy(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    xy = _doc_xy(spark, sf).checkpoint()
     b = hash_bucket("doc_id")
     return xy.filter(b < 50), xy.filter(b >= 50)
 
@@ -110,7 +109,7 @@ def als_recommend(spark, sf):
     """REC1/REC2: ALS fitted on all of R (customer x part), then the top 10 items for
     the example user, as the reference does. Rows-only check: 10 distinct items in
     descending score (see tests)."""
-    r = ratings(spark, sf, item="l_partkey").persist(StorageLevel.MEMORY_AND_DISK)
+    r = ratings(spark, sf, item="l_partkey").checkpoint()
     model = fit_als(r)
     me = r.filter(F.col("user") == F.lit(USER_ID)).select("user").distinct()
     recs = recommend(model, me, 10)
@@ -118,6 +117,18 @@ def als_recommend(spark, sf):
                        round_half_up("score").alias("score"), "rank")
 
 
+@register("als_recommend_known", f"""
+SELECT {USER_ID}::BIGINT AS "user", unnest(range(1, 11))::INT AS rank, true AS known_item
+""")
+def als_recommend_known(spark, sf):
+    """REC1/REC2 on ids past 2^31, which need the dictionary: ten ranks for the example user, all of items that somebody rated."""
+    far = 2**33
+    r = ratings(spark, sf, item="l_partkey").select((F.col("user") + far).alias("user"), (F.col("item") * far).alias("item"), "rating").checkpoint()
+    recs = recommend(fit_als(r, max_iter=5), r.where(F.col("user") == USER_ID + far).select("user").distinct(), 10)
+    known = r.select("item", F.lit(True).alias("known")).distinct()
+    return recs.join(known, "item", "left").select((F.col("user") - far).alias("user"), "rank", F.coalesce("known", F.lit(False)).alias("known_item"))
+
+
 @register("user_ratings", f"""
 WITH r AS (SELECT o.o_custkey AS u, l.l_partkey AS item, avg(l.l_quantity) AS rating
            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kindling.operators.lookup import cogroup_sizes, outer_join, point_lookup
 from kindling.operators.setops import distinct, intersect_distinct, subtract_bag, union_all
-from kindling.operators.splits import all_but_n, hash_bucket, kfold, sample_by_hash
+from kindling.operators.splits import all_but_n, hash_split, kfold, sample_by_hash
 from kindling.plans.common import T
 from kindling.plans.fixtures import timed_ratings
 
@@ -75,7 +75,7 @@ def q_sample_by_hash(spark, sf):
 @register("hash_split_train", f"SELECT o_orderkey, o_custkey FROM orders WHERE {_HASH.format(k='o_orderkey')} < 50")
 def hash_split_train(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return o.filter(hash_bucket("o_orderkey") < 50)
+    return hash_split(o, "o_orderkey", 50)[0]
 
 
 _R = ("r AS (SELECT o.o_custkey AS \"user\", l.l_suppkey AS item, avg(l.l_quantity) AS rating, "

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from kindling.functions.rounding import round_half_up
-from kindling.operators.similarity import hash_partition, item_similarity, similar_items
+from kindling.operators.similarity import hash_partition, item_similarity, similar_items, top_pairs
 from kindling.plans.common import R4, T
 from kindling.plans.fixtures import ratings
 
@@ -48,8 +47,8 @@ WITH {_r_cte('l_suppkey')}, {_PAIRS}
 SELECT item_i, item_j, {R4(_SCORE)} AS score, n FROM p
 """)
 def q_item_similarity(spark, sf):
-    # CH1: R feeds the heavy-user check and both join sides; compute it once.
-    sim = item_similarity(ratings(spark, sf).persist(StorageLevel.MEMORY_AND_DISK))
+    # CH1: R feeds the heavy-user check and both join sides; computed once, and the files go when the result does.
+    sim = item_similarity(ratings(spark, sf).checkpoint())
     return sim.select("item_i", "item_j", round_half_up("score").alias("score"), "n")
 
 
@@ -65,7 +64,7 @@ FROM top LEFT JOIN supplier sp ON sp.s_suppkey = top.other
 """)
 def q_similar_items_topk(spark, sf):
     top = similar_items(
-        ratings(spark, sf).persist(StorageLevel.MEMORY_AND_DISK), TARGET_SUPPLIER, MIN_SCORE, MIN_N, 10,
+        ratings(spark, sf).checkpoint(), TARGET_SUPPLIER, MIN_SCORE, MIN_N, 10,
         names=T(spark, sf, "supplier"), name_key="s_suppkey", name_col="s_name",
     )
     return top.select("other", round_half_up("score").alias("score"), "n", F.col("s_name").alias("name"))
@@ -76,7 +75,31 @@ WITH {_r_cte('l_partkey')}, {_PAIRS}
 SELECT item_i, item_j, {R4(_SCORE)} AS score, n FROM p WHERE n >= 2
 """)
 def q_item_similarity_partitioned(spark, sf):
-    # Partitioned once, by the key of the self-join, before the grouping.
-    r = hash_partition(ratings(spark, sf, item="l_partkey"), spark.sparkContext.defaultParallelism, "user")
-    sim = item_similarity(r.persist(StorageLevel.MEMORY_AND_DISK), min_n=2)
-    return sim.select("item_i", "item_j", round_half_up("score").alias("score"), "n")
+    return item_similarity(ratings(spark, sf, item="l_partkey").checkpoint(), min_n=2).select(
+        "item_i", "item_j", round_half_up("score").alias("score"), "n")
+
+
+# The cuts of the large-scale program, at counts that these tables reach.
+PAIR_SCORE, PAIR_N, PAIR_TOP = 0.97, 3, 50
+
+
+@register("similar_pairs_top50", f"""
+WITH {_r_cte('l_partkey')}, {_PAIRS},
+s AS (SELECT item_i, item_j, {R4('score')} AS score, n FROM (SELECT *, {_SCORE} AS score FROM p WHERE n > {PAIR_N}) WHERE score > {PAIR_SCORE}),
+top AS (SELECT * FROM s ORDER BY score DESC, n DESC, item_i, item_j LIMIT {PAIR_TOP})
+SELECT top.*, i.p_name AS name_i, j.p_name AS name_j FROM top LEFT JOIN part i ON i.p_partkey = item_i LEFT JOIN part j ON j.p_partkey = item_j
+""")
+def similar_pairs_top50(spark, sf):
+    """REC6: the 50 most similar pairs of parts above both cuts, with names; ratings that no such pair can use are dropped before the self-join."""
+    return top_pairs(ratings(spark, sf, item="l_partkey").checkpoint(), PAIR_SCORE, PAIR_N, PAIR_TOP, T(spark, sf, "part"), "p_partkey", "p_name")
+
+
+@register("rating_deviation", f"""
+WITH {_r_cte('l_suppkey')}, m AS (SELECT u, avg(rating) AS mean, count(*) AS n FROM r GROUP BY u)
+SELECT u AS "user", item, {R4('rating - mean')} AS deviation, n FROM r JOIN m USING (u)
+""")
+def rating_deviation(spark, sf):
+    """PT1: R is partitioned by user once; the users' means and the join back to the ratings both use that partitioning."""
+    r = hash_partition(ratings(spark, sf), int(spark.conf.get("spark.sql.shuffle.partitions")), "user")
+    means = r.groupBy("user").agg(F.avg("rating").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return r.join(means, "user").select("user", "item", round_half_up(F.col("rating") - F.col("mean")).alias("deviation"), "n")

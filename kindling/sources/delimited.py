@@ -75,6 +75,23 @@ def read_items(spark, path, sep="|", encoding="UTF-8") -> DataFrame:
     return df.filter(F.col("item").isNotNull() & F.col("name").isNotNull())
 
 
+def read_items_last(spark, path, sep="|", encoding="UTF-8") -> DataFrame:
+    """SRC6 as a map filled row by row: of rows with one id, the last in the
+    files wins (files in the order of their paths, rows in their order in the file).
+
+    A scan task reads a block of a file from its start, so a row's place is its file's path, its block's start and its
+    number in the task; the last one of an id is a partial aggregate, and no file is read by one task alone."""
+    df = read_delimited(spark, path, ITEMS_SCHEMA, sep, "PERMISSIVE", encoding)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    df = df.select("item", "name", place.alias("place")).filter(F.col("item").isNotNull() & F.col("name").isNotNull())
+    return df.groupBy("item").agg(F.max_by("name", "place").alias("name"))
+
+
+def read_friend_counts(spark, path, mode="FAILFAST") -> DataFrame:
+    """SRC2b: ``name`` and number of friends of the people file; the other fields are not read."""
+    return read_people(spark, path, mode).select("name", "num_friends")
+
+
 def read_points(spark, path, mode="FAILFAST") -> DataFrame:
     """SRC11: ``label,feature`` labelled points."""
     return read_delimited(spark, path, POINTS_SCHEMA, ",", mode)
