@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kindling.llm.common import binary_array, mix, per_batch, shingles, table, utf8, written
+from kindling.llm.common import LOWER, UPPER, binary_array, mix, per_batch, shingles, table, utf8, written
 from kindling.llm.components import connected_components
 
 #: Coordinates of a signature, and how many two signatures must share for their sets to be compared.
@@ -20,14 +21,16 @@ COORDINATES, MATCHES = 64, 34
 #: By the prefix rule, sets with that many shared coordinates share MEETINGS among the first PREFIX of either, in any common order.
 MEETINGS = 8
 PREFIX = COORDINATES - MATCHES + MEETINGS
-#: Counters of how often a coordinate-value pair occurs, how many make one row, and the tasks that count at most.
-COUNTERS, COUNTERS_A_ROW, COUNTING_TASKS = 1 << 18, 1 << 12, 64
+#: Pairs that a class shares with no other match nothing, so a class needs MATCHES shared ones; classes that fall short are left out this often.
+ROUNDS = 2
 _U64 = np.uint64
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xD1342543DE82EF95)) | _U64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=_U64) * _U64(0xAEF17502108EF2D9))
 _NO_ID = (1 << 63) - 1
 #: About how many members (1 MB of brief signatures), and members of how many shingles, are held in memory to compare others with.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 16384, 1_000_000
+#: About how many groups a piece of a list has.
+LIST_PIECE = 1024
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -72,32 +75,19 @@ def _sets(n_words: int):
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(COUNTERS, np.int64)
-    for b in batches:
-        counts += np.bincount((_tokens(_signatures(b.column(0))) & _U64(COUNTERS - 1)).astype(np.int64).ravel(), minlength=COUNTERS)
-    parts = counts.reshape(-1, COUNTERS_A_ROW)
-    yield pa.record_batch([pa.array(np.arange(len(parts))), binary_array([p.tobytes() for p in parts])], ["part", "counts"])
+@per_batch
+def _pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Each class's coordinate-value pairs, a row each."""
+    tokens = _tokens(_signatures(batch.column(2))).view(np.int64)
+    node, size = (np.repeat(batch.column(i).to_numpy(), COORDINATES) for i in (0, 1))
+    return pa.record_batch([pa.array(tokens.ravel()), pa.array(node), pa.array(size)], ["token", "node", "size"])
 
 
-def _sum_counts(part: pa.Table) -> pa.Table:
-    """Adds up the rows of one part: one from each of ``COUNTING_TASKS`` tasks at most."""
-    counts = sum(np.frombuffer(x.as_py(), np.int64) for x in part.column("counts"))
-    return pa.table([part.column("part")[:1], binary_array([counts.tobytes()])], ["part", "counts"])
-
-
-def _postings(counts) -> object:
-    @per_batch
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = _tokens(_signatures(batch.column(2)))
-        # Rare pairs first, in one order for all documents: by the counter, then by the key.
-        often = counts.value[(tokens & _U64(COUNTERS - 1)).astype(np.int64)]
-        order = np.lexsort((tokens, often), axis=1)[:, :PREFIX]
-        first = np.take_along_axis(tokens, order, 1).view(np.int64)
-        node, size = (np.repeat(batch.column(i).to_numpy(), PREFIX) for i in (0, 1))
-        return pa.record_batch([pa.array(first.ravel()), pa.array(node), pa.array(size)], ["token", "node", "size"])
-
-    return run
+def _shared(pairs: DataFrame) -> DataFrame:
+    """``pairs`` that two classes or more have, with how ``many``. A pair that very many have is one partial
+    count a task, and its rows meet a single row, so they can be split."""
+    many = pairs.groupBy("token").agg(F.count("*").alias("many")).where("many > 1")
+    return pairs.join(many, "token")
 
 
 class _Block:
@@ -181,6 +171,73 @@ def _near_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _frequent(lists: list[np.ndarray]) -> np.ndarray:
+    """The numbers that ``MEETINGS`` of the ascending ``lists`` have, by skip merging.
+
+    The ``MEETINGS`` - 1 longest lists are not merged: a number that is frequent is in one of the
+    others, too. What the others have is counted, and then only looked up in the long ones."""
+    lists = sorted(lists, key=len)
+    if len(lists) < MEETINGS:
+        return np.empty(0, np.int64)
+    found, times = np.unique(np.concatenate(lists[:1 - MEETINGS]), return_counts=True)
+    for i, long in enumerate(lists[1 - MEETINGS:]):
+        alive = times + (MEETINGS - 1 - i) >= MEETINGS
+        found, times = found[alive], times[alive]
+        times = times + (long[np.minimum(np.searchsorted(long, found), len(long) - 1)] == found)
+    return found[times >= MEETINGS]
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams rows (node, token, groups) by node and token: the groups that each node meets in ``MEETINGS`` lists."""
+    now, token, lists = None, None, []
+    for batch in batches:
+        nodes, groups = [], []
+
+        def end(node, lists) -> None:
+            found = _frequent([x[0] if len(x) == 1 else np.unique(np.concatenate(x)) for x in lists])  # noqa: B023
+            nodes.append(np.full(len(found), node, np.int64))  # noqa: B023
+            groups.append(found)  # noqa: B023
+
+        values, ends = batch.column(2).values.to_numpy(), batch.column(2).offsets.to_numpy()
+        for i, (node, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            if node != now:
+                if now is not None:
+                    end(now, lists)
+                now, token, lists = node, None, []
+            part = np.sort(values[ends[i]:ends[i + 1]])
+            if own == token:
+                lists[-1].append(part)
+            else:
+                token = own
+                lists.append([part])
+        if nodes:
+            yield pa.record_batch([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(groups))], ["node", "group"])
+    if now is not None:
+        found = _frequent([x[0] if len(x) == 1 else np.unique(np.concatenate(x)) for x in lists])
+        yield pa.record_batch([pa.array(np.full(len(found), now, np.int64)), pa.array(found)], ["node", "group"])
+
+
+def _tries(spark: SparkSession, mixed: DataFrame, percent: int) -> DataFrame:
+    """``group``, ``node``, ``component``: the groups against which each class must be held.
+
+    A list of the groups under a pair is cut by bands of size, one band the widest ratio that links have, so
+    that a class meets those of its own and the next bands alone, and into pieces of about ``LIST_PIECE`` groups. A class's lists
+    come together in one place, sorted, and are merged there. A link shares ``MEETINGS`` lists, so a class meets the group of a link's other end
+    in as many; it is held against groups that have a component greater than its own."""
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
+    entries = mixed.select("token", band.alias("band"), "group").distinct()
+    pieces = entries.groupBy("token", "band").agg(F.ceil(F.count("*") / LIST_PIECE).alias("pieces"))
+    piece = F.pmod(F.xxhash64("group"), F.col("pieces")).alias("piece")
+    lists = entries.join(pieces, ["token", "band"]).select("token", "band", "group", piece).groupBy("token", "band", "piece").agg(F.collect_list("group").alias("groups"))
+    near = mixed.select("node", "token", F.explode(F.array(*(band + i for i in (-1, 0, 1)))).alias("band"))
+    rows = near.join(lists, ["token", "band"]).select("node", "token", "groups")
+    met = rows.repartition("node").sortWithinPartitions("node", "token").mapInArrow(_merged, "node long, group long")
+    nodes = mixed.groupBy("node").agg(F.first("rank").alias("rank"))
+    greatest = mixed.groupBy("group").agg(F.max("rank").alias("greatest"))
+    tried = met.join(nodes, "node").join(greatest, "group").where(F.col("rank") < F.col("greatest"))
+    return tried.select("group", "node", F.col("rank.component").alias("component"))
+
+
 def _known_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(_NO_ID))
 
@@ -207,21 +264,26 @@ class _Corpus:
         self.classes = written(spark, classes, "shingle-classes")
 
     def postings(self) -> DataFrame:
-        """``token``, ``node``, ``size``: each class under the rarest coordinate-value pairs of its signature, where two classes or more meet."""
-        spread = self.classes.select("signature").coalesce(COUNTING_TASKS)
-        kind = "part long, counts binary"
-        counted = spread.mapInArrow(_count, kind).groupBy("part").applyInArrow(_sum_counts, kind).orderBy("part").collect()
-        counts = np.frombuffer(b"".join(r["counts"] for r in counted), np.int64) if counted else np.zeros(COUNTERS, np.int64)
-        counts = self.spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))  # COUNTERS numbers
-        found = self.classes.select("node", "size", "signature").mapInArrow(_postings(counts), "token long, node long, size long")
-        met = found.withColumn("many", F.count("*").over(Window.partitionBy("token")))  # a class has a pair once
-        return written(self.spark, met.where("many > 1"), "postings")
+        """``token``, ``node``, ``size``, ``many``: each class under the rarest coordinate-value pairs of its
+        signature, by their exact counts, where two classes or more meet.
+
+        A class with fewer than ``MATCHES`` shared pairs is linked with nothing; without it others' pairs are shared less, so this is done
+        ``ROUNDS`` times. Pairs that are not shared come first in the common order and take their places in the prefix."""
+        pairs = self.classes.select("node", "size", "signature").mapInArrow(_pairs, "token long, node long, size long")
+        of_class = Window.partitionBy("node")  # COORDINATES rows at most
+        for _ in range(ROUNDS):
+            found = _shared(pairs).withColumn("_shared", F.count("*").over(of_class)).where(F.col("_shared") >= MATCHES)
+            pairs = written(self.spark, found.drop("_shared", "many"), "shared-pairs")
+        ranked = _shared(pairs).withColumn("_place", COORDINATES - F.count("*").over(of_class) + F.row_number().over(of_class.orderBy("many", "token")))
+        first = written(self.spark, ranked.where(F.col("_place") <= PREFIX).select("token", "node", "size"), "prefixes")
+        return written(self.spark, _shared(first), "postings")
 
     def texts(self, nodes: DataFrame) -> DataFrame:
-        """``node`` and ``payload``, a text of the class, for the classes of ``nodes``."""
+        """``node`` and ``payload``, one text of the class, for the classes of ``nodes``."""
         wanted = nodes.select("node").distinct().join(self.classes.select("node", "doc", F.col("text_hash").alias("own")), "node")
         rows = self.docs.join(wanted, (F.col("doc_id") == F.col("doc")) & (F.col("text_hash") == F.col("own")))
-        return written(self.spark, rows.select("node", F.col("text").alias("payload")), "texts")
+        # Rows that repeat an id and a text are one before they are shuffled.
+        return written(self.spark, rows.groupBy("node").agg(F.first("text").alias("payload")), "texts")
 
     def signatures(self) -> DataFrame:
         return self.classes.select("node", F.col("brief").alias("payload"))
@@ -272,21 +334,14 @@ def _linked_rows(spark: SparkSession, docs: DataFrame, n_words: int, percent: in
     ranked = known.join(sizes, "component").select("node", "component", "count")
     rank = F.struct(F.coalesce("count", F.lit(1)).alias("count"), F.coalesce("component", "node").alias("component"))
     named = postings.join(ranked, "node", "left").join(group.drop("count"), "node", "left").select("token", "node", "size", F.coalesce("group", "node").alias("group"), rank.alias("rank"))
-    bucket = Window.partitionBy("token")
-    mixed = named.withColumn("low", F.min("rank").over(bucket)).withColumn("high", F.max("rank").over(bucket)).where(F.col("low") < F.col("high"))
-    mixed = written(spark, mixed.drop("low", "high"), "mixed-postings")
-    there = mixed.groupBy("token", "group").agg(F.max("rank").alias("greatest"), F.min("size").alias("least"), F.max("size").alias("most"))
-    columns = ["group", "node", F.col("rank.component").alias("component")]
-    own = mixed.withColumn("greatest", F.max("rank").over(Window.partitionBy("token", "group"))).where(F.col("rank") < F.col("greatest")).select(columns)
-    fits = (percent * F.col("size") <= 100 * F.col("most")) & (100 * F.col("size") >= percent * F.col("least"))
-    elsewhere = mixed.select("token", "node", "size", "rank", F.col("group").alias("of")).join(there, "token")
-    elsewhere = elsewhere.where((F.col("group") != F.col("of")) & (F.col("rank") < F.col("greatest")) & fits).select(columns)
-    # A link shares MEETINGS lists at least, so a class meets the group of a link's other end in as many.
-    lists = own.unionByName(elsewhere).groupBy("group", "node", "component").count()
-    tries = written(spark, lists.where(F.col("count") >= MEETINGS).drop("count"), "tries")
+    named = written(spark, named, "named-postings")
+    between = named.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where(F.col("low") < F.col("high"))
+    mixed = written(spark, named.join(between.select("token"), "token"), "mixed-postings")
+    tries = written(spark, _tries(spark, mixed, percent), "tries")
 
     # Signatures are compared in blocks of many members; they say against which smaller blocks of sets a class must be held.
-    members = mixed.join(tries.select("group").distinct(), "group").select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
+    members = mixed.select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
+    members = members.join(tries.select("group").distinct(), "group")
     split = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("blocks"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("parts"))
     members = members.join(split, "group").select("group", "node", "component", *(F.pmod(F.xxhash64("node"), F.col(n)).alias(c) for c, n in (("block", "blocks"), ("part", "parts"))))
     members = written(spark, members, "members")
@@ -315,7 +370,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n_words: int = 5, perc
     least ``percent`` %; a text of fewer words is one shingle.
 
     Documents of equal sets are one class. A class is posted under the rarest
-    coordinate-value pairs of its MinHash signature: so many that two classes
+    coordinate-value pairs of its MinHash signature, by exact counts: so many that two classes
     with ``MATCHES`` shared coordinates have ``MEETINGS`` postings in common. All members
     of a posting list are held against its first; components of the links found
     so then leave only pairs of different components to be tried, which are
@@ -352,3 +407,25 @@ def one_of_each(spark: SparkSession, docs: DataFrame, n_words: int = 5, percent:
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark, table(spark, sf_dir, "documents", "doc_id", "text"), n_words=2)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP5_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
+), classes AS (
+  SELECT min(doc_id) AS node, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s
+), postings AS (
+  SELECT node, n, unnest(s) AS x FROM classes
+), links AS (
+  SELECT a.node AS a, b.node AS b FROM postings a JOIN postings b ON a.x = b.x AND a.node <> b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT node AS a, node AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), smallest AS (
+  SELECT a AS node, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(m.component_id, d.doc_id) = d.doc_id AS kept
+FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN smallest m ON m.node = c.node
+"""

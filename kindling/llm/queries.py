@@ -24,6 +24,7 @@ QUERIES = {
 ORACLE = {
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op4_exact_top_k": topk_search.OP4_SQL,
+    "op5_minhash_near_dup": near_dup.OP5_SQL,
     "op8_warc": warc.OP8_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
     "op11_importance_resampling": importance.OP11_SQL,
