@@ -56,39 +56,82 @@ def _value(n: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int,
-                l2: float = 1.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+                l2: float = 1.0, steps: int = 400, tolerance: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered cuts of most penalised likelihood for sparse rows.
 
     The cuts are the first and the logarithms of the gaps, so they stay in
-    order; the gradient is followed with per-coordinate steps."""
-    top = int(grades.max())
-    above = np.array([(grades > k).mean() for k in range(top)])
-    start = -np.log(above / (1 - above))
-    theta = np.concatenate((np.zeros(n_features), start[:1], np.log(np.maximum(np.diff(start), 1e-2))))
-    first, second, n = np.zeros_like(theta), np.zeros_like(theta), len(grades)
-    at, everyone = np.arange(n), np.ones(n)
-    parts = [slice(i, i + CELLS) for i in range(0, len(rows), CELLS)]
-    for step in range(1, steps + 1):
-        w, gaps = theta[:n_features], np.exp(theta[n_features + 1:])
-        cuts = np.concatenate((theta[n_features:n_features + 1], theta[n_features] + np.cumsum(gaps)))
-        score = sum((np.bincount(rows[p], values[p] * w[columns[p]], n) for p in parts), np.zeros(n))
-        over = 1 / (1 + np.exp(np.clip(cuts - score[:, None], -50, 50)))
-        over = np.column_stack((everyone, over, 0 * everyone))  # P(grade > -1), ..., P(grade > top)
+    order. Limited-memory BFGS follows the gradient until its length is at most ``tolerance`` times that of the
+    parameters (or 1), which a few dozen steps reach; ``steps`` bounds them."""
+    loss = _Loss(rows, columns, values, grades, n_features, l2)
+    theta = loss.start()
+    value, gradient = loss(theta)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        if np.linalg.norm(gradient) <= tolerance * max(1.0, np.linalg.norm(theta)):
+            break
+        way, taken = -gradient, []
+        for s, y, r in reversed(moves):
+            taken.append(r * (s @ way))
+            way = way - taken[-1] * y
+        if moves:
+            s, y, r = moves[-1]
+            way = way / (r * (y @ y))
+        else:
+            way = way / np.linalg.norm(gradient)
+        for (s, y, r), a in zip(moves, reversed(taken), strict=True):
+            way = way + (a - r * (y @ way)) * s
+        slope, length = gradient @ way, 1.0
+        if slope >= 0:  # rounding has spoilt the curvature: start again from the gradient
+            moves, way, slope = [], -gradient, -(gradient @ gradient)
+        while True:
+            new = theta + length * way
+            new_value, new_gradient = loss(new)
+            if new_value <= value + 1e-4 * length * slope or length < 1e-10:
+                break
+            length /= 2
+        if length < 1e-10:
+            break
+        s, y = (new - theta).astype(np.float32), (new_gradient - gradient).astype(np.float32)
+        if s @ y > 1e-12 * (y @ y):
+            moves = [*moves[-19:], (s, y, 1 / (s @ y))]
+        theta, value, gradient = new, new_value, new_gradient
+    return theta[:n_features], loss.cuts(theta)
+
+
+class _Loss:
+    """Negative penalised log-likelihood of weights, first cut and logarithms of the gaps, with its gradient."""
+
+    def __init__(self, rows, columns, values, grades, n_features: int, l2: float):
+        self.rows, self.columns, self.values, self.grades, self.n_features, self.l2 = rows, columns, values, grades, n_features, l2
+        self.top, self.n = int(grades.max()), len(grades)
+        self.parts = [slice(i, i + CELLS) for i in range(0, len(rows), CELLS)]
+
+    def start(self) -> np.ndarray:
+        above = np.array([(self.grades > k).mean() for k in range(self.top)])
+        first = -np.log(above / (1 - above))
+        return np.concatenate((np.zeros(self.n_features), first[:1], np.log(np.maximum(np.diff(first), 1e-2))))
+
+    def cuts(self, theta: np.ndarray) -> np.ndarray:
+        f = self.n_features
+        return np.concatenate((theta[f:f + 1], theta[f] + np.cumsum(np.exp(theta[f + 1:]))))
+
+    def __call__(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
+        w, n, grades, at = theta[:self.n_features], self.n, self.grades, np.arange(self.n)
+        score = sum((np.bincount(self.rows[p], self.values[p] * w[self.columns[p]], n) for p in self.parts), np.zeros(n))
+        over = 1 / (1 + np.exp(np.clip(self.cuts(theta) - score[:, None], -50, 50)))
+        over = np.column_stack((np.ones(n), over, np.zeros(n)))  # P(grade > -1), ..., P(grade > top)
         slope = over * (1 - over)
         upper, lower = slope[at, grades], slope[at, grades + 1]
-        chance = np.maximum(over[at, grades] - over[at, grades + 1], 1e-12)
+        chance = np.maximum(over[at, grades] - over[at, grades + 1], 1e-300)
         by_score = (upper - lower) / chance
-        by_cut = np.zeros((n, top + 2))
-        np.add.at(by_cut, (at, grades), -upper / chance)
-        np.add.at(by_cut, (at, grades + 1), lower / chance)
-        by_cut = by_cut[:, 1:-1].sum(0)
-        gap_gradient = np.array([by_cut[k + 1:].sum() * gaps[k] for k in range(top - 1)])
-        by_weight = sum((np.bincount(columns[p], values[p] * by_score[rows[p]], n_features) for p in parts), -l2 * w)
-        gradient = np.concatenate((by_weight, [by_cut.sum()], gap_gradient))
-        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
-        theta += 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-    gaps = np.exp(theta[n_features + 1:])
-    return theta[:n_features], np.concatenate((theta[n_features:n_features + 1], theta[n_features] + np.cumsum(gaps)))
+        by_cut = np.zeros(self.top + 2)
+        np.add.at(by_cut, grades, -upper / chance)
+        np.add.at(by_cut, grades + 1, lower / chance)
+        by_cut = by_cut[1:-1]
+        gaps = np.exp(theta[self.n_features + 1:])
+        by_gap = np.array([by_cut[k + 1:].sum() * gaps[k] for k in range(self.top - 1)])
+        by_weight = sum((np.bincount(self.columns[p], self.values[p] * by_score[self.rows[p]], self.n_features) for p in self.parts), -self.l2 * w)
+        return -np.log(chance).sum() + self.l2 / 2 * (w @ w), -np.concatenate((by_weight, [by_cut.sum()], by_gap))
 
 
 @per_batch
@@ -102,6 +145,37 @@ def _joined(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.int32)
 
 
+@per_batch
+def _documents_with(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Documents, and toxic ones, of the batch that have each feature."""
+    rows = batch.column(2).to_pylist()
+    toxic = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(r) // 4 for r in rows])
+    features, at = np.unique(_joined(rows), return_inverse=True)
+    n, in_toxic = np.bincount(at, minlength=len(features)), np.bincount(at[toxic], minlength=len(features))
+    return pa.record_batch([pa.array(features), pa.array(n), pa.array(in_toxic)], ["feature", "n", "in_toxic"])
+
+
+def _cells(sent):
+    """Each document's features that were kept, as their places, and their counts."""
+
+    @per_batch
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns, counts = [], []
+        for ids, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            at, hit = _places(sent.value, np.frombuffer(ids, np.int32))
+            columns.append(at[hit].tobytes())
+            counts.append(np.frombuffer(n, np.int32)[hit].tobytes())
+        return pa.record_batch([batch.column(0), batch.column(1), binary_array(columns), binary_array(counts)], ["doc_id", "toxic", "columns", "counts"])
+
+    return run
+
+
+def one_row_an_id(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Of the rows that share a ``key`` one: of the least text by hash. What is fitted is bounded in ids, and so in rows."""
+    least = F.min_by(F.struct("text", *columns), F.xxhash64("text")).alias("least")
+    return rows.groupBy(key).agg(least).select(key, "least.*")
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ordinal | None:
     """An ordinal model out of about ``fit_rows`` labelled documents, chosen by a hash of their id.
 
@@ -110,51 +184,48 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     of one length, that are telling for toxic documents, or more). All words
     and beginnings of words found in ``MIN_DOCS`` fitted documents are features;
     the penalty decides what they weigh. Labels that are null or contradict
-    each other don't count. None if either label is missing.
+    each other don't count; of rows that share an id one is fitted. None if either label is missing.
 
-    The driver holds about 20 bytes for each distinct feature of each fitted document."""
+    Features are counted on the executors. The driver reads, a partition at a time, what the fitted documents have of
+    those that were kept, and holds 12 bytes for each."""
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
     known = known.where((F.col("low") == F.col("high")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), (F.col("low") > 0).alias("toxic"))
     share = min(1.0, fit_rows / max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else known
     # About fit_rows rows are broadcast, whatever the size of the table.
-    sample = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
-    found = sample.select("text", "doc_id", "toxic").mapInArrow(_features, "doc_id long, toxic boolean, features binary, counts binary").toArrow().to_pandas()
-    toxic = found["toxic"].to_numpy(bool)
-    if not 0 < toxic.sum() < len(toxic):
+    sample = one_row_an_id(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id")), "doc_id", "toxic")
+    found = written(spark, sample.select("text", "doc_id", "toxic").mapInArrow(_features, "doc_id long, toxic boolean, features binary, counts binary"), "toxicity-features")
+    n, n_toxic = found.agg(F.count("*"), F.count_if("toxic")).first()
+    if not 0 < n_toxic < n:
         return None
-    found = found.sort_values(["doc_id", "features", "counts"], ignore_index=True)
-    toxic, sizes = found["toxic"].to_numpy(bool), found["features"].map(len).to_numpy() // 4
-    ids, counts = (_joined(found.pop(c).tolist()) for c in ("features", "counts"))
-    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), sizes)
-    features, n_found = np.unique(ids, return_counts=True)
-    features = features[n_found >= MIN_DOCS]
+    stats = found.mapInArrow(_documents_with, "feature int, n long, in_toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("in_toxic").alias("in_toxic"))
+    stats = stats.where(F.col("n") >= MIN_DOCS).select("feature", F.col("n").cast("int"), F.col("in_toxic").cast("int")).toArrow()
+    features, n_found, in_toxic = (c.to_numpy() for c in stats.columns)
+    order = np.argsort(features)
+    features, n_found, in_toxic = features[order], n_found[order], in_toxic[order]
     if not len(features):
         return None
-    del n_found
-    # Cells are taken in parts, and what is read is let go: the driver holds them all.
-    parts = [_places(features, ids[i:i + CELLS]) for i in range(0, len(ids), CELLS)]
-    columns, kept = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-    del ids, parts
-    columns = columns[kept]
-    counts = counts[kept]
-    rows = rows[kept]
-    n_found, in_toxic = np.bincount(columns, minlength=len(features)), np.bincount(columns[toxic[rows]], minlength=len(features))
-    rate = toxic.mean()
+    del stats, order
+    sent = spark.sparkContext.broadcast(features)  # 4 bytes for each feature of the fitted documents
+    cells = found.mapInArrow(_cells(sent), "doc_id long, toxic boolean, columns binary, counts binary").orderBy("doc_id")
+    size = int(n_found.sum(dtype=np.int64))
+    rows, columns, values = np.empty(size, np.int32), np.empty(size, np.int32), np.empty(size, np.float32)
+    toxic, at = np.empty(n, bool), 0
+    rate = n_toxic / n
     z = (in_toxic - n_found * rate) / np.sqrt(n_found * rate * (1 - rate))
     severe = (z >= UNIT_Z) & (in_toxic > 0.9 * n_found)
-    kinds, signs = features & (1 << _KIND_BITS) - 1, np.zeros(len(toxic))
-    for kind in range(1 + len(BEGINNINGS)):  # a word has one beginning of each length at most
-        of_kind = (severe & (kinds == kind))[columns]
-        signs = np.maximum(signs, np.bincount(rows[of_kind], counts[of_kind], len(toxic)))
+    kinds, signs, scale = features & (1 << _KIND_BITS) - 1, np.zeros(n), np.abs(z) / UNIT_Z
+    for i, r in enumerate(cells.toLocalIterator()):
+        own, counts = np.frombuffer(r["columns"], np.int32), np.frombuffer(r["counts"], np.int32)
+        here = slice(at, at + len(own))
+        rows[here], columns[here], values[here] = i, own, _value(counts) * scale[own]
+        # A word has one beginning of each length at most.
+        signs[i] = np.bincount(kinds[own], counts * severe[own], 1).max()
+        toxic[i], at = r["toxic"], here.stop
+    sent.unpersist()
     grades = np.where(toxic, np.where(signs >= SEVERE_FROM, 2, 1), 0)
     grades = np.unique(grades, return_inverse=True)[1]  # a grade that none has gets no cut
-    scale = np.abs(z) / UNIT_Z
-    del kept, of_kind
-    values = _value(counts.astype(np.float32))
-    del counts
-    values *= scale.astype(np.float32)[columns]
-    weights, cuts = fit_ordinal(rows, columns, values, grades, len(features), steps=100)
+    weights, cuts = fit_ordinal(rows, columns, values, grades, len(features))
     return Ordinal(features, weights * scale, cuts)
 
 
