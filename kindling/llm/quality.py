@@ -163,7 +163,7 @@ def fit(counted: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, min_pre
     by a hash of their id; then the ordered list is measured on all labelled
     documents, and a rule whose precision there is under ``min_precision`` is left
     out, again and again until none is. Labels that are null or contradict each other don't
-    count; without bad labels the list is empty and rejects nothing."""
+    count; of rows that share an id, the one of least counts is fitted; without bad labels the list is empty and rejects nothing."""
     labels = labels.groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     labels = labels.where((F.col("low") == F.col("high")) & F.col("doc_id").isNotNull()).select("doc_id", (F.col("low") == 0).alias("bad"))
     counted = counted.select(F.col("row.doc_id").alias("id"), *COUNTS).where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
@@ -171,6 +171,8 @@ def fit(counted: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, min_pre
     n = labels.count()
     share = min(1.0, fit_rows / max(n, 1))
     sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else labelled
+    # Of rows that share an id one is fitted, so the rows that come to the driver are bounded as their ids are.
+    sample = sample.groupBy("id").agg(F.min(F.struct("bad", *COUNTS)).alias("least")).select("id", "least.*")
     sample = sample.select("id", "bad", *(feature(f).alias(f) for f in FEATURES)).toPandas().sort_values("id", kind="stable")
     x = {f: sample[f].to_numpy(float) for f in FEATURES}
     rules = learn_list(x, sample["bad"].to_numpy(bool), min_precision)
