@@ -217,20 +217,34 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(np.full(len(found), now, np.int64)), pa.array(found)], ["node", "group"])
 
 
-def _tries(spark: SparkSession, mixed: DataFrame, percent: int) -> DataFrame:
+def _beside(band: str) -> Column:
+    return F.explode(F.array(*(F.col(band) + i for i in (-1, 0, 1)))).alias("band")
+
+
+def _meeting(spark: SparkSession, named: DataFrame, percent: int) -> DataFrame:
+    """Postings, with their ``band`` of size, under which a class can meet a component that is not its own: in its band or
+    one beside it, as one band is the widest ratio that links have. A class without ``MEETINGS`` of them has no link left."""
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
+    named = written(spark, named.withColumn("band", band), "named-postings")
+    ends = named.groupBy("token", "band").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).select("token", _beside("band"), "low", "high")
+    ends = ends.groupBy("token", "band").agg(F.min("low").alias("low"), F.max("high").alias("high")).where(F.col("low") < F.col("high"))
+    mixed = named.join(ends.select("token", "band"), ["token", "band"])
+    many = mixed.groupBy("node").count().where(F.col("count") >= MEETINGS).select("node")
+    return written(spark, mixed.join(many, "node"), "meeting-postings")
+
+
+def _tries(spark: SparkSession, mixed: DataFrame) -> DataFrame:
     """``group``, ``node``, ``component``: the groups against which each class must be held.
 
-    A list of the groups under a pair is cut by bands of size, one band the widest ratio that links have, so
-    that a class meets those of its own and the next bands alone, and into pieces of about ``LIST_PIECE`` groups. A class's lists
+    A list of the groups under a pair is cut by bands of size: a band's list
+    has the groups of the bands beside it, too, and a class meets its own band's list alone. Lists are cut into pieces of about ``LIST_PIECE`` groups. A class's lists
     come together in one place, sorted, and are merged there. A link shares ``MEETINGS`` lists, so a class meets the group of a link's other end
     in as many; it is held against groups that have a component greater than its own."""
-    band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("size")
-    entries = mixed.select("token", band.alias("band"), "group").distinct()
+    entries = mixed.select("token", "band", "group").distinct().select("token", _beside("band"), "group").distinct()
     pieces = entries.groupBy("token", "band").agg(F.ceil(F.count("*") / LIST_PIECE).alias("pieces"))
     piece = F.pmod(F.xxhash64("group"), F.col("pieces")).alias("piece")
     lists = entries.join(pieces, ["token", "band"]).select("token", "band", "group", piece).groupBy("token", "band", "piece").agg(F.collect_list("group").alias("groups"))
-    near = mixed.select("node", "token", F.explode(F.array(*(band + i for i in (-1, 0, 1)))).alias("band"))
-    rows = near.join(lists, ["token", "band"]).select("node", "token", "groups")
+    rows = mixed.select("node", "token", "band").join(lists, ["token", "band"]).select("node", "token", "groups")
     met = rows.repartition("node").sortWithinPartitions("node", "token").mapInArrow(_merged, "node long, group long")
     nodes = mixed.groupBy("node").agg(F.first("rank").alias("rank"))
     greatest = mixed.groupBy("group").agg(F.max("rank").alias("greatest"))
@@ -334,10 +348,8 @@ def _linked_rows(spark: SparkSession, docs: DataFrame, n_words: int, percent: in
     ranked = known.join(sizes, "component").select("node", "component", "count")
     rank = F.struct(F.coalesce("count", F.lit(1)).alias("count"), F.coalesce("component", "node").alias("component"))
     named = postings.join(ranked, "node", "left").join(group.drop("count"), "node", "left").select("token", "node", "size", F.coalesce("group", "node").alias("group"), rank.alias("rank"))
-    named = written(spark, named, "named-postings")
-    between = named.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where(F.col("low") < F.col("high"))
-    mixed = written(spark, named.join(between.select("token"), "token"), "mixed-postings")
-    tries = written(spark, _tries(spark, mixed, percent), "tries")
+    mixed = _meeting(spark, named, percent)
+    tries = written(spark, _tries(spark, mixed), "tries")
 
     # Signatures are compared in blocks of many members; they say against which smaller blocks of sets a class must be held.
     members = mixed.select("group", "node", "size", F.col("rank.component").alias("component")).distinct()
