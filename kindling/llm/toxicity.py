@@ -61,8 +61,12 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
 
     The cuts are the first and the logarithms of the gaps, so they stay in
     order. Limited-memory BFGS follows the gradient until its length is at most ``tolerance`` times that of the
-    parameters (or 1), which a few dozen steps reach; ``steps`` bounds them."""
-    loss = _Loss(rows, columns, values, grades, n_features, l2)
+    parameters (or 1), which some hundred steps reach; ``steps`` bounds them."""
+    order = np.argsort(columns, kind="stable")
+    return _optimum(_Loss(rows[order], np.bincount(columns, minlength=n_features), values[order], grades, l2), steps, tolerance)
+
+
+def _optimum(loss: _Loss, steps: int = 400, tolerance: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
     theta = loss.start()
     value, gradient = loss(theta)
     moves: list[tuple[np.ndarray, np.ndarray, float]] = []
@@ -95,16 +99,35 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
         if s @ y > 1e-12 * (y @ y):
             moves = [*moves[-19:], (s, y, 1 / (s @ y))]
         theta, value, gradient = new, new_value, new_gradient
-    return theta[:n_features], loss.cuts(theta)
+    return theta[:loss.n_features], loss.cuts(theta)
 
 
 class _Loss:
     """Negative penalised log-likelihood of weights, first cut and logarithms of the gaps, with its gradient."""
 
-    def __init__(self, rows, columns, values, grades, n_features: int, l2: float):
-        self.rows, self.columns, self.values, self.grades, self.n_features, self.l2 = rows, columns, values, grades, n_features, l2
-        self.top, self.n = int(grades.max()), len(grades)
-        self.parts = [slice(i, i + CELLS) for i in range(0, len(rows), CELLS)]
+    def __init__(self, rows: np.ndarray, found: np.ndarray, values: np.ndarray, grades: np.ndarray, l2: float = 1.0):
+        """Cells by column: ``found`` says how many each column has. Rows are looked up all over then, but they are few."""
+        self.rows, self.found, self.values, self.grades, self.l2 = rows, found, values, grades, l2
+        self.n_features, self.top, self.n = len(found), int(grades.max()), len(grades)
+        starts = np.concatenate(([0], np.cumsum(found)))
+        cuts = np.unique(np.concatenate((np.searchsorted(starts, np.arange(0, starts[-1], CELLS)), [self.n_features])))
+        #: Columns taken together, and their cells.
+        self.parts = [(slice(a, z), slice(starts[a], starts[z])) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        for of, cells in self.parts:
+            out += np.bincount(self.rows[cells], self.values[cells] * np.repeat(w[of], self.found[of]), self.n)
+        return out
+
+    def by_column(self, by_row: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n_features)
+        for of, cells in self.parts:
+            found = self.found[of]
+            some = np.flatnonzero(found)
+            if len(some):
+                out[of][some] = np.add.reduceat(self.values[cells] * by_row[self.rows[cells]], (np.cumsum(found) - found)[some])
+        return out
 
     def start(self) -> np.ndarray:
         above = np.array([(self.grades > k).mean() for k in range(self.top)])
@@ -117,7 +140,7 @@ class _Loss:
 
     def __call__(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
         w, n, grades, at = theta[:self.n_features], self.n, self.grades, np.arange(self.n)
-        score = sum((np.bincount(self.rows[p], self.values[p] * w[self.columns[p]], n) for p in self.parts), np.zeros(n))
+        score = self.scores(w)
         over = 1 / (1 + np.exp(np.clip(self.cuts(theta) - score[:, None], -50, 50)))
         over = np.column_stack((np.ones(n), over, np.zeros(n)))  # P(grade > -1), ..., P(grade > top)
         slope = over * (1 - over)
@@ -130,7 +153,7 @@ class _Loss:
         by_cut = by_cut[1:-1]
         gaps = np.exp(theta[self.n_features + 1:])
         by_gap = np.array([by_cut[k + 1:].sum() * gaps[k] for k in range(self.top - 1)])
-        by_weight = sum((np.bincount(self.columns[p], self.values[p] * by_score[self.rows[p]], self.n_features) for p in self.parts), -self.l2 * w)
+        by_weight = self.by_column(by_score) - self.l2 * w
         return -np.log(chance).sum() + self.l2 / 2 * (w @ w), -np.concatenate((by_weight, [by_cut.sum()], by_gap))
 
 
@@ -187,7 +210,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     each other don't count; of rows that share an id one is fitted. None if either label is missing.
 
     Features are counted on the executors. The driver reads, a partition at a time, what the fitted documents have of
-    those that were kept, and holds 12 bytes for each."""
+    those that were kept, and holds 8 bytes for each."""
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
     known = known.where((F.col("low") == F.col("high")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), (F.col("low") > 0).alias("toxic"))
     share = min(1.0, fit_rows / max(1, known.count()))
@@ -209,23 +232,24 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     sent = spark.sparkContext.broadcast(features)  # 4 bytes for each feature of the fitted documents
     cells = found.mapInArrow(_cells(sent), "doc_id long, toxic boolean, columns binary, counts binary").orderBy("doc_id")
     size = int(n_found.sum(dtype=np.int64))
-    rows, columns, values = np.empty(size, np.int32), np.empty(size, np.int32), np.empty(size, np.float32)
-    toxic, at = np.empty(n, bool), 0
+    rows, values = np.empty(size, np.int32), np.empty(size, np.float32)
+    toxic, filled = np.empty(n, bool), np.concatenate(([0], np.cumsum(n_found, dtype=np.int64)))[:-1]
     rate = n_toxic / n
     z = (in_toxic - n_found * rate) / np.sqrt(n_found * rate * (1 - rate))
     severe = (z >= UNIT_Z) & (in_toxic > 0.9 * n_found)
     kinds, signs, scale = features & (1 << _KIND_BITS) - 1, np.zeros(n), np.abs(z) / UNIT_Z
     for i, r in enumerate(cells.toLocalIterator()):
         own, counts = np.frombuffer(r["columns"], np.int32), np.frombuffer(r["counts"], np.int32)
-        here = slice(at, at + len(own))
-        rows[here], columns[here], values[here] = i, own, _value(counts) * scale[own]
+        here = filled[own]  # each feature's next cell
+        rows[here], values[here] = i, _value(counts) * scale[own]
+        filled[own] += 1
         # A word has one beginning of each length at most.
         signs[i] = np.bincount(kinds[own], counts * severe[own], 1).max()
-        toxic[i], at = r["toxic"], here.stop
+        toxic[i] = r["toxic"]
     sent.unpersist()
     grades = np.where(toxic, np.where(signs >= SEVERE_FROM, 2, 1), 0)
     grades = np.unique(grades, return_inverse=True)[1]  # a grade that none has gets no cut
-    weights, cuts = fit_ordinal(rows, columns, values, grades, len(features))
+    weights, cuts = _optimum(_Loss(rows, n_found, values, grades))
     return Ordinal(features, weights * scale, cuts)
 
 
