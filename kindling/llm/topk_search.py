@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,16 +15,20 @@ from kindling.llm.common import table
 #: Queries that one task holds, rows of a candidate slot, and the tile of dense scores (queries, candidates).
 QUERY_BLOCK, SLOT_ROWS, MIN_SLOTS = 32768, 65536, 32
 TILE = (128, 2048)
-#: Weights are clipped to this size, so that scores of 2**20 dimensions fit a long.
-MAX_WEIGHT = 1 << 21
 NONE = np.iinfo(np.int64).min
 
 
+def max_weight(dimensions: int) -> int:
+    """The greatest weight, of 31 bits at most, with which every score of so many dimensions fits a long."""
+    return min(2**31 - 1, math.isqrt((2**63 - 1) // max(1, dimensions)))
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id``, ``weights`` (floor(256 * x) of each component) of the vectors that take part."""
     x = F.col(vector_col)
     fit = F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    weight = lambda c: F.greatest(F.lit(-MAX_WEIGHT), F.least(F.lit(MAX_WEIGHT), F.floor(c.cast("double") * 256))).cast("int")
+    most = max_weight(vectors.agg(F.max(F.size(x))).first()[0] or 1)
+    weight = lambda c: F.greatest(F.lit(float(-most)), F.least(F.lit(float(most)), F.floor(c.cast("double") * 256).cast("double"))).cast("int")
     rows = vectors.where(fit).select(F.col(id_col).cast("long").alias("id"), F.transform(x, weight).alias("weights"))
     return rows.groupBy("id").agg(F.max("weights").alias("weights"))
 
@@ -127,7 +132,9 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, i
     Vectors that are null or hold null or non-finite components, and rows with
     a null id, take no part. Rows that share an id are one vector, the greatest
     of them. An empty vector, and one with zeros only, scores 0. Vectors may
-    differ in length; missing components are 0. Weights are clipped to 2**21.
+    differ in length; missing components are 0. Weights are exact up to :func:`max_weight` of the
+    longest vector (components of 10^6 in 1,000 dimensions) and clipped there: beyond, no long holds all scores. Very long
+    vectors cost their length in every task they go to; other columns are not read.
     """
     rows = quantised(vectors, id_col, vector_col)
     query = rows.where(is_query(F.col("id")))

@@ -15,6 +15,8 @@ from kindling.session import scratch_path
 
 #: Payloads of fewer bytes are stored each; records a file; index rows that one task merges.
 MIN_SHARED, FILE_RECORDS, MERGE_ROWS = 1000, 2000, 50_000
+#: Bytes that a file's records may have together.
+FILE_BYTES = 1 << 28
 EPOCH = 1_704_067_200  # the time of page 0, if pages have none: 2024-01-01
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -33,7 +35,8 @@ def _one_line(col: Column) -> Column:
 def with_revisits(spark: SparkSession, pages: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
     """``page_id``, ``url``, ``html``, ``digest`` and ``refers_to``: of pages
     with equal payloads of at least ``min_shared`` bytes the page whose payload
-    this one repeats (the greatest ``page_id``), null if it has its own.
+    this one repeats (the greatest ``page_id``), null if it has its own. A null
+    ``page_id`` is less than any other; rows that repeat a page's id and payload are what that page is. Other columns are not read.
 
     Only digests are grouped; the pages that repeat one are a table of their
     own, to which pages are joined by page, so no payload that many pages
@@ -42,11 +45,13 @@ def with_revisits(spark: SparkSession, pages: DataFrame, min_shared: int = MIN_S
     pages = pages.select("page_id", "url", html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("digest"))
     large = pages.where(F.octet_length("html") >= min_shared).select("page_id", "digest")
     large = written(spark, large, "page-digests")
-    shared = large.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first")).where(F.col("first") < F.col("last"))
+    # A page without an id repeats the greatest id's, too; without any id there is nothing to refer to.
+    shared = large.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first"), F.count("page_id").alias("named"), F.count("*").alias("n"))
+    shared = shared.where((F.col("first") < F.col("last")) | (F.col("named") > 0) & (F.col("named") < F.col("n")))
     shared = written(spark, shared.select(F.col("digest").alias("same"), "last"), "shared-payloads")
-    repeats = large.join(shared, F.col("digest") == F.col("same")).where(F.col("page_id") != F.col("last"))
+    repeats = large.join(shared, F.col("digest") == F.col("same")).where(~F.col("page_id").eqNullSafe(F.col("last")))
     repeats = written(spark, repeats.select(F.col("page_id").alias("id"), F.col("digest").alias("of"), F.col("last").alias("refers_to")).distinct(), "revisits")
-    joined = pages.join(repeats, (F.col("page_id") == F.col("id")) & (F.col("digest") == F.col("of")), "left")
+    joined = pages.join(repeats, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
     return joined.select("page_id", "url", "html", "digest", "refers_to")
 
 
@@ -78,7 +83,10 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str, min_shared:
 
     Records are text, so Spark's own writer makes the files wherever Spark can
     write: its line separator is the two line ends between records. A file
-    holds ``file_records`` records at most. No pages make no record."""
+    holds ``file_records`` records at most, and fewer where pages are so long that these could pass ``FILE_BYTES``: a file is read
+    as one value. No pages make no record."""
+    longest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    file_records = max(1, min(file_records, FILE_BYTES // (longest + 10_000)))
     out = records(with_revisits(spark, pages, min_shared))
     out.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).text(path)
 
@@ -224,7 +232,7 @@ WITH sized AS (
   SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_page FROM sized
 )
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> last_page THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> last_page THEN last_page END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND last_page IS NOT NULL AND page_id IS DISTINCT FROM last_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last_page THEN last_page END AS refers_to
 FROM last
 """
