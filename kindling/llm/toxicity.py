@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +25,7 @@ UNIT_Z = 5.5
 #: Toxic documents with this many occurrences of telling words or beginnings of one length are of the higher grade.
 SEVERE_FROM = 5
 #: Cells of the sparse matrix that are taken at a time.
-CELLS = 1 << 20
+CELLS = 1 << 18
 _KIND_BITS = 3
 
 
@@ -97,7 +99,7 @@ def _optimum(loss: _Loss, steps: int = 400, tolerance: float = 1e-2) -> tuple[np
             break
         s, y = (new - theta).astype(np.float32), (new_gradient - gradient).astype(np.float32)
         if s @ y > 1e-12 * (y @ y):
-            moves = [*moves[-19:], (s, y, 1 / (s @ y))]
+            moves = [*moves[-11:], (s, y, 1 / (s @ y))]
         theta, value, gradient = new, new_value, new_gradient
     return theta[:loss.n_features], loss.cuts(theta)
 
@@ -193,6 +195,13 @@ def _cells(sent):
     return run
 
 
+def _let_go() -> None:
+    """Gives the driver's freed memory back to the system: later stages of a pipeline need it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def one_row_an_id(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     """Of the rows that share a ``key`` one: of the least text by hash. What is fitted is bounded in ids, and so in rows."""
     least = F.min_by(F.struct("text", *columns), F.xxhash64("text")).alias("least")
@@ -210,7 +219,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     each other don't count; of rows that share an id one is fitted. None if either label is missing.
 
     Features are counted on the executors. The driver reads, a partition at a time, what the fitted documents have of
-    those that were kept, and holds 8 bytes for each."""
+    those that were kept, and holds 6 bytes for each (8 with more than 65,536 documents)."""
     known = labels.groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
     known = known.where((F.col("low") == F.col("high")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), (F.col("low") > 0).alias("toxic"))
     share = min(1.0, fit_rows / max(1, known.count()))
@@ -232,7 +241,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     sent = spark.sparkContext.broadcast(features)  # 4 bytes for each feature of the fitted documents
     cells = found.mapInArrow(_cells(sent), "doc_id long, toxic boolean, columns binary, counts binary").orderBy("doc_id")
     size = int(n_found.sum(dtype=np.int64))
-    rows, values = np.empty(size, np.int32), np.empty(size, np.float32)
+    rows, values = np.empty(size, np.uint16 if n <= 1 << 16 else np.int32), np.empty(size, np.float32)
     toxic, filled = np.empty(n, bool), np.concatenate(([0], np.cumsum(n_found, dtype=np.int64)))[:-1]
     rate = n_toxic / n
     z = (in_toxic - n_found * rate) / np.sqrt(n_found * rate * (1 - rate))
@@ -250,6 +259,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     grades = np.where(toxic, np.where(signs >= SEVERE_FROM, 2, 1), 0)
     grades = np.unique(grades, return_inverse=True)[1]  # a grade that none has gets no cut
     weights, cuts = _optimum(_Loss(rows, n_found, values, grades))
+    del rows, values
+    _let_go()
     return Ordinal(features, weights * scale, cuts)
 
 
