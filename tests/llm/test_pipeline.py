@@ -9,7 +9,7 @@ import corpus_pipeline
 from tests.llm.test_operators import brute_components, brute_lines
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings pages conversations".split()
+TABLES = "documents embeddings pages benchmark conversations".split()
 
 
 @pytest.mark.parametrize("name", sorted(k for k in entry.oracle_sql() if k.startswith("op")))
@@ -44,3 +44,33 @@ def test_whole_run(spark):
     per = packed.groupBy("sequence_id").sum("length").collect()
     assert per and max(r[1] for r in per) <= 2048
     assert packed.select("doc_id").distinct().count() < spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_edge_rows_go_through_all_stages(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, repeated rows, a very long text, clashing columns; then empty tables."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = " ".join(f"word{i} of a long text" for i in range(30_000))
+    edge = [(None, "no id here", "en", "s", 1), (None, "no id here", "en", "s", 1), (None, None, None, None, None), (-1, None, "en", "s", None), (-2, "", "en", "s", 0),
+            (-3, long, "en", "s", len(long)), (-3, long, "en", "s", len(long)), (-4, " \t\n", "en", "s", 3)]
+    docs = docs.unionByName(spark.createDataFrame(edge, docs.schema))
+    for c in ("row", "tag", "digest", "component", "severity", "kept"):
+        docs = docs.selectExpr("*", f"'x' AS {c}")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path)).checkpoint()
+        assert now.columns == docs.columns, name
+    assert now.count() and now.where("row <> 'x'").count() == 0
+    # The long text repeats its words, which the first stage rejects; the others take it whole, and once.
+    for name in ("toxicity", "line_dedup"):
+        whole = dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path))
+        assert [r.text == long for r in whole.where("doc_id = -3").collect()] == [True, True], name
+    once = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, str(tmp_path)).where("doc_id = -3 OR doc_id IS NULL").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in once) == [(-3, long), (0, ""), (0, "no id here")]
+    packed = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, now.unionByName(docs.where("doc_id IS NULL OR doc_id < 0")), str(tmp_path))
+    assert packed.where("doc_id = -1 AND length = 1").count() == 1  # a null text is the end's id alone
+    assert packed.where("doc_id = -3").groupBy("piece").count().where("count = 2").count() > 10
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{tmp_path}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
