@@ -27,7 +27,7 @@ def duck():
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"als_recommend", "classify_documents"}
+    assert rows_only == {"als_recommend", "classify_documents", "svm_documents"}
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -53,12 +53,13 @@ def test_als_recommend_properties(spark):
     assert all(a["score"] >= b["score"] for a, b in zip(rows, rows[1:]))
 
 
-def test_classify_documents_properties(spark):
+@pytest.mark.parametrize("name", ["classify_documents", "svm_documents"])
+def test_classify_documents_properties(spark, name):
     from pyspark.sql import functions as F
 
     from kindling.operators.splits import hash_bucket
 
-    rows = QUERIES["classify_documents"](spark, SF).collect()
+    rows = QUERIES[name](spark, SF).collect()
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
     lab = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
     fitted = F.col("quality").isNotNull() & (hash_bucket("doc_id") < 70)
