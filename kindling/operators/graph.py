@@ -7,19 +7,26 @@ written with a reliable ``checkpoint()`` into the shared checkpoint folder,
 which cuts the lineage and survives lost executors.
 
 Frontier joins broadcast the frontier only when its row count - known exactly
-from the previous round - is below the bound; otherwise a shuffle join runs
-and AQE splits a hot vertex's edges across tasks. Duplicate targets are
-removed with a partial aggregate before the shuffle.
+from the previous round - is below the bound; otherwise a shuffle join runs on
+the source and its part: ``by_source`` measures the hubs and lays their edges
+out in several parts, so no task holds all edges of a hub. Duplicate targets
+are removed with a partial aggregate before the shuffle.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, pin_small, small_frame
 
 INF = float("inf")
+#: A vertex with fewer edges than this is never split.
+HUB_ROWS = 1_000_000
+#: Levels of a search that are kept as tables of their own before they are written as one.
+LEVELS_APART = 16
 
 
 def _maybe_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
@@ -78,35 +85,98 @@ def checkpoint_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     return out, out.agg(*aliased).first().asDict()
 
 
-def bfs(edges: DataFrame, root, max_iter: int = 10, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """GR3/GR4: hop distance from ``root`` along directed edges, at most ``max_iter`` hops.
+class SourceEdges(NamedTuple):
+    """Edges laid out by source for a loop (see :func:`by_source`). ``sources`` and
+    ``targets`` are the hubs ``(src, _parts)`` and ``(dst, _parts)``, or None without any;
+    the edges then carry the part of each as ``_out`` and ``_in``."""
+
+    edges: DataFrame
+    sources: DataFrame | None
+    targets: DataFrame | None
+
+
+def by_source(edges: DataFrame, hub_rows: int = HUB_ROWS, targets: bool = False) -> SourceEdges:
+    """Write ``edges`` once, partitioned by source, for the joins of a loop.
+
+    A hub is a source (with ``targets`` also a target) of more edges than both
+    ``hub_rows`` and an even share of a shuffle task, so there are fewer hubs than
+    shuffle partitions and their table may be broadcast. A hub's edges are dealt by
+    the other end into parts of about a quarter of that share.
+    """
+    e, m = checkpoint_with(edges, rows=F.count(F.lit(1)))
+    share = max(hub_rows, -(-m["rows"] // int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1)
+
+    def hubs(end: str) -> DataFrame | None:
+        degree = e.groupBy(end).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > share) & F.col(end).isNotNull())
+        found, n = checkpoint_with(degree.select(end, F.ceil(F.col("_n") * 4 / share).cast("int").alias("_parts")))
+        return found if n["rows"] else None
+
+    def dealt(df: DataFrame, found: DataFrame | None, end: str, other: str, part: str) -> DataFrame:
+        if found is None:
+            return df
+        part_of = F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
+        return df.join(F.broadcast(found), end, "left").withColumn(part, part_of).drop("_parts")
+
+    sources, hub_targets = hubs("src"), hubs("dst") if targets else None
+    e = dealt(dealt(e, sources, "src", "dst", "_out"), hub_targets, "dst", "src", "_in")
+    return SourceEdges(e.repartition(*(["src"] if sources is None else ["src", "_out"])).checkpoint(), sources, hub_targets)
+
+
+def _in_parts(df: DataFrame, found: DataFrame, end: str, part: str) -> DataFrame:
+    """Each row of ``df`` once for every part of its vertex."""
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    return df.join(F.broadcast(found), end, "left").withColumn(part, F.explode(parts)).drop("_parts")
+
+
+def edges_from(e: SourceEdges, active: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
+    """The edges whose source is in ``active(src, ...)``, a frame of ``rows`` rows."""
+    if rows <= broadcast_rows:
+        return e.edges.join(F.broadcast(active), "src")
+    if e.sources is None:
+        return e.edges.join(active, "src")
+    return e.edges.join(_in_parts(active, e.sources, "src", "_out"), ["src", "_out"])
+
+
+def with_target_state(e: SourceEdges, trip: DataFrame, state: DataFrame) -> DataFrame:
+    """Edges with the ``dst_attr`` of their targets. A hub's edges meet copies of its
+    state by part, so they stay apart until their messages are merged."""
+    attr = state.select(F.col("id").alias("dst"), F.col("attr").alias("dst_attr"))
+    if e.targets is None:
+        return trip.join(attr, "dst")
+    return trip.join(_in_parts(attr, e.targets, "dst", "_in"), ["dst", "_in"])
+
+
+def bfs(edges: DataFrame | SourceEdges, root, max_iter: int | None = 10, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+        target=None) -> DataFrame:
+    """GR3/GR4/GR5: hop distance from ``root`` along directed edges, at most ``max_iter``
+    hops (None: until nothing new is reached). With ``target``, the search ends in the
+    round that reaches it.
 
     Returns ``(id, dist)`` for reached vertices only (dist is a bigint level).
     ``root`` is a vertex id or a one-row DataFrame with column ``root``.
     """
-    spark = edges.sparkSession
+    e = edges if isinstance(edges, SourceEdges) else by_source(edges.select("src", "dst"))
+    spark = e.edges.sparkSession
     if isinstance(root, DataFrame):
         frontier = root.select(F.col(root.columns[0]).cast("bigint").alias("id"))
     else:
         frontier = spark.range(1).select(F.lit(root).cast("bigint").alias("id"))
-    frontier, m = checkpoint_with(frontier, rows=F.count(F.lit(1)))
-    frontier_rows = m["rows"]
+    is_target = F.lit(False) if target is None else F.col("id") == F.lit(target)
+    metrics = {"rows": F.count(F.lit(1)), "found": F.count_if(is_target)}
+    frontier, m = checkpoint_with(frontier, **metrics)
     levels = [frontier.withColumn("dist", F.lit(0).cast("bigint"))]
-    seen_rows = frontier_rows
-    e = edges.select("src", "dst")
-    for level in range(1, max_iter + 1):
-        if frontier_rows == 0:
-            break
-        f = _maybe_broadcast(frontier, frontier_rows, broadcast_rows)
-        reached = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
+    seen_rows, level = m["rows"], 0
+    while m["rows"] and not m["found"] and (max_iter is None or level < max_iter):
+        level += 1
+        reached = edges_from(e, frontier.withColumnRenamed("id", "src"), m["rows"], broadcast_rows)
         seen = _maybe_broadcast(_union(levels).select("id"), seen_rows, broadcast_rows)
-        new, m = checkpoint_with(reached.join(seen, "id", "left_anti"), rows=F.count(F.lit(1)))
-        frontier_rows = m["rows"]
-        if frontier_rows == 0:
-            break
-        levels.append(new.withColumn("dist", F.lit(level).cast("bigint")))
-        seen_rows += frontier_rows
-        frontier = new
+        new = reached.select(F.col("dst").alias("id")).where("id IS NOT NULL").distinct().join(seen, "id", "left_anti")
+        frontier, m = checkpoint_with(new, **metrics)
+        if m["rows"]:
+            levels.append(frontier.withColumn("dist", F.lit(level).cast("bigint")))
+            seen_rows += m["rows"]
+        if len(levels) > LEVELS_APART:
+            levels = [_union(levels).checkpoint()]
     return _union(levels)
 
 
@@ -124,7 +194,17 @@ def distances_with_unreached(vertices: DataFrame, dist: DataFrame) -> DataFrame:
     )
 
 
-def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
+def reach(vertices: DataFrame, dist: DataFrame, limit: int) -> DataFrame:
+    """Every vertex with its hop count as double and its ``state``, out of a search
+    without a limit (``bfs`` with ``max_iter=None``): ``reached`` within ``limit`` hops,
+    ``beyond`` it or ``unreachable``; the latter two have ``Infinity`` hops."""
+    hops = distances_with_unreached(vertices, dist)
+    state = F.when(F.col("hops") <= limit, "reached").when(F.col("hops") < INF, "beyond").otherwise("unreachable")
+    return hops.select("id", F.when(F.col("hops") <= limit, F.col("hops")).otherwise(F.lit(INF)).alias("hops"),
+                       state.alias("state"))
+
+
+def degrees_of_separation(edges: DataFrame | SourceEdges, start, target, max_iter: int = 10,
                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """GR6 / AGG14: BFS from ``start`` that stops in the first round whose frontier
     has ``target`` as a neighbour.
@@ -135,13 +215,13 @@ def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
     here a ``count`` of a filtered join that cannot over-count, trap T9).
     Follows the stated intent of the reference (true BFS, min distance; trap T4).
     """
-    spark = edges.sparkSession
-    e = edges.select("src", "dst")
+    e = edges if isinstance(edges, SourceEdges) else by_source(edges.select("src", "dst"))
+    spark = e.edges.sparkSession
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("id")).checkpoint()
     frontier_rows, levels, seen_rows = 1, [frontier], 1
     degree, hits = None, 0
     # The target's in-edges, extracted once (one scan) instead of once per round.
-    into_target = e.filter(F.col("dst") == F.lit(target)).select(F.col("src").alias("id")).checkpoint()
+    into_target = e.edges.filter(F.col("dst") == F.lit(target)).select(F.col("src").alias("id")).checkpoint()
     for level in range(1, max_iter + 1):
         if frontier_rows == 0:
             break
@@ -151,7 +231,8 @@ def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
         if hits > 0:
             degree = level
             break
-        expanded = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
+        expanded = edges_from(e, frontier.withColumnRenamed("id", "src"), frontier_rows, broadcast_rows)
+        expanded = expanded.select(F.col("dst").alias("id")).where("id IS NOT NULL").distinct()
         seen = _maybe_broadcast(_union(levels), seen_rows, broadcast_rows)
         new, m = checkpoint_with(expanded.join(seen, "id", "left_anti"), rows=F.count(F.lit(1)))
         frontier_rows = m["rows"]
@@ -166,13 +247,14 @@ def degrees_of_separation(edges: DataFrame, start, target, max_iter: int = 10,
 
 def pregel(
     vertices: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | SourceEdges,
     send: Column,
     merge: str = "min",
     vprog=None,
     max_iter: int = 10,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     initial=None,
+    reads_target: bool = True,
 ) -> DataFrame:
     """GR8: a Pregel loop with Column expressions.
 
@@ -183,8 +265,9 @@ def pregel(
     message wins when it differs). Only vertices whose attribute changed send
     in the next round (JOIN6 triplets: edge + source + destination state).
     ``initial``, if given, is the message every vertex gets before the first
-    round. A ``send`` that doesn't read ``dst_attr`` is evaluated on the source
-    side alone, so messages are combined before any state is joined to them.
+    round. With ``reads_target=False``, for a ``send`` without ``dst_attr``, messages
+    are made of the source's state alone and combined before any state is joined to
+    them; otherwise they are made in the parts of hot targets (``by_source`` with ``targets``).
     """
     merge_fn = {"min": F.min, "max": F.max, "sum": F.sum}[merge]
     if vprog is None:
@@ -194,16 +277,14 @@ def pregel(
     state, m = checkpoint_with(start, rows=F.count(F.lit(1)))
     active_rows = m["rows"]
     active = state
-    e = edges
-    by_target = "dst_attr" in send._jc.toString()
+    e = edges if isinstance(edges, SourceEdges) else by_source(edges, targets=reads_target)
     for _ in range(max_iter):
         if active_rows == 0:
             break
-        a = _maybe_broadcast(active.select(F.col("id").alias("src"), F.col("attr").alias("src_attr")),
-                             active_rows, broadcast_rows)
-        trip = e.join(a, "src")
-        if by_target:
-            trip = trip.join(state.select(F.col("id").alias("dst"), F.col("attr").alias("dst_attr")), "dst")
+        a = active.select(F.col("id").alias("src"), F.col("attr").alias("src_attr"))
+        trip = edges_from(e, a, active_rows, broadcast_rows)
+        if reads_target:
+            trip = with_target_state(e, trip, state)
         msgs = trip.select("dst", send.alias("msg")).filter(F.col("msg").isNotNull())
         merged = msgs.groupBy(F.col("dst").alias("id")).agg(merge_fn("msg").alias("msg"))
         new_attr = F.when(F.col("msg").isNull(), F.col("attr")).otherwise(vprog(F.col("attr"), F.col("msg")))

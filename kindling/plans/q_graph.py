@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kindling.operators.graph import (
-    adjacency_degrees, bfs, build_graph, degrees_of_separation, distances_with_unreached,
-    pregel, top_degrees,
+    adjacency_degrees, bfs, build_graph, by_source, degrees_of_separation, distances_with_unreached,
+    pregel, reach, top_degrees,
 )
 from kindling.operators.sizing import pin_small
 from kindling.plans.common import T
@@ -29,6 +29,7 @@ def register(name, sql=None):
 # Fixed parameters: the target is part 0 (vertex 2*0+1).
 TARGET = 1
 MAX_ITER = 10
+REACH = 2
 
 _E = """e AS (SELECT DISTINCT src, dst FROM (
    SELECT 2*l_suppkey AS src, 2*l_partkey+1 AS dst FROM lineitem
@@ -48,9 +49,8 @@ def _vertex_ids(edges):
 
 
 def _hops(spark, sf):
-    edges = graph_edges(spark, sf).repartition("src").checkpoint()
-    dist = bfs(edges, graph_root(spark, sf), MAX_ITER)
-    return edges, distances_with_unreached(_vertex_ids(edges), dist)
+    e = by_source(graph_edges(spark, sf))
+    return distances_with_unreached(_vertex_ids(e.edges), bfs(e, graph_root(spark, sf), MAX_ITER))
 
 
 @register("graph_degrees_topk", f"""
@@ -110,7 +110,7 @@ WITH RECURSIVE {_E}, {_WALK}, {_V}
 SELECT v.id, coalesce(CAST(m.d AS DOUBLE), 'inf'::DOUBLE) AS hops FROM v LEFT JOIN m ON m.id = v.id
 """)
 def bfs_hops(spark, sf):
-    return _hops(spark, sf)[1]
+    return _hops(spark, sf)
 
 
 @register("bfs_target", f"""
@@ -119,7 +119,23 @@ SELECT v.id, coalesce(CAST(m.d AS DOUBLE), 'inf'::DOUBLE) AS hops FROM v LEFT JO
 WHERE v.id = {TARGET}
 """)
 def bfs_target(spark, sf):
-    return _hops(spark, sf)[1].filter(F.col("id") == TARGET)
+    """GR5: the search ends in the round that reaches the target."""
+    e = by_source(graph_edges(spark, sf))
+    dist = bfs(e, graph_root(spark, sf), MAX_ITER, target=TARGET)
+    return distances_with_unreached(_vertex_ids(e.edges).filter(F.col("id") == TARGET), dist)
+
+
+@register("bfs_reach", f"""
+WITH RECURSIVE {_E}, {_WALK}, {_V}
+SELECT v.id, CASE WHEN m.d <= {REACH} THEN CAST(m.d AS DOUBLE) ELSE 'inf'::DOUBLE END AS hops,
+       CASE WHEN m.d <= {REACH} THEN 'reached' WHEN m.d IS NOT NULL THEN 'beyond' ELSE 'unreachable' END AS state
+FROM v LEFT JOIN m ON m.id = v.id
+""")
+def bfs_reach(spark, sf):
+    """GR4 with a limit that binds: vertices farther than two hops told apart from those no path leads to.
+    The search has no limit of rounds; the SQL's walk of ten hops passes the graph's depth."""
+    e = by_source(graph_edges(spark, sf))
+    return reach(_vertex_ids(e.edges), bfs(e, graph_root(spark, sf), max_iter=None), REACH)
 
 
 @register("bfs_first_n", f"""
@@ -130,7 +146,7 @@ ORDER BY v.id LIMIT 100
 """)
 def bfs_first_n(spark, sf):
     """SRT7: distances joined with names, first 100 by id (made deterministic)."""
-    hops = pin_small(_hops(spark, sf)[1].orderBy("id").limit(100))
+    hops = pin_small(_hops(spark, sf).orderBy("id").limit(100))
     names = graph_vertices(spark, sf).join(F.broadcast(hops.select("id")), "id").groupBy("id").agg(
         F.max("name").alias("name"))
     return hops.join(names, "id", "left").select(
@@ -145,7 +161,7 @@ SELECT (SELECT id FROM root) AS start, CAST({TARGET} AS BIGINT) AS target, CAST(
 FROM td
 """)
 def q_degrees_of_separation(spark, sf):
-    edges = graph_edges(spark, sf).repartition("src").checkpoint()
+    edges = by_source(graph_edges(spark, sf))
     start = graph_root(spark, sf).first()["root"]  # one scalar: the loop's start id
     return degrees_of_separation(edges, start, TARGET, MAX_ITER)
 
@@ -158,8 +174,8 @@ SELECT id, min(label) AS label FROM near GROUP BY id
 """)
 def pregel_min_label(spark, sf):
     """GR8: min-label propagation, at most 10 supersteps (label = least id within 10 hops)."""
-    edges = graph_edges(spark, sf).repartition("src").checkpoint()
-    verts = _vertex_ids(edges).select("id", F.col("id").alias("attr"))
+    edges = by_source(graph_edges(spark, sf), targets=True)
+    verts = _vertex_ids(edges.edges).select("id", F.col("id").alias("attr"))
     send = F.when(F.col("src_attr") < F.col("dst_attr"), F.col("src_attr"))
     out = pregel(verts, edges, send, "min", max_iter=MAX_ITER)
     return out.select("id", F.col("attr").alias("label"))
@@ -172,8 +188,9 @@ SELECT v.id, coalesce(CAST(m.d AS DOUBLE), 'inf'::DOUBLE) AS hops FROM v LEFT JO
 def hops_by_pregel(spark, sf):
     """GR8 with an edge attribute and an initial message: every edge has weight
     1, vertices start at infinity, the root's initial attribute is 0."""
-    edges = graph_edges(spark, sf).withColumn("weight", F.lit(1.0)).repartition("src").checkpoint()
+    edges = by_source(graph_edges(spark, sf).withColumn("weight", F.lit(1.0)))
     root = graph_root(spark, sf).first()["root"]  # one scalar
-    verts = _vertex_ids(edges).select("id", F.when(F.col("id") == root, 0.0).otherwise(F.lit(float("inf"))).alias("attr"))
-    out = pregel(verts, edges, F.col("src_attr") + F.col("weight"), "min", max_iter=MAX_ITER, initial=float("inf"))
+    verts = _vertex_ids(edges.edges).select("id", F.when(F.col("id") == root, 0.0).otherwise(F.lit(float("inf"))).alias("attr"))
+    out = pregel(verts, edges, F.col("src_attr") + F.col("weight"), "min", max_iter=MAX_ITER, initial=float("inf"),
+                 reads_target=False)
     return out.select("id", F.col("attr").alias("hops"))

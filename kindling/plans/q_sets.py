@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kindling.operators.lookup import cogroup_sizes, outer_join, point_lookup
+from kindling.operators.lookup import cogroup_rows, cogroup_sizes, outer_join, point_lookup
 from kindling.operators.setops import distinct, intersect_distinct, subtract_bag, union_all
 from kindling.operators.splits import all_but_n, hash_split, kfold, sample_by_hash
 from kindling.plans.common import T
@@ -140,6 +140,18 @@ def q_cogroup_sizes(spark, sf):
     return cogroup_sizes(c, o, "c_custkey")
 
 
+@register("cogroup_rows", """
+SELECT c_custkey, 'left' AS side, c_acctbal AS balance, CAST(NULL AS BIGINT) AS o_orderkey FROM customer
+UNION ALL SELECT o_custkey, 'right', NULL, o_orderkey FROM orders
+""")
+def q_cogroup_rows(spark, sf):
+    """JOIN10: each customer's row and order keys, run by run."""
+    c = T(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("balance"))
+    o = T(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return cogroup_rows(c, o, "c_custkey", ["balance"], ["o_orderkey"]).select(
+        "c_custkey", "side", "left.balance", "right.o_orderkey")
+
+
 @register("lookup_key", """
 WITH k AS (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10)
 SELECT o.o_custkey AS c_custkey, o.o_orderkey, o.o_totalprice FROM orders o JOIN k ON o.o_custkey = k.c_custkey

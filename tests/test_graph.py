@@ -3,10 +3,12 @@
 import math
 from collections import deque
 
+import pytest
 from pyspark.sql import functions as F
 
 from kindling.operators.graph import (
-    bfs, build_graph, degrees, degrees_of_separation, distances_with_unreached, pregel, top_degrees,
+    bfs, build_graph, by_source, degrees, degrees_of_separation, distances_with_unreached, edges_from, pregel, reach,
+    top_degrees, with_target_state,
 )
 from tests.conftest import rows
 
@@ -82,3 +84,78 @@ def test_pregel_min_label_is_min_within_k_hops(spark):
     got = dict(rows(pregel(v, e, send, "min", max_iter=3)))
     want = {i: min(_bfs(und, i, 3)) for i in ids}
     assert got == want
+
+
+def _hub_graph():
+    """900 edges of which a third leave vertex 0 and a third enter vertex 1, besides a chain of 30."""
+    return [(0, 100 + i) for i in range(300)] + [(100 + i, 1) for i in range(300)] + [(1000 + i, 2000 + i) for i in range(270)] + [
+        (1, 500)] + [(500 + i, 501 + i) for i in range(29)]
+
+
+def _largest(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """Tables as small as these keep their shuffle partitions apart, as large ones do."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hub_edges_are_spread_and_results_stay(spark, plain_shuffles):
+    pairs = _hub_graph()
+    e = by_source(spark.createDataFrame(pairs, "src BIGINT, dst BIGINT"), hub_rows=20, targets=True)
+    assert rows(e.sources, "src") == [(0,)] and rows(e.targets, "dst") == [(1,)]
+    assert rows(e.edges, "src", "dst") == sorted(pairs)
+    # Even shares are 113 of 900 edges; the hub's 300 edges must not meet in one task.
+    assert _largest(e.edges) < 250
+    ids = sorted({i for p in pairs for i in p})
+    state = spark.createDataFrame([(i, i) for i in ids], "id BIGINT, attr BIGINT")
+    active = state.selectExpr("id AS src", "attr AS src_attr")
+    triplets = with_target_state(e, edges_from(e, active, len(ids), 0), state)
+    assert _largest(triplets) < 250
+    found = triplets.collect()
+    assert sorted((r["src"], r["dst"]) for r in found) == sorted(pairs)
+    assert all(r["src_attr"] == r["src"] and r["dst_attr"] == r["dst"] for r in found)
+    send, back = F.when(F.col("src_attr") < F.col("dst_attr"), F.col("src_attr")), [(b, a) for a, b in pairs]
+    for bound in (0, 10**6):
+        assert dict(rows(bfs(e, 0, 10, broadcast_rows=bound))) == _bfs(pairs, 0, 10)
+        r = degrees_of_separation(e, 0, 1, 10, broadcast_rows=bound).first()
+        assert (r["degree"], r["hits"]) == (2, 300)
+        got = dict(rows(pregel(state, e, send, "min", max_iter=3, broadcast_rows=bound)))
+        assert got == {i: min(_bfs(back, i, 3)) for i in ids}
+
+
+def test_no_hub_no_parts(spark):
+    e = by_source(spark.createDataFrame(_hub_graph(), "src BIGINT, dst BIGINT"), targets=True)
+    assert e.sources is None and e.targets is None and e.edges.columns == ["src", "dst"]
+    empty = spark.createDataFrame([], "src BIGINT, dst BIGINT")
+    assert rows(bfs(empty, 3)) == [(3, 0)]
+
+
+def test_search_ends_at_the_target(spark):
+    e = spark.createDataFrame(_undirected(DIRECTED), "src BIGINT, dst BIGINT")
+    got = dict(rows(bfs(e, 0, 10, target=21)))
+    assert got == {k: d for k, d in _bfs(_undirected(DIRECTED), 0, 10).items() if d <= 2}
+    assert rows(bfs(e, 0, 10, target=0)) == [(0, 0)]
+    assert dict(rows(bfs(e, 0, 10, target=99))) == _bfs(_undirected(DIRECTED), 0, 10)
+
+
+def test_beyond_the_limit_is_not_unreachable(spark):
+    pairs = _undirected(DIRECTED)
+    verts = spark.createDataFrame([(i,) for i in (0, 10, 11, 99, None)], "id BIGINT")
+    e = spark.createDataFrame(pairs + [(0, None), (None, 99)], "src BIGINT, dst BIGINT")
+    got = {r["id"]: (r["hops"], r["state"]) for r in reach(verts, bfs(e, 0, max_iter=None), 10).collect()}
+    assert got == {0: (0, "reached"), 10: (10, "reached"), 11: (math.inf, "beyond"),
+                   99: (math.inf, "unreachable"), None: (math.inf, "unreachable")}
+
+
+def test_levels_of_a_long_chain_are_written_as_one(spark):
+    chain = [(i, i + 1) for i in range(20)]
+    e = by_source(spark.createDataFrame(chain, "src BIGINT, dst BIGINT"))
+    assert dict(rows(bfs(e, 0, max_iter=None))) == {i: i for i in range(21)}

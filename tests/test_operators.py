@@ -125,11 +125,57 @@ def test_outer_join_rewrite_equals_plain_join(spark):
     # Key 2 is hot on the right; key 4 has no left row; a null key never matches.
     right = spark.createDataFrame([(2, 10.0)] * 6 + [(1, 1.0), (4, 4.0), (None, 0.0)], "k INT, rv DOUBLE")
     for how in ("left", "right", "full", "inner"):
-        for bound in (0, 1000):  # 0: the inner + anti-join form; 1000: broadcast when allowed
-            got = outer_join(left, right, "k", how, broadcast_rows=bound)
+        for hot_rows in (1, 1000):  # 1: key 2 leaves the outer join; 1000: no key is hot
+            got = outer_join(left, right, "k", how, hot_rows=hot_rows)
             want = left.join(right, "k", how)
-            assert got.columns == want.columns, (how, bound)
-            assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), (how, bound)
+            assert got.columns == want.columns, (how, hot_rows)
+            assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), (how, hot_rows)
+
+
+def test_outer_join_deals_a_hot_key(spark):
+    from kindling.operators.lookup import hot_keys, outer_join
+
+    # Keys 7 (right), 8 (left, absent on the right) and 9 (both sides) are hot; the rows of a key are alike.
+    left = spark.createDataFrame([(7, "a"), (7, "b"), (1, "c"), (None, "n")] + [(8, "h")] * 40 + [(9, "x")] * 30, "k INT, lv STRING")
+    right = spark.createDataFrame([(7, 1.0)] * 40 + [(2, 2.0), (None, 3.0)] + [(9, 5.0)] * 30 + [(6, 6.0)] * 35, "k INT, rv DOUBLE")
+    assert rows(hot_keys(left, "k", 20)) == [(8,), (9,)] and rows(hot_keys(right, "k", 20)) == [(6,), (7,), (9,)]
+    assert hot_keys(left, "k", 40) is None
+    for how in ("left", "right", "full"):
+        got, want = outer_join(left, right, "k", how, hot_rows=20), left.join(right, "k", how)
+        assert got.columns == want.columns
+        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), how
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        met = outer_join(left, right, "k", "left", hot_rows=20).where("k = 9")  # 900 rows, 112 in an even share of 8
+        sizes = [r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 900 and max(sizes) < 600
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_cogroup_rows_are_runs_in_order(spark):
+    from kindling.operators.lookup import cogroup_rows
+
+    left = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (None, "n", 0)], "k INT, v STRING, side INT")
+    right = spark.createDataFrame([(2, i % 3) for i in range(50)] + [(3, 9)], "k INT, w INT")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = cogroup_rows(left, right, "k", ["v"], ["w"])
+        found = [(r["k"], r["side"], (r["left"] or r["right"])[0]) for r in got.collect()]  # in the order of the partitions
+        spread = got.where("k = 2").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = [(None, "left", "n"), (1, "left", "a"), (2, "left", "b")] + [(2, "right", i) for i in sorted(i % 3 for i in range(50))]
+    assert found == want + [(3, "right", 9)] and spread > 1
+
+
+def test_top_k_lookup_takes_one_row_of_a_repeated_id(spark):
+    top = spark.createDataFrame([(1, 5), (2, 3)], "k INT, n INT")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (3, "c")], "k INT, name STRING")
+    assert rows(lookup_names(top, dim, "k", df_max_rows=2), "k", "name", "n") == [(1, "b", 5), (2, None, 3)]
 
 
 def test_bounded_count_across_many_partitions(spark):
