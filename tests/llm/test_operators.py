@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -125,21 +126,40 @@ def test_top_k_matches_brute_force(spark):
     vectors = {i: rng.normal(size=6).tolist() for i in range(0, 300, 3)} | {1: [0.5] * 6, 2: [0.5] * 6, 4: [0.5] * 6, 5: [0.0] * 6, 7: [0.1, 0.2]}
     more = [(8, None), (11, [1.0, None]), (13, [float("nan")]), (14, [float("inf")]), (None, [1.0]), (1, [0.5] * 6), (50, []), (100, [1e30, -1e30])]
     frame = spark.createDataFrame(list(vectors.items()) + more, "vec_id long, embedding array<float>").withColumn("rank", F.lit(0))
-    most = topk_search.max_weight(6)  # 4.8 million in a component; no long holds the scores of greater ones
-    quantise = lambda v: [max(-most, min(most, int(np.floor(256 * float(np.float32(x)))))) for x in v]
+    quantise = lambda v: [math.floor(256 * float(np.float32(x))) for x in v]
     vectors |= {350: [1e4, 9000.0], 16: [1e4, 8192.0], 17: [9000.0, 1e4], 19: [-1e4, 2.5e6]}
     frame = frame.unionByName(spark.createDataFrame([(i, vectors[i]) for i in (350, 16, 17, 19)], "vec_id long, embedding array<float>").withColumn("rank", F.lit(0)))
-    known = {i: quantise(v) for i, v in vectors.items()} | {50: [], 100: quantise([1e30, -1e30])}
+    known = [(i, quantise(v)) for i, v in vectors.items()] + [(1, quantise([0.5] * 6)), (50, []), (100, quantise([1e30, -1e30]))]
     want = []
-    for q in (i for i in known if i % 50 == 0):
-        best = sorted(((-sum(a * b for a, b in zip(known[q], v, strict=False)), i) for i, v in known.items() if i != q))[:5]
-        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    for q, own in known:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), i) for i, v in known if i != q)[:5]
+            want += [(q, r + 1, i, max(-2**63, min(2**63 - 1, -s))) for r, (s, i) in enumerate(best)]
     assert rows(topk_search.exact_top_k(spark, frame, lambda i: i % 50 == 0)) == sorted(want)
     assert topk_search.exact_top_k(spark, frame.limit(0), lambda i: i % 50 == 0).count() == 0
     two = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert rows(topk_search.exact_top_k(spark, two, lambda i: i % 50 == 0)) == [(0, 1, 1, 256 * 512)]
 
 
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    given = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (2, [3.0, 1.0]), (2, [3.0, 1.0]), (2, [1.0, 9.0]), (3, [2.0, 2.0]), (4, [-1.0, 0.0])]
+    frame = spark.createDataFrame(given * 2 + [(7, [0.5, 0.5])] * 40, "vec_id long, embedding array<double>")
+    got = rows(topk_search.exact_top_k(spark, frame, lambda i: i == 0, k=7))
+    one = 256 * 256
+    first = [(2, 3), (2, 3), (2, 3), (2, 3), (3, 2), (3, 2), (2, 1)]  # of [1, 0]: ties by id
+    second = [(2, 9), (2, 9), (3, 2), (3, 2), (2, 1), (2, 1), (2, 1)]
+    assert got == sorted((0, r + 1, i, s * one) for found in (first, second) for r, (i, s) in enumerate(found))
+
+
+def test_scores_beyond_a_long_keep_their_order(spark):
+    big = [1e30, 2e30, 3e30]
+    given = [(0, [1e30, 0.0])] + [(i + 1, [x, 1.0]) for i, x in enumerate(big)] + [(i + 4, [-x, 1.0]) for i, x in enumerate(big)] + [(7, [1.0]), (8, [])]
+    frame = spark.createDataFrame(given + [(3, [3e30, 1.0])], "vec_id long, embedding array<double>")
+    got = rows(topk_search.exact_top_k(spark, frame, lambda i: i == 0, k=9), "rank", "id", "score")
+    most, least = 2**63 - 1, -2**63
+    assert got == [(1, 3, most), (2, 3, most), (3, 2, most), (4, 1, most), (5, 7, most), (6, 8, 0), (7, 4, least), (8, 5, least), (9, 6, least)]
+
+
 def test_large_components_score_exactly(spark):
     frame = spark.createDataFrame([(0, [1e4, 9000.0]), (1, [9000.0, 1e4]), (2, [1e4, 8192.0])], "vec_id long, embedding array<double>")
     got = rows(topk_search.exact_top_k(spark, frame, lambda i: i == 0))
