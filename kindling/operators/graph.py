@@ -107,6 +107,8 @@ def by_source(edges: DataFrame, hub_rows: int = HUB_ROWS, targets: bool = False)
     share = max(hub_rows, -(-m["rows"] // int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1)
 
     def hubs(end: str) -> DataFrame | None:
+        if m["rows"] <= share:  # no vertex can have more edges than there are
+            return None
         degree = e.groupBy(end).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > share) & F.col(end).isNotNull())
         found, n = checkpoint_with(degree.select(end, F.ceil(F.col("_n") * 4 / share).cast("int").alias("_parts")))
         return found if n["rows"] else None
