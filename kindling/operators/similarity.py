@@ -2,15 +2,13 @@
 
 ``pair_stats`` computes, for every item pair ``i < j`` rated by a common user,
 ``sxx = sum(r_i^2)``, ``syy = sum(r_j^2)``, ``sxy = sum(r_i r_j)`` and ``n``
-over the common users: one self-join plus one algebraic aggregate (partial
-before the shuffle, no per-pair lists as in ``groupByKey``).
+over the common users. What is shuffled are the users' ratings, packed, not a row
+for every pair (see :mod:`kindling.operators.baskets`); the pairs are made and
+added up in the task that owns them.
 
-Skew: the self-join's work for a user grows with the square of that user's
-item count. Users above ``heavy_rows`` items are split into ``s`` hash buckets
-of items and their rows replicated ``s`` times, so the join key becomes
-``(user, bucket_i, bucket_j)`` and each task holds at most about
-``heavy_rows^2`` of that user's pairs. Every pair is still produced exactly once:
-results stay exact and whole. Ordinary users keep ``s = 1`` (no replication).
+Skew: the work for a user grows with the square of that user's item count. It is
+dealt over the groups of items, and a group makes at most about ``heavy_rows^2 / 16``
+pairs at a time. Every pair is still produced exactly once: results stay exact and whole.
 
 ``similar_items`` answers the one-item question without the all-pairs table:
 it joins the item's raters with the other ratings of those users, which is
@@ -23,22 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindling.functions.scalar import safe_div
+from kindling.operators.baskets import pair_sums
 from kindling.operators.lookup import lookup_names
+from kindling.operators.recommend import dense_ids
 from kindling.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 DEFAULT_HEAVY_ROWS = 5_000
-
-
-def _salts(r: DataFrame, user: str, heavy_rows: int, broadcast_rows: int) -> DataFrame:
-    """(user, s) for users with more than ``heavy_rows`` ratings: s = ceil(n / heavy_rows)."""
-    heavy = (
-        r.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > heavy_rows)
-        .select(user, F.ceil(F.col("_n") / F.lit(heavy_rows)).cast("int").alias("_s"))
-    )
-    # Both join sides and the size check read it: one aggregation pass over R,
-    # written once to the checkpoint folder (at most one row per user).
-    return broadcast_if_small(heavy.checkpoint(), broadcast_rows)
+WHOLE = ("byte", "short", "integer", "long")
 
 
 def pair_stats(
@@ -47,36 +36,27 @@ def pair_stats(
     item: str = "item",
     rating: str = "rating",
     heavy_rows: int = DEFAULT_HEAVY_ROWS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    min_n: int = 1,
 ) -> DataFrame:
-    """(item_i, item_j, sxx, syy, sxy, n) for all co-rated pairs with item_i < item_j.
+    """(item_i, item_j, sxx, syy, sxy, n) for all pairs with item_i < item_j that at least ``min_n`` users rated both.
 
-    ``r`` must hold one row per (user, item).
+    ``r`` must hold one row per (user, item). Ids that are no whole numbers get dense ones in their order.
     """
-    base = r.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_r"))
-    salts = _salts(base, "_u", heavy_rows, broadcast_rows)
-    salted = (
-        base.join(salts, "_u", "left")
-        .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
-        .withColumn("_b", F.pmod(F.xxhash64(F.col("_i")), F.col("_s").cast("bigint")).cast("int"))
-    )
-    # Row (u, i) meets every bucket of the other side: left fixes bucket_i, right fixes bucket_j.
-    other = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
-    left = salted.select(
-        "_u", F.col("_i").alias("item_i"), F.col("_r").alias("r_i"),
-        F.col("_b").alias("_bi"), other.alias("_bj"),
-    )
-    right = salted.select(
-        "_u", F.col("_i").alias("item_j"), F.col("_r").alias("r_j"),
-        other.alias("_bi"), F.col("_b").alias("_bj"),
-    )
-    pairs = left.join(right, ["_u", "_bi", "_bj"]).filter(F.col("item_i") < F.col("item_j"))
-    return pairs.groupBy("item_i", "item_j").agg(
-        F.sum(F.col("r_i") * F.col("r_i")).alias("sxx"),
-        F.sum(F.col("r_j") * F.col("r_j")).alias("syy"),
-        F.sum(F.col("r_i") * F.col("r_j")).alias("sxy"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    base = r.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("double").alias("rating"))
+    base, kinds, books = base.where("user IS NOT NULL AND item IS NOT NULL"), dict(base.dtypes), {}
+    odd = [c for c in ("user", "item") if base.schema[c].dataType.typeName() not in WHOLE]
+    base = base.checkpoint() if odd else base
+    for c in odd:
+        books[c] = dense_ids(base, c)
+        base = base.join(books[c].withColumnRenamed("id", c), c).drop(c).withColumnRenamed("dense", c)
+    base = base.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), "rating")
+    st = pair_sums(base, min_n, max(heavy_rows**2 // 16, 1))
+    for c in ("item_i", "item_j"):
+        if "item" in books:
+            st = st.join(books["item"].select(F.col("dense").cast("bigint").alias(c), "id"), c).drop(c).withColumnRenamed("id", c)
+        else:
+            st = st.withColumn(c, F.col(c).cast(kinds["item"]))
+    return st.select("item_i", "item_j", "sxx", "syy", "sxy", "n")
 
 
 def cosine(sxx="sxx", syy="syy", sxy="sxy"):
@@ -88,9 +68,7 @@ def cosine(sxx="sxx", syy="syy", sxy="sxy"):
 def item_similarity(r: DataFrame, user="user", item="item", rating="rating", min_n: int = 1,
                     heavy_rows: int = DEFAULT_HEAVY_ROWS) -> DataFrame:
     """REC4: (item_i, item_j, score, n) for co-rated pairs with ``n >= min_n``."""
-    st = pair_stats(r, user, item, rating, heavy_rows)
-    if min_n > 1:
-        st = st.filter(F.col("n") >= min_n)
+    st = pair_stats(r, user, item, rating, heavy_rows, min_n)
     return st.select("item_i", "item_j", cosine().alias("score"), "n")
 
 
@@ -99,12 +77,24 @@ def prune_ratings(r: DataFrame, min_n: int, user: str = "user", item: str = "ite
 
     A pair's count cannot exceed either item's raters, so an item with
     ``min_n`` raters or fewer is in no such pair; a user who is left with one item makes none. Dropping users takes raters
-    from items, so it is done ``rounds`` times. No kept pair loses a common user that counts for it: the result is exact."""
+    from items, so it is done ``rounds`` times, or until
+    nothing goes. No kept pair loses a common user that counts for it: the result is exact."""
+
+    def without(r: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+        return r.join(gone, key, "left_anti")
+
+    r = r.where(F.col(user).isNotNull() & F.col(item).isNotNull())
     for _ in range(rounds):
-        items = r.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_n).select(item)
-        r = r.join(items, item, "left_semi")
-        users = r.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(user)
-        r = r.join(users, user, "left_semi").checkpoint()
+        # What goes is looked for, not what stays: often little or nothing goes, and then the ratings need no join.
+        rare = r.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= min_n).select(item).checkpoint()
+        some = not rare.isEmpty()
+        if some:
+            r = without(r, rare, item).checkpoint()
+        alone = r.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < 2).select(user).checkpoint()
+        if not alone.isEmpty():
+            r, some = without(r, alone, user).checkpoint(), True
+        if not some:
+            break
     return r
 
 
@@ -114,10 +104,10 @@ def top_pairs(r: DataFrame, min_score: float, min_n: int, k: int = 50, names: Da
     """REC6: the ``k`` most similar pairs with a score above ``min_score`` and more than
     ``min_n`` common users, by score (rounded half up), count and ids, with both items' names.
 
-    What cannot reach ``min_n`` is dropped before the self-join; the pairs are shuffled once, by their partial sums."""
+    What cannot reach ``min_n`` is dropped before pairs are made."""
     from kindling.functions.rounding import round_half_up
 
-    st = pair_stats(prune_ratings(r, min_n, user, item), user, item, rating, heavy_rows).where(F.col("n") > min_n)
+    st = pair_stats(prune_ratings(r, min_n, user, item), user, item, rating, heavy_rows, min_n + 1)
     scored = st.select("item_i", "item_j", cosine().alias("_s"), "n").where(F.col("_s") > min_score)
     scored = scored.select("item_i", "item_j", round_half_up("_s", digits).alias("score"), "n")
     top = scored.orderBy(F.desc("score"), F.desc("n"), "item_i", "item_j").limit(k)
