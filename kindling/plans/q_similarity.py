@@ -75,7 +75,7 @@ WITH {_r_cte('l_partkey')}, {_PAIRS}
 SELECT item_i, item_j, {R4(_SCORE)} AS score, n FROM p WHERE n >= 2
 """)
 def q_item_similarity_partitioned(spark, sf):
-    return item_similarity(ratings(spark, sf, item="l_partkey").checkpoint(), min_n=2).select(
+    return item_similarity(ratings(spark, sf, item="l_partkey"), min_n=2).select(
         "item_i", "item_j", round_half_up("score").alias("score"), "n")
 
 
