@@ -133,3 +133,10 @@ def test_one_partitioning_serves_the_means_and_the_join(spark):
     plan = explain_text(rating_deviation(spark, "/root/testdata/sf0.001"), "simple")
     by_user = [x for x in plan.splitlines() if "Exchange hashpartitioning(user" in x]
     assert by_user and not any("ENSURE_REQUIREMENTS" in x for x in by_user), plan
+
+
+def test_prune_ratings_joins_only_when_something_goes(spark):
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(4) for i in range(3)], "user int, item int, rating double")
+    whole = explain_text(prune_ratings(df, 3), "extended")
+    assert "Filter" in whole and "Join" not in whole  # the given rows, not joined, shuffled or written again
+    assert prune_ratings(df, 3).count() == 12 and prune_ratings(df, 4).count() == 0
