@@ -1,7 +1,7 @@
 """Streams with state of their own per key (STR3, STR7, STR9).
 
-Two processors for ``transformWithStateInPandas``. Both keep one value per key in the
-RocksDB store, move on event time alone (the watermark fires their timers)
+Two processors for ``transformWithStateInPandas``. ``WindowRing`` keeps one value per key in the
+RocksDB store, ``Activity`` one per group of keys; both move on event time alone (the watermark fires their timers)
 and take rows that come later than the watermark out of the result instead of
 dropping them: the event time reaches them as plain microseconds, so Spark
 tracks the watermark but leaves the late rows in, and they come out with the
@@ -26,6 +26,8 @@ from kindling.streaming.windows import _seconds
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows of this kind move the watermark past the end of a replay and take part in nothing else.
 END_KIND = "end"
+#: States that the keys of :func:`activity` are dealt over, and rows of a replay's slice to a file.
+KEY_GROUPS, FILE_ROWS = 256, 500_000
 
 
 def _watermark_us(timers) -> int:
@@ -33,7 +35,7 @@ def _watermark_us(timers) -> int:
 
 
 class _Timed(StatefulProcessor):
-    """One value per key and one event-time timer, which the value remembers."""
+    """One value per state and one event-time timer, which the value remembers."""
 
     schema: str
 
@@ -120,13 +122,20 @@ class Activity(_Timed):
     """Per key the last value, the time since it, and the end of activity.
 
     Events wait in the state until the watermark has passed them, then come out in order of (time, id) with the value
-    and the time before them. A key that stays silent for ``silence_s`` expires by its
+    and the time before them. A key that stays silent for ``silence_s`` expires by the
     timer: its run comes out with its first and last event, and the key is forgotten.
+
+    A state holds the keys of one group (the column ``key`` of the rows; without it the state's own key), each with
+    its waiting events and its run, and the timer wakes for the next of them. All due events are taken in columns, so the
+    cost of a call is not paid for every key.
     """
 
-    schema = ("waiting_us array<bigint>, waiting_id array<bigint>, waiting_value array<double>, first_us bigint, last_us bigint, last_value double, "
-              "n bigint, timer bigint")
+    schema = "keys array<string>, waiting binary, running binary, timer bigint"
     output = ("key string, kind string, id bigint, us bigint, value double, previous_us bigint, previous_value double, position bigint, first_us bigint")
+    #: A waiting event; ``key`` is the place of its key in the state, a null value is NaN.
+    event = np.dtype([("key", "i8"), ("us", "i8"), ("id", "i8"), ("no_id", "?"), ("value", "f8")])
+    #: The run of a key that has one (``n`` events), in the order of the keys.
+    run = np.dtype([("first", "i8"), ("last", "i8"), ("value", "f8"), ("n", "i8")])
 
     def __init__(self, silence_s: int):
         self.silence_us = silence_s * 1_000_000
@@ -135,53 +144,80 @@ class Activity(_Timed):
         mark = _watermark_us(timerValues)
         new = pd.concat(list(rows), ignore_index=True)
         new = new[new["kind"] != END_KIND]
-        late = new["us"].to_numpy() < mark
-        gone = [(key[0], "late", i, u, v, None, None, None, None) for i, u, v in new.loc[late, ["id", "us", "value"]].itertuples(index=False, name=None)]
-        if gone:
-            yield self._frame(gone)
+        names = new["key"].where(new["key"].notna(), None).tolist() if "key" in new else [key[0]] * len(new)
+        events = np.zeros(len(new), self.event)
+        events["us"], events["no_id"] = new["us"].to_numpy(), new["id"].isna()
+        events["id"], events["value"] = new["id"].fillna(0).to_numpy(), new["value"].astype("float64").to_numpy()
+        late = events["us"] < mark
+        if late.any():
+            gone = events[late]
+            yield self._frame([n for n, x in zip(names, late, strict=True) if x], "late", id=(gone["id"], gone["no_id"]), us=gone["us"], value=gone["value"])
         if not late.all():
-            yield from self._move(key, mark, list(new.loc[~late, ["us", "id", "value"]].itertuples(index=False, name=None)))
+            yield from self._move(mark, [n for n, x in zip(names, late, strict=True) if not x], events[~late])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._move(key, _watermark_us(timerValues), [], fired=True)
+        yield from self._move(_watermark_us(timerValues), [], np.empty(0, self.event), fired=True)
 
     @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        columns = dict(zip(("key", "kind", "id", "us", "value", "previous_us", "previous_value", "position", "first_us"), zip(*rows, strict=True), strict=True))
-        whole = ("id", "us", "previous_us", "position", "first_us")
-        return pd.DataFrame({c: pd.array(v, dtype="Int64" if c in whole else "Float64") if c not in ("key", "kind") else list(v) for c, v in columns.items()})
+    def _frame(keys: list, kind: str, **columns) -> pd.DataFrame:
+        """A column is an array, or one with the mask of its nulls; NaN is null too."""
+        out, nothing = {"key": keys, "kind": [kind] * len(keys)}, np.ones(len(keys), bool)
+        for c in ("id", "us", "value", "previous_us", "previous_value", "position", "first_us"):
+            values, null = x if isinstance(x := columns.get(c, (np.zeros(len(keys)), nothing)), tuple) else (x, ~nothing)
+            if c in ("value", "previous_value"):
+                out[c] = pd.arrays.FloatingArray(values.astype("float64"), null | np.isnan(values))
+            else:
+                out[c] = pd.arrays.IntegerArray(values.astype("int64"), null.copy())
+        return pd.DataFrame(out)
 
-    def _move(self, key, mark: int, new: list[tuple], fired: bool = False) -> Iterator[pd.DataFrame]:
+    def _move(self, mark: int, names: list, new: np.ndarray, fired: bool = False) -> Iterator[pd.DataFrame]:
         held = self.state.get()
-        first, last, value, n, timer = held[3:8] if held else (None, None, None, 0, 0)
-        waiting = sorted(new + (list(zip(*held[:3], strict=True)) if held else []), key=lambda e: e[:2])
-        out, at = [], 0
-
-        def expire():
-            out.append((key[0], "expired", None, last, value, None, None, n, first))
-
-        while at < len(waiting) and waiting[at][0] < mark:
-            us, i, v = waiting[at]
-            if n and us - last > self.silence_us:
-                expire()
-                first, last, value, n = None, None, None, 0
-            n, first = n + 1, us if first is None else first
-            out.append((key[0], "event", i, us, v, last, value, n, first))
-            last, value, at = us, v, at + 1
-        waiting = waiting[at:]
-        if n and last + self.silence_us < mark:  # no event that is still to come can be near enough
-            expire()
-            first, last, value, n = None, None, None, 0
-        if out:
-            yield self._frame(out)
-        if not waiting and not n:
+        place = {k: i for i, k in enumerate(held[0])} if held else {}
+        known, timer = len(place), held[3] if held else 0
+        new["key"] = [place.setdefault(k, len(place)) for k in names]
+        keys, waiting, running = np.array([*place, None], object)[:-1], new, np.zeros(len(place), self.run)
+        if held:
+            waiting = np.concatenate((new, np.frombuffer(held[1], self.event)))
+            running[:known] = np.frombuffer(held[2], self.run)
+        is_due = waiting["us"] < mark
+        due, waiting = waiting[is_due], waiting[~is_due]
+        if len(due):
+            due = due[np.lexsort((due["id"], due["us"], due["key"]))]
+            key, us, value = due["key"], due["us"], due["value"]
+            at, begins = np.arange(len(due)), np.append(True, key[1:] != key[:-1])
+            before = running[key]  # what a key's first event goes on from
+            follows = ~begins | (before["n"] > 0)
+            previous_us = np.where(begins, before["last"], np.roll(us, 1))
+            previous_value = np.where(begins, before["value"], np.roll(value, 1))
+            starts = ~follows | (us - previous_us > self.silence_us)
+            head = np.maximum.accumulate(np.where(begins | starts, at, 0))  # the first of these events in each one's run
+            goes_on = (begins & ~starts)[head]
+            n = at - head + 1 + np.where(goes_on, before["n"], 0)
+            first = np.where(goes_on, before["first"], us[head])
+            yield self._frame(keys[key].tolist(), "event", id=(due["id"], due["no_id"]), us=us, value=value, previous_us=(previous_us, starts),
+                              previous_value=(previous_value, starts), position=n, first_us=first)
+            ends = starts & follows
+            if ends.any():
+                run_n, run_first = np.where(begins, before["n"], np.roll(n, 1)), np.where(begins, before["first"], np.roll(first, 1))
+                yield self._frame(keys[key[ends]].tolist(), "expired", us=previous_us[ends], value=previous_value[ends], position=run_n[ends], first_us=run_first[ends])
+            last = np.append(begins[1:], True)
+            for c, x in (("first", first), ("last", us), ("value", value), ("n", n)):
+                running[c][key[last]] = x[last]
+        silent = (running["n"] > 0) & (running["last"] + self.silence_us < mark)  # no event that is still to come can be near enough
+        if silent.any():
+            gone = running[silent]
+            yield self._frame(keys[silent].tolist(), "expired", us=gone["last"], value=gone["value"], position=gone["n"], first_us=gone["first"])
+            running[silent] = 0
+        kept = running["n"] > 0
+        active = running[kept]
+        kept[waiting["key"]] = True
+        if not kept.any():
             self.state.clear()
             return
-        wake_us = min(([waiting[0][0]] if waiting else []) + ([last + self.silence_us] if n else []))
-        wake = wake_us // 1000 + 1
+        wake = int(min([*waiting["us"].min(initial=2**62).reshape(1), *(active["last"].min(initial=2**61) + self.silence_us).reshape(1)])) // 1000 + 1
         self.wake_at(0 if fired else timer, wake)
-        us, ids, values = (list(c) for c in zip(*waiting, strict=True)) if waiting else ([], [], [])
-        self.state.update((us, ids, values, first, last, value, n, wake))
+        waiting["key"] = (np.cumsum(kept) - 1)[waiting["key"]]
+        self.state.update((keys[kept].tolist(), waiting.tobytes(), running[kept].tobytes(), wake))
 
 
 def _combined(rows: DataFrame, slide_us: int) -> DataFrame:
@@ -221,14 +257,15 @@ def window_ring(stream: DataFrame, key: str, ts: str, window, slide, delay: str,
     return rows.groupBy("key", "part").transformWithStateInPandas(WindowRing(_seconds(window), s), WindowRing.output, "Append", "EventTime")
 
 
-def activity(stream: DataFrame, key: str, ts: str, row_id: str, value: str, silence, delay: str) -> DataFrame:
+def activity(stream: DataFrame, key: str, ts: str, row_id: str, value: str, silence, delay: str, groups: int = KEY_GROUPS) -> DataFrame:
     """STR9: each event of a key with the value and time of the event before it (``event`` rows), the runs of activity
-    that ``silence`` ends (``expired`` rows), and ``late`` rows."""
+    that ``silence`` ends (``expired`` rows), and ``late`` rows. The keys are dealt over ``groups`` states."""
     kind = F.col("kind") if "kind" in stream.columns else F.lit("event")
     rows = stream.withWatermark(ts, delay).select(
         F.col(key).cast("string").alias("key"), kind.alias("kind"), F.col(row_id).cast("bigint").alias("id"),
         F.unix_micros(ts).alias("us"), F.col(value).cast("double").alias("value"))
-    return rows.groupBy("key").transformWithStateInPandas(Activity(_seconds(silence)), Activity.output, "Append", "EventTime")
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
+    return rows.groupBy("group").transformWithStateInPandas(Activity(_seconds(silence)), Activity.output, "Append", "EventTime")
 
 
 def run_stateful(stream: DataFrame, name: str, folder: str | None = None) -> str:
@@ -242,18 +279,20 @@ def run_stateful(stream: DataFrame, name: str, folder: str | None = None) -> str
         conf.set(setting, before)
 
 
-def replay(spark: SparkSession, rows: DataFrame, ts: str, arrival_us, slices: int, name: str, files: int = 1) -> DataFrame:
+def replay(spark: SparkSession, rows: DataFrame, ts: str, arrival_us, slices: int, name: str) -> DataFrame:
     """``rows`` as a stream in the order of their arrival: ``slices`` equal spans of ``arrival_us``
-    are written one after the other, ``files`` files each, and read one slice a batch; a last
+    are written one after the other, in as many files each as the smallest has ``FILE_ROWS``, and read one slice a batch; a last
     row of the kind ``end``, ten years on, lets the watermark pass all others."""
     folder = scratch_path(spark, name)
     timed = rows.withColumn("kind", F.lit("event")).withColumn("_at", arrival_us)
-    first, last = timed.agg(F.min("_at"), F.max("_at")).first()
+    (first, last), files = timed.agg(F.min("_at"), F.max("_at")).first(), 1
     if first is not None:
         span = last - first + 1
-        for i in range(slices):
-            low, high = first + -(-span * i // slices), first + -(-span * (i + 1) // slices)
-            part = timed.where((F.col("_at") >= low) & (F.col("_at") < high)).drop("_at")
+        ends = [first + -(-span * i // slices) for i in range(slices + 1)]
+        spans = [(F.col("_at") >= low) & (F.col("_at") < high) for low, high in zip(ends[:-1], ends[1:], strict=True)]
+        files = max(1, min(timed.agg(*map(F.count_if, spans)).first()) // FILE_ROWS)
+        for within in spans:
+            part = timed.where(within).drop("_at")
             part.repartition(files).write.mode("append").parquet(folder)
         # A date far ahead moves the watermark past every window and silence.
         end = timed.agg(F.max(ts).alias("end")).select(*[
