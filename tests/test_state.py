@@ -181,3 +181,32 @@ def test_top_k_needs_only_the_last_ten(spark):
     for i, b in enumerate(batches):
         seen.update(w for w, in b)
         assert sorted(got[i], key=lambda r: (-r[1], r[0])) == sorted(seen.items(), key=lambda r: (-r[1], r[0]))[:5]
+
+
+def test_activity_of_many_keys_takes_a_call_a_group():
+    """The keys of a group share a state, its timer and its calls; each comes out as if it were alone."""
+    rng = random.Random(11)
+    events, batches = shuffled_batches(rng, 900, 20_000_000_000, 500_000_000, 6)
+    name = {i: None if i % 9 == 8 else f"k{i % 9}" for i in range(900)}
+    store, calls, out, top, processor = Store(), 0, [], 0, Activity(60)
+    processor.init(store)
+    for rows in [*batches, [(10**15, None, None)], []]:
+        if rows:
+            frame = pd.DataFrame({"kind": ["end" if r[1] is None else "event" for r in rows], "key": [name.get(r[1]) for r in rows], "us": [r[0] for r in rows],
+                                  "id": [r[1] for r in rows], "value": [None if r[1] is None or r[1] % 50 == 0 else r[2] for r in rows]}).astype({"us": "int64"})
+            out, calls = out + list(processor.handleInputRows((0,), iter([frame]), store)), calls + 1
+        for ms in sorted(store.timers):
+            if ms <= store.mark_ms:
+                store.timers.remove(ms)
+                out, calls = out + list(processor.handleExpiredTimer((0,), store, None)), calls + 1
+        top = max([top, *[r[0] for r in rows]])
+        store.mark_ms = max(0, (top - 500_000_000) // 1000)
+    got = pd.concat(out, ignore_index=True)
+    assert store.value is None and not store.timers and not (got.kind == "late").any() and calls < 20
+    for key in set(name.values()):
+        mine = got[got.key.isna() if key is None else got.key == key]
+        want = runs([(us, i, None if i % 50 == 0 else v) for us, i, v in events if name[i] == key], 60_000_000)
+        found = [tuple(None if pd.isna(x) else x for x in r) for r in mine[mine.kind == "event"][["id", "us", "value", "previous_us", "previous_value", "position"]].itertuples(index=False, name=None)]
+        assert found == [r for run in want for r in run]
+        ends = [tuple(None if pd.isna(x) else x for x in r) for r in mine[mine.kind == "expired"][["first_us", "us", "value", "position"]].itertuples(index=False, name=None)]
+        assert sorted(ends) == [(run[0][1], run[-1][1], run[-1][2], len(run)) for run in want]
