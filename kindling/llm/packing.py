@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +21,9 @@ TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, 0
 GROUPS = 64
 #: Encoded chunks that a worker remembers; their memory is bounded, what they encode to is not changed.
 REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
+#: Bytes of texts whose new chunks are encoded together.
+LEARNED = 1 << 20
+PUNCTUATION = frozenset(bytes([b]) for b in range(33, 127) if not bytes([b]).isalnum())
 _TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
 WORD_END = "</w>"
 
@@ -49,14 +53,15 @@ class _Chunks:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
-    def one_by_one(self, words: list[str]) -> dict[str, bytes]:
-        return {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(words, self.encode(words, add_special_tokens=False), strict=True)}
+    def one_by_one(self, words: list[bytes]) -> dict[bytes, bytes]:
+        coded = self.encode([w.decode() for w in words], add_special_tokens=False)
+        return {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(words, coded, strict=True)}
 
-    def coded(self, words: list[str]) -> dict[str, bytes]:
+    def coded(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Words that the tokenizer doesn't split."""
         if not words:
             return {}
-        ids = np.array(self.encode([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.encode([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
         ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
         if len(ends) != len(words):
             return self.one_by_one(words)
@@ -64,36 +69,52 @@ class _Chunks:
         return {w: raw[a:z] for w, a, z in zip(words, [0, *ends], ends)}  # noqa: B905
 
     def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        parts: dict[bytes, tuple[str, ...]] = {}
-        whole, odd = set(), set()
+        """Ids of chunks, and of the words of small ASCII letters in them, which other chunks are made of too."""
+        parts: dict[bytes, tuple[bytes, ...]] = {}
+        whole, odd, known = set(), set(), self.known
         for c in chunks:
-            word = c.decode()
-            tail = _TAIL.search(word)
-            base, end = (word[:tail.start()], tail[0]) if tail else (word, "")
-            if base.lower().isalpha() or not base:
-                base = base.lower() if base.isascii() else base
-                parts[c] = tuple(x for x in (base, end) if x)
-                whole.update(parts[c])
+            if c.isalpha():  # of bytes: ASCII letters alone
+                parts[c] = (c.lower(),)
+            elif c[:-1].isalpha() and c[-1:] in PUNCTUATION:
+                parts[c] = (c[:-1].lower(), c[-1:])
             else:
-                parts[c] = (word,)
-                odd.add(word)
-        got = self.coded(list(whole)) | self.one_by_one(list(odd))
-        return {c: b"".join([got[p] for p in ps]) for c, ps in parts.items()}
-
-    def ids(self, text: bytes | None) -> bytes:
-        chunks, known = text.split() if text else [], self.known
-        if missing := {c for c in chunks if c not in known}:
-            if len(known) > REMEMBERED:
-                known.clear()
-                missing = set(chunks)
-            new = self.learn(missing)
-            known.update(new)
-            out = b"".join([known[c] for c in chunks])
-            for c in new:
+                word = c.decode()
+                tail = _TAIL.search(word)
+                base, end = (word[:tail.start()], tail[0]) if tail else (word, "")
+                if base.lower().isalpha() or not base:
+                    base = base.lower() if base.isascii() else base
+                    parts[c] = tuple(x.encode() for x in (base, end) if x)
+                else:
+                    parts[c] = (c,)
+                    odd.add(c)
+                    continue
+            whole.update(parts[c])
+        got = {p: known[p] for p in whole if p in known}
+        got |= self.coded([p for p in whole if p not in got]) | self.one_by_one(list(odd))
+        return {p: got[p] for p in whole if p.isalpha() and len(p) <= REMEMBERED_LENGTH} | {c: b"".join([got[p] for p in ps]) for c, ps in parts.items()}
+
+    def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        """The ids of each text. New chunks of ``LEARNED`` bytes of texts are encoded together."""
+        known, at = self.known, 0
+        while at < len(texts):
+            held, size = [], 0
+            while at < len(texts) and size < LEARNED:
+                text = texts[at]
+                # In ASCII the tokenizer only lower-cases capitals, but it looks for its special strings before.
+                held.append((text.lower() if text.isascii() and b"<|" not in text else text).split() if text else [])
+                size, at = size + len(text or b""), at + 1
+            seen = set().union(*held)
+            missing = seen.difference(known)
+            if missing:
+                if len(known) > REMEMBERED:
+                    # What these texts hold is remembered on, the rest is forgotten.
+                    self.known = known = {c: known[c] for c in seen.difference(missing)}
+                known.update(self.learn(missing))
+            for chunks in held:
+                yield b"".join(map(known.__getitem__, chunks))
+            for c in missing:
                 if len(c) > REMEMBERED_LENGTH:
                     del known[c]
-            return out
-        return b"".join([known[c] for c in chunks])
 
 
 @lru_cache(2)
@@ -111,8 +132,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     @per_batch
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         chunks, rows = _chunks(path), []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            ids = chunks.ids(text) + END.to_bytes(4, "little")
+        for doc, ids in zip(batch.column(0).to_pylist(), chunks.ids(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
+            ids += END.to_bytes(4, "little")
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
                 rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))

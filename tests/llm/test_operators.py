@@ -281,6 +281,28 @@ def test_packing_matches_the_tokenizer(spark, edge):
     assert packing.pack_documents(spark, edge.limit(0), path).count() == 0
 
 
+def test_packing_encodes_a_word_once_for_many_texts(monkeypatch):
+    path = P.path(packing.TOKENIZER)
+    tokenizer, chunks, asked = packing._tokenizer(path), packing._Chunks(path), []
+
+    def encode(texts, add_special_tokens):
+        asked.append(" ".join(texts).split())
+        return tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    chunks.encode = encode
+    texts = ["Harbour harbour, HARBOUR.", None, "(harbour) harbour's \u00c9tude \u00e9tude!", "", "harbour <|endoftext|> <|ENDOFTEXT|>", "Stra\u00dfe I\u0307 9 x" + "y" * 100]
+
+    def ids(texts):
+        return [np.frombuffer(x, "<u4").tolist() for x in chunks.ids([t and t.encode() for t in texts])]
+
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids(texts) == want
+    assert sum(words.count("harbour") for words in asked) == 1 and len(asked) <= 2
+    monkeypatch.setattr(packing, "REMEMBERED", 3)  # forgotten in between, and texts one by one
+    monkeypatch.setattr(packing, "LEARNED", 1)
+    assert ids(texts[::-1]) == want[::-1] and ids(texts) == want
+
+
 def test_packing_keeps_special_tokens(spark):
     from tokenizers import Tokenizer
 
