@@ -41,8 +41,8 @@ def timed_ratings(spark: SparkSession, sf_dir: str, item: str = "l_suppkey") ->
     )
 
 
-def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier-part graph of all lines, both directions, distinct.
+def graph_edges(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
+    """Supplier-part graph of all lines, both directions, distinct unless that is left to the caller.
 
     Supplier ``s`` is vertex ``2*s``; part ``p`` is vertex ``2*p+1``.
     """
@@ -51,7 +51,8 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = (F.col("l_partkey") * 2 + 1).cast("bigint")
     fwd = li.select(a.alias("src"), b.alias("dst"))
     back = li.select(b.alias("src"), a.alias("dst"))
-    return fwd.unionByName(back).distinct()
+    both = fwd.unionByName(back)
+    return both.distinct() if distinct else both
 
 
 def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kindling.operators.graph import (
-    adjacency_degrees, bfs, build_graph, by_source, degrees_of_separation, distances_with_unreached,
+    adjacency_degrees, bfs, build_graph, by_cell, by_source, degrees_of_separation, distances_with_unreached,
     pregel, reach, top_degrees,
 )
 from kindling.operators.sizing import pin_small
@@ -174,7 +174,7 @@ SELECT id, min(label) AS label FROM near GROUP BY id
 """)
 def pregel_min_label(spark, sf):
     """GR8: min-label propagation, at most 10 supersteps (label = least id within 10 hops)."""
-    edges = by_source(graph_edges(spark, sf), targets=True)
+    edges = by_cell(graph_edges(spark, sf, distinct=False), distinct=True)
     verts = _vertex_ids(edges.edges).select("id", F.col("id").alias("attr"))
     send = F.when(F.col("src_attr") < F.col("dst_attr"), F.col("src_attr"))
     out = pregel(verts, edges, send, "min", max_iter=MAX_ITER)
@@ -188,7 +188,7 @@ SELECT v.id, coalesce(CAST(m.d AS DOUBLE), 'inf'::DOUBLE) AS hops FROM v LEFT JO
 def hops_by_pregel(spark, sf):
     """GR8 with an edge attribute and an initial message: every edge has weight
     1, vertices start at infinity, the root's initial attribute is 0."""
-    edges = by_source(graph_edges(spark, sf).withColumn("weight", F.lit(1.0)))
+    edges = by_cell(graph_edges(spark, sf, distinct=False).withColumn("weight", F.lit(1.0)), distinct=True)
     root = graph_root(spark, sf).first()["root"]  # one scalar
     verts = _vertex_ids(edges.edges).select("id", F.when(F.col("id") == root, 0.0).otherwise(F.lit(float("inf"))).alias("attr"))
     out = pregel(verts, edges, F.col("src_attr") + F.col("weight"), "min", max_iter=MAX_ITER, initial=float("inf"),

@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindling.operators.graph import (
-    bfs, build_graph, by_source, degrees, degrees_of_separation, distances_with_unreached, edges_from, pregel, reach,
-    top_degrees, with_target_state,
+    bfs, build_graph, by_cell, by_source, degrees, degrees_of_separation, distances_with_unreached, edges_from, pregel, reach,
+    top_degrees, with_target_state, ALL_JOIN_KEYS, _grid_triplets, _turned_off,
 )
-from tests.conftest import rows
+from tests.conftest import explain_text, rows
 
 # A chain 0-1-...-11 (hop 10 and hop 11), a diamond (node 21 reached from two
 # frontier nodes at once), a self-loop, a repeated edge, an isolated vertex 99.
@@ -131,6 +131,28 @@ def test_hub_edges_are_spread_and_results_stay(spark, plain_shuffles):
         assert got == {i: min(_bfs(back, i, 3)) for i in ids}
 
 
+def test_grid_of_edges_stays_in_place_and_results_stay(spark, plain_shuffles):
+    pairs = _hub_graph()
+    e = by_cell(spark.createDataFrame(pairs * 2 + [(None, 5), (5, None)], "src BIGINT, dst BIGINT"), distinct=True, side=3)
+    assert sorted((r["src"], r["dst"]) for r in e.edges.where("src IS NOT NULL AND dst IS NOT NULL").collect()) == sorted(pairs)
+    ids = sorted({i for p in pairs for i in p})
+    state = spark.createDataFrame([(i, i) for i in ids] + [(None, None)], "id BIGINT, attr BIGINT").checkpoint()
+    active = state.selectExpr("id AS src", "attr AS src_attr")
+    with _turned_off(spark, ALL_JOIN_KEYS):
+        trip = _grid_triplets(e, active, len(ids), state, len(ids), 0)
+        # Only the sources' and the targets' states are shuffled, not the edges.
+        assert explain_text(trip, "simple").count("Exchange hashpartitioning") == 2
+        found = trip.collect()
+    assert sorted((r["src"], r["dst"]) for r in found) == sorted(pairs)
+    assert all(r["src_attr"] == r["src"] and r["dst_attr"] == r["dst"] for r in found)
+    send, back = F.when(F.col("src_attr") < F.col("dst_attr"), F.col("src_attr")), [(b, a) for a, b in pairs]
+    for bound in (0, 100, 10**6):
+        got = dict(rows(pregel(state, e, send, "min", max_iter=3, broadcast_rows=bound)))
+        assert got == {i: min(_bfs(back, i, 3)) for i in ids} | {None: None}
+        got = dict(rows(pregel(state, e, F.col("src_attr"), "min", max_iter=3, broadcast_rows=bound, reads_target=False)))
+        assert got == {i: min(_bfs(back, i, 3)) for i in ids} | {None: None}
+
+
 def test_no_hub_no_parts(spark):
     e = by_source(spark.createDataFrame(_hub_graph(), "src BIGINT, dst BIGINT"), targets=True)
     assert e.sources is None and e.targets is None and e.edges.columns == ["src", "dst"]
