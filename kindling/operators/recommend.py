@@ -13,6 +13,8 @@ from kindling.operators.splits import global_row_number
 
 
 INT_MAX = 2**31 - 1
+#: Blocks that are used if there are cores for them, and ratings that a block is meant to hold at most.
+MIN_BLOCKS, BLOCK_RATINGS = 4, 64_000_000
 
 
 @dataclass
@@ -41,15 +43,22 @@ def dense_ids(r: DataFrame, col: str) -> DataFrame:
     return numbered.withColumn("dense", F.col("dense").cast("int"))
 
 
+def als_blocks(ratings: int, users: int, items: int, cores: int) -> int:
+    """How many blocks ALS gets. In every iteration each user's and item's factors are sent to all blocks that hold a
+    rating of it, so more blocks keep more cores busy and send more; beyond ``MIN_BLOCKS`` there are only as many as send
+    one vector for four ratings, or as hold the ratings."""
+    wanted = max(MIN_BLOCKS, -(-ratings // BLOCK_RATINGS), ratings // (4 * max(users + items, 1)))
+    return max(min(wanted, cores), 1)
+
+
 def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int = 8, max_iter: int = 20,
             reg: float = 0.01, seed: int = 42, num_blocks: int | None = None) -> Recommender:
     """REC1: explicit ALS (rank 8, 20 iterations, lambda 0.01).
 
     ALS takes 32-bit integer ids. Ids that are larger or no integers get dense ones, by a dictionary that is joined to
     the ratings here and to the recommendations in :func:`recommend`.
-    Users and items are split into ``num_blocks`` blocks each (default: the
-    cluster's parallelism, so every ALS stage has a task per core; the
-    library default of 10 would run a 1000-executor job on 10 tasks).
+    Users and items are split into ``num_blocks`` blocks each (default: :func:`als_blocks`, at most the
+    cluster's parallelism).
     """
     data, books = r.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("float").alias("rating")), {}
     for col, fits in zip(("user", "item"), _fits(data, "user", "item"), strict=True):
@@ -57,7 +66,10 @@ def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int =
         if not fits:
             data = data.join(books[col].withColumnRenamed("id", col), col).drop(col).withColumnRenamed("dense", col)
     data = data.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating")
-    blocks = num_blocks or max(r.sparkSession.sparkContext.defaultParallelism, 1)
+    blocks = num_blocks
+    if not blocks:
+        sizes = data.agg(F.count(F.lit(1)), F.approx_count_distinct("user"), F.approx_count_distinct("item")).first()
+        blocks = als_blocks(*sizes, r.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",
               ratingCol="rating", coldStartStrategy="drop", implicitPrefs=False,
               numUserBlocks=blocks, numItemBlocks=blocks)

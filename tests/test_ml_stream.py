@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindling.operators.regression import sgd_least_squares
-from kindling.operators.recommend import fit_als, recommend
+from kindling.operators import recommend as als
+from kindling.operators.recommend import als_blocks, fit_als, recommend
 from kindling.streaming.runner import latest, read_output, run_to_table
 from kindling.streaming.windows import sliding_counts, sliding_from_panes
 
@@ -44,6 +45,19 @@ def test_als_top10_per_user(spark):
         assert all(a[2] >= b[2] for a, b in zip(lst, lst[1:]))
 
 
+def test_als_blocks_follow_the_ratings_not_the_cores(spark, monkeypatch):
+    # 40 ratings a user and 30 an item: four blocks however many cores there are, and however many users.
+    assert [als_blocks(n * 600_000, n * 15_000, n * 20_000, cores) for n in (1, 60, 360) for cores in (2, 12, 1000)] == [2, 4, 4] * 3
+    assert als_blocks(10**9, 10**8, 10**8, 1000) == 16  # a block holds its ratings
+    assert als_blocks(10**7, 10**4, 10**3, 200) == 200  # many ratings a user: every core
+    assert als_blocks(0, 0, 0, 8) == 4
+    monkeypatch.setattr(als, "MIN_BLOCKS", 2)
+    r = spark.range(400).selectExpr("id % 40 AS user", "id div 10 AS item", "id % 5 + 1.0 AS rating")
+    fitted = fit_als(r, max_iter=2)
+    assert fitted.model.userFactors.rdd.getNumPartitions() == 2
+    assert fitted.model.userFactors.count() == 40 and fitted.model.itemFactors.count() == 40
+
+
 def test_stream_equals_batch_for_sliding_windows(spark, tmp_path):
     rnd = random.Random(5)
     base = 1_700_000_000
