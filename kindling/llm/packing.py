@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -14,17 +14,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kindling.llm.common import per_batch, table, written
+from kindling.llm.common import BY_SPACE, _blocks, mix, per_batch, table, written
+from kindling.llm.token_counts import byte_characters
 
 TOKENIZER, CAPACITY, END = "word_bpe_49k.json", 2048, 0
 #: Places of one length are numbered in this many groups side by side.
 GROUPS = 64
 #: Encoded chunks that a worker remembers; their memory is bounded, what they encode to is not changed.
 REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
-#: Bytes of texts whose new chunks are encoded together.
+#: Bytes of texts whose chunks are looked up together, and the new ones encoded together.
 LEARNED = 1 << 20
-PUNCTUATION = frozenset(bytes([b]) for b in range(33, 127) if not bytes([b]).isalnum())
-_TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
+_LETTER = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+_PUNCTUATION = np.array([33 <= b < 127 and not bytes([b]).isalnum() for b in range(256)])
 WORD_END = "</w>"
 
 
@@ -37,84 +38,111 @@ def _tokenizer(path: str):
 
 
 class _Chunks:
-    """Ids of chunks between white space, as 32-bit integers.
+    """Ids of chunks, as 32-bit integers.
 
-    The tokenizer drops white space and splits there, so a text's ids are those
-    of its chunks one after the other. It also splits between letters and
-    punctuation, so a chunk of letters and punctuation after them is two words;
-    such words are encoded many at a time, as a text of their own, and told
-    apart by the ends of words. Capitals in ASCII words are lower-cased first,
-    as the tokenizer does, which makes more of them equal."""
+    The tokenizer drops white space and splits there, and it splits between an ASCII letter or digit and
+    the punctuation after it, so a text's ids are those of its words and of the punctuation at their ends, one after the other.
+    Equal chunks of a block are found by hashes and compared byte by byte. New ones are encoded many at a time, as a
+    text of their own, and told apart by what their tokens spell. Capitals in ASCII texts are lower-cased first,
+    as the tokenizer does, which makes more of the chunks equal."""
 
     def __init__(self, path: str):
-        tokenizer = _tokenizer(path)
-        self.encode, self.known = tokenizer.encode_batch_fast, {}
+        tokenizer, of = _tokenizer(path), byte_characters()
+        self.encode, self.known, self.before = tokenizer.encode_batch_fast, {}, {}
         vocabulary = tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-
-    def one_by_one(self, words: list[bytes]) -> dict[bytes, bytes]:
-        coded = self.encode([w.decode() for w in words], add_special_tokens=False)
-        return {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(words, coded, strict=True)}
-
-    def coded(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words that the tokenizer doesn't split."""
-        if not words:
-            return {}
-        ids = np.array(self.encode([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
-        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-        if len(ends) != len(words):
-            return self.one_by_one(words)
-        raw, ends = ids.tobytes(), ends.tolist()
-        return {w: raw[a:z] for w, a, z in zip(words, [0, *ends], ends)}  # noqa: B905
-
-    def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of chunks, and of the words of small ASCII letters in them, which other chunks are made of too."""
-        parts: dict[bytes, tuple[bytes, ...]] = {}
-        whole, odd, known = set(), set(), self.known
-        for c in chunks:
-            if c.isalpha():  # of bytes: ASCII letters alone
-                parts[c] = (c.lower(),)
-            elif c[:-1].isalpha() and c[-1:] in PUNCTUATION:
-                parts[c] = (c[:-1].lower(), c[-1:])
-            else:
-                word = c.decode()
-                tail = _TAIL.search(word)
-                base, end = (word[:tail.start()], tail[0]) if tail else (word, "")
-                if base.lower().isalpha() or not base:
-                    base = base.lower() if base.isascii() else base
-                    parts[c] = tuple(x.encode() for x in (base, end) if x)
-                else:
-                    parts[c] = (c,)
-                    odd.add(c)
-                    continue
-            whole.update(parts[c])
-        got = {p: known[p] for p in whole if p in known}
-        got |= self.coded([p for p in whole if p not in got]) | self.one_by_one(list(odd))
-        return {p: got[p] for p in whole if p.isalpha() and len(p) <= REMEMBERED_LENGTH} | {c: b"".join([got[p] for p in ps]) for c, ps in parts.items()}
+        self.spelled = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.spelled[i] = bytes(map(of.__getitem__, token.removesuffix(WORD_END)))
+        self.lengths = np.fromiter(map(len, self.spelled), np.int64, len(self.spelled))
+
+    def one_by_one(self, chunks: list[bytes]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.encode([c.decode() for c in chunks], add_special_tokens=False)] if chunks else []
+
+    def coded(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks without special strings. Those whose tokens don't spell them in small letters are found by halving and encoded alone."""
+        if len(chunks) < 2:
+            return self.one_by_one(chunks)
+        text = b" ".join(chunks).decode()
+        spelled = unicodedata.normalize("NFC", text).lower()
+        ids = self.encode([text], add_special_tokens=False)[0].ids
+        words = spelled.encode().split(b" ")
+        if len(words) != len(chunks) or b"".join(map(self.spelled.__getitem__, ids)) != b"".join(words):
+            half = len(chunks) // 2
+            return self.coded(chunks[:half]) + self.coded(chunks[half:])
+        ids, ends = np.array(ids, np.uint32), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ends, raw = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist(), ids.tobytes()
+        return [raw[a:z] for a, z in zip([0, *ends], ends)]  # noqa: B905
+
+    def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        plain, odd = [], []
+        for c in chunks:  # other white space than between chunks is not spelled
+            (plain if b"<|" not in c and (c.isascii() or len(c.decode().split()) == 1) else odd).append(c)
+        return dict(zip(plain + odd, self.coded(plain) + self.one_by_one(odd), strict=True))
+
+    def look_up(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks. Half of what is remembered is forgotten at a time: what was not asked for since the half before."""
+        found = list(map(self.known.get, chunks))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            for i in missing:
+                found[i] = self.before.get(chunks[i])
+            learned = self.learn([chunks[i] for i in missing if found[i] is None])
+            if len(self.known) + len(missing) > REMEMBERED // 2:
+                self.before, self.known = self.known, {}
+            for i in missing:
+                if found[i] is None:
+                    found[i] = learned[chunks[i]]
+                if len(chunks[i]) <= REMEMBERED_LENGTH:
+                    self.known[chunks[i]] = found[i]
+        return found
+
+    def part(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The ids of the chunks of a block one after the other, where each chunk starts and how many ids it has."""
+        raw = data.tobytes()
+        if b"<|" not in raw:
+            last = np.maximum.accumulate(np.where(_PUNCTUATION[data], -1, np.arange(len(data))))[ends - 1] + 1
+            cut = (last > starts) & (last < ends) & _LETTER[data[last - 1]]
+            starts, ends = np.sort(np.append(starts, last[cut])), np.sort(np.append(ends, last[cut]))
+        hashes, lengths = mix((sums[ends] - sums[starts]) * down[starts]), ends - starts
+        _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        like = first[of]
+        same = (lengths == lengths[like]).all()
+        if same:
+            step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            same = (data[np.repeat(starts, lengths) + step] == data[np.repeat(starts[like], lengths) + step]).all()
+        if same:
+            ids = self.look_up([raw[a:z] for a, z in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        else:  # different chunks of one hash
+            chunks = [raw[a:z] for a, z in zip(starts.tolist(), ends.tolist(), strict=True)]
+            number = {c: i for i, c in enumerate(dict.fromkeys(chunks))}
+            ids, of = self.look_up(list(number)), np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, size = (np.cumsum(n) - n)[of], n[of]
+        place = np.repeat(begin - (np.cumsum(size) - size), size)
+        place += np.arange(len(place))
+        return np.frombuffer(b"".join(ids), np.uint32)[place], starts, size
 
     def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        """The ids of each text. New chunks of ``LEARNED`` bytes of texts are encoded together."""
-        known, at = self.known, 0
+        """The ids of each text. Texts of ``LEARNED`` bytes go together; a longer one goes by blocks."""
+        at = 0
         while at < len(texts):
-            held, size = [], 0
-            while at < len(texts) and size < LEARNED:
-                text = texts[at]
+            held, size = [], -1
+            while at < len(texts) and (not held or size + 1 + len(texts[at] or b"") <= LEARNED):
+                text = texts[at] or b""
                 # In ASCII the tokenizer only lower-cases capitals, but it looks for its special strings before.
-                held.append((text.lower() if text.isascii() and b"<|" not in text else text).split() if text else [])
-                size, at = size + len(text or b""), at + 1
-            seen = set().union(*held)
-            missing = seen.difference(known)
-            if missing:
-                if len(known) > REMEMBERED:
-                    # What these texts hold is remembered on, the rest is forgotten.
-                    self.known = known = {c: known[c] for c in seen.difference(missing)}
-                known.update(self.learn(missing))
-            for chunks in held:
-                yield b"".join(map(known.__getitem__, chunks))
-            for c in missing:
-                if len(c) > REMEMBERED_LENGTH:
-                    del known[c]
+                held.append(text.lower() if text.isascii() and b"<|" not in text else text)
+                size, at = size + 1 + len(text), at + 1
+            blocks = _blocks(b" ".join(held), BY_SPACE)
+            if len(held) == 1:
+                yield b"".join([self.part(*block)[0].tobytes() for block in blocks])
+            elif (block := next(blocks, None)) is None:
+                yield from [b""] * len(held)
+            else:
+                ids, starts, n = self.part(*block)
+                begins = np.cumsum([0, *(len(x) + 1 for x in held)])
+                upto = 4 * np.append(0, np.cumsum(n))[np.searchsorted(starts, begins)]
+                raw = ids.tobytes()
+                for a, z in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
+                    yield raw[a:z]
 
 
 @lru_cache(2)

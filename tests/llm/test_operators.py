@@ -303,6 +303,23 @@ def test_packing_encodes_a_word_once_for_many_texts(monkeypatch):
     assert ids(texts[::-1]) == want[::-1] and ids(texts) == want
 
 
+def test_packing_looks_up_a_blocks_words_by_hash(monkeypatch):
+    path = P.path(packing.TOKENIZER)
+    tokenizer, chunks, looked_up = packing._tokenizer(path), packing._Chunks(path), []
+    look_up = chunks.look_up
+    chunks.look_up = lambda found: looked_up.extend(found) or look_up(found)
+    texts = ["one two one, two! one's", "TWO one. İ. क़! H̱, ΛΟΓΟΣ a\x1c!", None, "  ", "one " * 500 + "two,;"]
+
+    def ids(texts):
+        return [np.frombuffer(x, "<u4").tolist() for x in chunks.ids([t and t.encode() for t in texts])]
+
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids(texts) == want
+    assert looked_up.count(b"one") == looked_up.count(b"two") == 1 and b"one," not in looked_up and b"two!" not in looked_up
+    monkeypatch.setattr(packing, "mix", lambda h: h * np.uint64(0))  # chunks of one hash are told apart
+    assert ids(texts) == want
+
+
 def test_packing_keeps_special_tokens(spark):
     from tokenizers import Tokenizer
 
