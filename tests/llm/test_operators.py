@@ -303,6 +303,12 @@ def test_packing_encodes_a_word_once_for_many_texts(monkeypatch):
     assert ids(texts[::-1]) == want[::-1] and ids(texts) == want
 
 
+def test_pair_keys_are_distinct_and_short():
+    signatures = np.array([[0, 2**32 - 1] * 32, [1, 0] * 32], np.uint32)
+    tokens = near_dup._tokens(signatures)
+    assert len(np.unique(tokens)) == tokens.size and (tokens >> np.uint64(40) == 0).all()
+
+
 def test_packing_looks_up_a_blocks_words_by_hash(monkeypatch):
     path = P.path(packing.TOKENIZER)
     tokenizer, chunks, looked_up = packing._tokenizer(path), packing._Chunks(path), []
