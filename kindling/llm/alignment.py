@@ -82,7 +82,7 @@ class _Side:
     gives the ids of many pieces one after the other, each as in a whole text."""
 
     def __init__(self, tokens: list[bytes], split: Callable[[str], list[str]], encode: Callable[[list[str]], list[int]]):
-        self.tokens, self.split, self.encode, self.known, self.odd = tokens, split, encode, {}, set()
+        self.tokens, self.split, self.encode, self.known, self.before, self.odd = tokens, split, encode, {}, {}, set()
         self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
 
     def learn(self, pieces: list[str]) -> None:
@@ -108,15 +108,21 @@ class _Side:
         """The ids of whole texts as 32-bit integers; None if the text is not spelled back."""
         split = list(map(self.split, texts))
         every = set().union(*split)
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.odd, new = {}, set(), every
-        self.learn(sorted(new))
-        out = [None if self.odd and not self.odd.isdisjoint(pieces) else b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
-        for piece in new:
+        held = dict(zip(every, map(self.known.get, every), strict=True))  # few, so that pieces are found faster than among all
+        missing = [p for p, ids in held.items() if ids is None]
+        again = {p: ids for p in missing if (ids := self.before.get(p)) is not None}
+        self.known.update(again)
+        self.learn(sorted(p for p in missing if p not in again))
+        held.update((p, self.known[p]) for p in missing)
+        out = [None if self.odd and not self.odd.isdisjoint(pieces) else b"".join(map(held.__getitem__, pieces)) for pieces in split]
+        for piece in missing:
             if len(piece) > REMEMBERED_LENGTH:
                 del self.known[piece]
                 self.odd.discard(piece)
+        if len(self.known) > REMEMBERED // 2:
+            # What was not asked for since this was done last is forgotten.
+            self.before, self.known = self.known, {}
+            self.odd.intersection_update(self.before)
         return out
 
 
@@ -199,12 +205,13 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _by_id(doc: np.ndarray, ids: np.ndarray, group: np.ndarray, width: int) -> tuple[np.ndarray, Csr]:
     """The distinct (document, id) as keys, and how often each has a token in each group."""
-    key, row = np.unique(doc << 32 | ids, return_inverse=True)
-    order = np.lexsort((group, row))
-    row, group = row[order], group[order]
-    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
-    times = np.diff(np.append(first, len(row)))
-    return key, Csr.of(row[first], group[first], times, len(key), width)
+    key = doc << 32 | ids
+    order = np.argsort(key, kind="stable")  # along the tokens of a text, groups only rise
+    key, group = key[order], group[order]
+    begins = np.diff(key, prepend=-1) != 0
+    row, first = np.cumsum(begins) - 1, np.flatnonzero(begins | (np.diff(group, prepend=-1) != 0))
+    times, distinct = np.diff(np.append(first, len(key))), key[begins]
+    return distinct, Csr.of(row[first], group[first], times, len(distinct), width)
 
 
 class Aligned:

@@ -13,7 +13,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from kindling.llm import (byte_bpe, chat, language_id, line_dedup, near_dup, packing, quality, topk_search, toxicity, warc)
+from kindling.llm import (alignment, byte_bpe, chat, language_id, line_dedup, near_dup, packing, quality, topk_search, toxicity, warc)
 from kindling.llm.common import BY_NON_LETTER, beginnings, shingles, word_hashes
 from kindling.llm.components import connected_components
 from tests.conftest import rows
@@ -303,6 +303,19 @@ def test_packing_encodes_a_word_once_for_many_texts(monkeypatch):
     assert ids(texts[::-1]) == want[::-1] and ids(texts) == want
 
 
+def test_alignment_remembers_pieces_that_are_asked_for(monkeypatch):
+    by = alignment.Tokenizers(P.path(alignment.TOKENIZER_A), P.path(alignment.TOKENIZER_B))
+    texts = [f"harbour {i} town{i}" for i in range(60)]
+    want = by.encode(texts)
+    for side in (by.a, by.b):
+        side.known, asked, encode = {}, [], side.encode
+        side.encode = lambda pieces, asked=asked, encode=encode: asked.extend(pieces) or encode(pieces)
+        monkeypatch.setattr(alignment, "REMEMBERED", 24)  # forgotten in between
+        got = [side([" " + t])[0] for t in texts]
+        assert asked.count(" harbour") == 1 and len(side.known) + len(side.before) <= 24 + 8
+        assert got == [x[side is by.b].astype(np.int32).tobytes() for x in want]
+
+
 def test_pair_keys_are_distinct_and_short():
     signatures = np.array([[0, 2**32 - 1] * 32, [1, 0] * 32], np.uint32)
     tokens = near_dup._tokens(signatures)
