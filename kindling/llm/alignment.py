@@ -17,13 +17,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindling.llm.common import table, written
+from kindling.llm.common import mix, table, written
 from kindling.llm.token_counts import byte_characters, counter
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of texts aligned in one go, terms of a sparse product and postings held in one go. They bound memory only.
 TOGETHER, TERMS, POSTINGS = 1 << 18, 1 << 21, 1 << 21
-#: Encoded pieces that a worker remembers for each side, and their greatest length: they bound memory only, too.
+#: Encoded chunks that a worker remembers for each side, and their greatest length: they bound memory only, too.
 REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
 #: Bits of a document's number in its block and of a block's number in its partition; partitions that share a key of the joins.
 DOC_BITS, BLOCK_BITS, PARTITIONS_A_KEY = 16, 20, 1 << 10
@@ -77,62 +77,137 @@ def product(left: Csr, right: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         at = end
 
 
+#: Bytes of white space in characters beyond ASCII, as one number of their last two and of their last three bytes.
+_WIDE_SPACES = [int.from_bytes(c.encode()) for c in "\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+_STEPS = mix(np.arange(1, (1 << 12) + 1, dtype=np.uint64)) | np.uint64(1)
+_BYTES = mix(np.arange(257, 513, dtype=np.uint64))
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where texts can be cut without a change of their tokens: before a space that follows a character that is no white space."""
+    at = np.flatnonzero(data == 32)
+    at = at[at > 0]
+    before = data[at - 1]
+    after_wide = before >= 128
+    plain = (before > 32) & (before < 127)
+    wide = at[after_wide]
+    two = data[wide - 2].astype(np.int64) << 8 | data[wide - 1]
+    plain[after_wide] = ~(np.isin(two, _WIDE_SPACES) | np.isin(data[wide - 3].astype(np.int64) << 16 | two, _WIDE_SPACES))
+    return at[plain]
+
+
+@dataclass
+class Chunks:
+    """Texts cut into chunks: the distinct ones, which of them each chunk is, and the first chunk of each text (and after the last)."""
+
+    distinct: list[bytes]
+    of: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def cut(cls, texts: list[str], whole: bool) -> Chunks:
+        """Texts that begin with a space, or are empty. Equal chunks are found by hashes and compared byte by
+        byte, about ``TOGETHER`` bytes (or a chunk) at a time, so that no chunk but the distinct ones becomes a Python object."""
+        raw = "".join(texts).encode()
+        data, size = np.frombuffer(raw, np.uint8), np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
+        edges = np.cumsum(np.append(0, size))
+        begins = np.zeros(len(data), bool)
+        if not whole:
+            begins[_cuts(data)] = True
+            spaces = np.fromiter((len(t) - len(t.rstrip(" ")) for t in texts), np.int64, len(texts))
+            begins[(edges[1:] - spaces)[spaces > 0]] = False  # spaces at a text's end stay with the word before them
+        begins[edges[:-1][size > 0]] = True
+        starts = np.flatnonzero(begins)
+        lengths = np.diff(np.append(starts, len(data)))
+        hashes = np.empty(len(starts), np.uint64)
+        for s, byte, place in cls._parts(starts, lengths):
+            step = place & (len(_STEPS) - 1)
+            hashes[s] = np.add.reduceat(_BYTES[data[byte]] * _STEPS[step], np.cumsum(lengths[s]) - lengths[s])
+        _, like, of = np.unique(mix(hashes), return_index=True, return_inverse=True)
+        first = like[of]
+        same = bool((lengths == lengths[first]).all()) and all(
+            (data[byte] == data[np.repeat(starts[first[s]], lengths[s]) + place]).all() for s, byte, place in cls._parts(starts, lengths))
+        if same:
+            distinct = [raw[x:y] for x, y in zip(starts[like].tolist(), (starts + lengths)[like].tolist(), strict=True)]
+        else:  # different chunks of one hash
+            chunks = [raw[x:y] for x, y in zip(starts.tolist(), (starts + lengths).tolist(), strict=True)]
+            number = {c: i for i, c in enumerate(dict.fromkeys(chunks))}
+            distinct, of = list(number), np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+        return cls(distinct, of, np.searchsorted(starts, edges))
+
+    @staticmethod
+    def _parts(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
+        """Runs of whole chunks: which chunks, which bytes, and the bytes' places in their chunks."""
+        upto, at = np.append(starts, starts[-1:] + lengths[-1:]), 0
+        while at < len(starts):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + TOGETHER, "right")) - 1)
+            yield slice(at, end), slice(int(upto[at]), int(upto[end])), np.arange(upto[at], upto[end]) - np.repeat(starts[at:end], lengths[at:end])
+            at = end
+
+
 class _Side:
-    """A vocabulary's token bytes, and the ids of pieces of texts. ``encode``
-    gives the ids of many pieces one after the other, each as in a whole text."""
+    """A vocabulary's token bytes, and the ids of chunks of texts. ``encode``
+    gives the ids of many chunks one after the other, each as in a whole text."""
 
-    def __init__(self, tokens: list[bytes], split: Callable[[str], list[str]], encode: Callable[[list[str]], list[int]]):
-        self.tokens, self.split, self.encode, self.known, self.before, self.odd = tokens, split, encode, {}, {}, set()
+    def __init__(self, tokens: list[bytes], encode: Callable[[list[str]], list[int]], whole: bool):
+        self.tokens, self.encode, self.whole, self.known, self.before = tokens, encode, whole, {}, {}
         self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
 
-    def learn(self, pieces: list[str]) -> None:
-        """The bytes of ids spelled back tell where each piece ends; if they
-        don't, the pieces are halved until those are alone that are not spelled back."""
-        if not pieces:
-            return
-        raw = [p.encode() for p in pieces]
-        ids = np.array(self.encode(pieces), np.int32)
-        if b"".join(map(self.tokens.__getitem__, ids.tolist())) == b"".join(raw):
-            ends = np.cumsum(self.lengths[ids])
-            after = (4 * (np.searchsorted(ends, np.cumsum(list(map(len, raw)))) + 1)).tolist()
-            coded = ids.tobytes()
-            self.known.update(zip(pieces, [coded[x:y] for x, y in zip([0, *after], after)], strict=True))  # noqa: B905
-        elif len(pieces) == 1:
-            self.known[pieces[0]] = b""
-            self.odd.add(pieces[0])
-        else:
-            self.learn(pieces[:len(pieces) // 2])
-            self.learn(pieces[len(pieces) // 2:])
-
-    def __call__(self, texts: list[str]) -> list[bytes | None]:
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks as 32-bit integers; none if a chunk is not spelled back. The bytes of ids spelled back tell
+        where each chunk ends; if they don't, the chunks are halved until those are alone that are not spelled back."""
+        if not chunks:
+            return []
+        ids = self.encode(list(map(bytes.decode, chunks)))
+        if b"".join(map(self.tokens.__getitem__, ids)) == b"".join(chunks):
+            ids = np.array(ids, np.int32)
+            ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+            after, coded = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist(), ids.tobytes()
+            return [coded[x:y] for x, y in zip([0, *after], after)]  # noqa: B905
+        if len(chunks) == 1:
+            return [b""]
+        half = len(chunks) // 2
+        return self.learn(chunks[:half]) + self.learn(chunks[half:])
+
+    def look_up(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks. Half of what is remembered is forgotten at a time: what was not asked for since the half before."""
+        found = list(map(self.known.get, chunks))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            asked = [chunks[i] for i in missing]
+            again = list(map(self.before.get, asked))
+            learned = iter(self.learn([c for c, ids in zip(asked, again, strict=True) if ids is None]))
+            again = [next(learned) if ids is None else ids for ids in again]
+            for i, ids in zip(missing, again, strict=True):
+                found[i] = ids
+            if len(self.known) + len(missing) > REMEMBERED // 2:
+                self.before, self.known = self.known, {}
+            self.known.update(zip(asked, again, strict=True))
+            for chunk in asked:
+                if len(chunk) > REMEMBERED_LENGTH:
+                    del self.known[chunk]
+        return found
+
+    def __call__(self, texts: list[str], chunks: Chunks | None = None) -> list[bytes | None]:
         """The ids of whole texts as 32-bit integers; None if the text is not spelled back."""
-        split = list(map(self.split, texts))
-        every = set().union(*split)
-        held = dict(zip(every, map(self.known.get, every), strict=True))  # few, so that pieces are found faster than among all
-        missing = [p for p, ids in held.items() if ids is None]
-        again = {p: ids for p in missing if (ids := self.before.get(p)) is not None}
-        self.known.update(again)
-        self.learn(sorted(p for p in missing if p not in again))
-        held.update((p, self.known[p]) for p in missing)
-        out = [None if self.odd and not self.odd.isdisjoint(pieces) else b"".join(map(held.__getitem__, pieces)) for pieces in split]
-        for piece in missing:
-            if len(piece) > REMEMBERED_LENGTH:
-                del self.known[piece]
-                self.odd.discard(piece)
-        if len(self.known) > REMEMBERED // 2:
-            # What was not asked for since this was done last is forgotten.
-            self.before, self.known = self.known, {}
-            self.odd.intersection_update(self.before)
-        return out
+        chunks = chunks or Chunks.cut(texts, self.whole)
+        found = self.look_up(chunks.distinct)
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        size = n[chunks.of]
+        upto = np.cumsum(np.append(0, size))
+        place = np.repeat((np.cumsum(n) - n)[chunks.of] - upto[:-1], size)
+        place += np.arange(len(place))
+        raw, ends = np.frombuffer(b"".join(found), np.int32)[place].tobytes(), (4 * upto[chunks.first]).tolist()
+        odd = np.diff(np.cumsum(np.append(0, size == 0))[chunks.first]).tolist()
+        return [None if bad else raw[x:y] for x, y, bad in zip(ends[:-1], ends[1:], odd, strict=True)]
 
 
 class Tokenizers:
     """A byte-level BPE of the tokenizers library (A) and a sentencepiece model
     that puts a space before the text (B).
 
-    A's library splits texts by its pattern before it merges. B has no token with
-    a space behind another character (else its texts are encoded whole), so none reaches from one run of spaces and
-    the word behind it into the next."""
+    A's library splits texts by its pattern before it merges, always before a space that follows no white space. B has no
+    token with a space behind another character (else texts are not cut), so none reaches from one run of spaces and
+    the word behind it into the next. So both have the ids of chunks that begin at such spaces, one after the other."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
@@ -145,13 +220,12 @@ class Tokenizers:
             added = {t["id"]: t["content"].encode() for t in json.load(f)["added_tokens"]}
         of = byte_characters()
         spelled = {i: added[i] if i in added else bytes(map(of.__getitem__, t)) for t, i in a.get_vocab().items()}
-        self.a = _Side([spelled.get(i, b"") for i in range(max(spelled) + 1)], counter(path_a).pieces,
-                       lambda pieces: a.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids)
         tokens = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())]
         crossing = any(re.search("[^▁]▁", b.id_to_piece(i)) for i in range(b.get_piece_size()))
-        self.b = _Side(tokens, (lambda text: [text]) if crossing else re.compile(r" +[^ ]+(?: +\Z)?| +\Z").findall,
-                       (lambda pieces: list(chain.from_iterable(b.encode([p[1:] for p in pieces], num_threads=1)))) if crossing else
-                       lambda pieces: list(chain.from_iterable(b.encode([t[1:] for t in _sentences(pieces)], num_threads=1))))
+        split, sentences = counter(path_a).pieces, iter if crossing else _sentences
+        self.a = _Side([spelled.get(i, b"") for i in range(max(spelled) + 1)], lambda chunks: a.encode_batch_fast(
+            [list(chain.from_iterable(map(split, chunks)))], is_pretokenized=True, add_special_tokens=False)[0].ids, crossing)
+        self.b = _Side(tokens, lambda chunks: list(chain.from_iterable(b.encode([t[1:] for t in sentences(chunks)], num_threads=1))), crossing)
         sizes = len(self.a.tokens), len(tokens)
         #: For each side and what follows (a comma, a bar, a semicolon) the ids as texts, one after the other.
         self.names = [f"{i}{mark}" for n in sizes for mark in ",|;" for i in range(n)]
@@ -160,12 +234,13 @@ class Tokenizers:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of A and B of each text with a space before it; none if either side does not spell that."""
         spaced = [" " + t if t else "" for t in texts]
+        chunks = Chunks.cut(spaced, self.a.whole)
         return [tuple(np.frombuffer(b"" if a is None or b is None else ids, np.int32).astype(np.int64) for ids in (a, b))
-                for a, b in zip(self.a(spaced), self.b(spaced), strict=True)]
+                for a, b in zip(self.a(spaced, chunks), self.b(spaced, chunks), strict=True)]
 
 
 def _sentences(pieces: list[str]) -> Iterator[str]:
-    """Pieces put together again; one that ends in spaces is the last of its sentence, and a sentence has about 4,096 pieces."""
+    """Chunks put together again; one that ends in spaces is the last of its sentence, and a sentence has about 4,096 chunks."""
     held = []
     for piece in pieces:
         held.append(piece)

@@ -213,6 +213,30 @@ def test_ids_are_those_of_the_libraries_on_whole_texts(paths):
     assert len(texts) // 2 < spelled < len(texts)
 
 
+def test_alignment_looks_up_a_chunk_once_for_many_texts(paths, monkeypatch):
+    by = alignment.Tokenizers(*paths)
+    a, b = Tokenizer.from_file(paths[0]), by.b.encode
+    looked_up, look_up = [], by.a.look_up
+    by.a.look_up = lambda chunks: looked_up.extend(chunks) or look_up(chunks)
+    texts = ["one two one", "two one two ", "", " ", "   ", "one\n two", "\n", " one\n  two\u00a0 one\u3000  two", "it's \u201cone\u201d two\u2003 \u0085 x\x1c y", "one's " * 300,
+             "\u00e9t\u00e9 \u6c34\u3001 \u6c34 \u3042 two", "a\t b \r\n c\u1680  d\u2009 e"]
+    want = []
+    for text in texts:
+        x, y = a.encode(" " + text).ids if text else [], b([" " + text]) if text else []
+        spelled = all(b"".join(side.tokens[i] for i in ids) == (b" " + text.encode()) for side, ids in ((by.a, x), (by.b, y)))
+        want.append((x, y) if text and spelled else ([], []))
+
+    def ids():
+        return [(x.tolist(), y.tolist()) for x, y in by.encode(texts)]
+
+    assert ids() == want and sum(bool(x) for x, _ in want) > 5
+    assert looked_up.count(b" one") == looked_up.count(b" two") == looked_up.count(b" one's") == 1
+    monkeypatch.setattr(alignment, "TOGETHER", 7)  # chunks hashed and compared in many parts
+    assert ids() == want
+    monkeypatch.setattr(alignment, "mix", lambda h: h * np.uint64(0))  # chunks of one hash are told apart
+    assert ids() == want
+
+
 def test_a_stretch_without_common_ends_is_one_group(paths):
     by = alignment.load(*paths)
     texts = ["-" * 4999 + "=" * 3001, "plain text", "", "=" * 77]
