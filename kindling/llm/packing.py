@@ -43,7 +43,7 @@ class _Chunks:
     The tokenizer drops white space and splits there, and it splits between an ASCII letter or digit and
     the punctuation after it, so a text's ids are those of its words and of the punctuation at their ends, one after the other.
     Equal chunks of a block are found by hashes and compared byte by byte. New ones are encoded many at a time, as a
-    text of their own, and told apart by what their tokens spell. Capitals in ASCII texts are lower-cased first,
+    text of their own, and told apart by what their tokens spell. ASCII capitals are lower-cased first,
     as the tokenizer does, which makes more of the chunks equal."""
 
     def __init__(self, path: str):
@@ -74,25 +74,31 @@ class _Chunks:
         return [raw[a:z] for a, z in zip([0, *ends], ends)]  # noqa: B905
 
     def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        plain, odd = [], []
-        for c in chunks:  # other white space than between chunks is not spelled
-            (plain if b"<|" not in c and (c.isascii() or len(c.decode().split()) == 1) else odd).append(c)
+        plain, odd = [c for c in chunks if c.isascii()], []
+        for c in chunks if len(plain) < len(chunks) else ():  # other white space than between chunks is not spelled
+            if not c.isascii():
+                (plain if len(c.decode().split()) == 1 else odd).append(c)
+        if b"<|" in b" ".join(plain):
+            odd += [c for c in plain if b"<|" in c]
+            plain = [c for c in plain if b"<|" not in c]
         return dict(zip(plain + odd, self.coded(plain) + self.one_by_one(odd), strict=True))
 
     def look_up(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of distinct chunks. Half of what is remembered is forgotten at a time: what was not asked for since the half before."""
         found = list(map(self.known.get, chunks))
         if missing := [i for i, ids in enumerate(found) if ids is None]:
-            for i in missing:
-                found[i] = self.before.get(chunks[i])
-            learned = self.learn([chunks[i] for i in missing if found[i] is None])
+            asked = [chunks[i] for i in missing]
+            again = list(map(self.before.get, asked))
+            learned = self.learn([c for c, ids in zip(asked, again, strict=True) if ids is None])
+            again = [learned[c] if ids is None else ids for c, ids in zip(asked, again, strict=True)]
+            for i, ids in zip(missing, again, strict=True):
+                found[i] = ids
             if len(self.known) + len(missing) > REMEMBERED // 2:
                 self.before, self.known = self.known, {}
-            for i in missing:
-                if found[i] is None:
-                    found[i] = learned[chunks[i]]
-                if len(chunks[i]) <= REMEMBERED_LENGTH:
-                    self.known[chunks[i]] = found[i]
+            self.known.update(zip(asked, again, strict=True))
+            for chunk in asked:
+                if len(chunk) > REMEMBERED_LENGTH:
+                    del self.known[chunk]
         return found
 
     def part(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -107,8 +113,11 @@ class _Chunks:
         like = first[of]
         same = (lengths == lengths[like]).all()
         if same:
-            step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            same = (data[np.repeat(starts, lengths) + step] == data[np.repeat(starts[like], lengths) + step]).all()
+            again = np.flatnonzero(like != np.arange(len(like)))
+            size, start = lengths[again], starts[again]
+            place = np.repeat(start - (np.cumsum(size) - size), size)
+            place += np.arange(len(place))
+            same = (data[place] == data[place + np.repeat(starts[like[again]] - start, size)]).all()
         if same:
             ids = self.look_up([raw[a:z] for a, z in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         else:  # different chunks of one hash
@@ -128,8 +137,9 @@ class _Chunks:
             held, size = [], -1
             while at < len(texts) and (not held or size + 1 + len(texts[at] or b"") <= LEARNED):
                 text = texts[at] or b""
-                # In ASCII the tokenizer only lower-cases capitals, but it looks for its special strings before.
-                held.append(text.lower() if text.isascii() and b"<|" not in text else text)
+                # ASCII capitals are lower-cased, as the tokenizer does after it looked for special strings and composed letters
+                # with marks behind them (U+0300 to U+037F, bytes 0xCC and 0xCD): texts with either are left as they are.
+                held.append(text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower())
                 size, at = size + 1 + len(text), at + 1
             blocks = _blocks(b" ".join(held), BY_SPACE)
             if len(held) == 1:

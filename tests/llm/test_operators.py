@@ -303,6 +303,19 @@ def test_packing_encodes_a_word_once_for_many_texts(monkeypatch):
     assert ids(texts[::-1]) == want[::-1] and ids(texts) == want
 
 
+def test_packing_lower_cases_capitals_beside_other_letters():
+    path = P.path(packing.TOKENIZER)
+    tokenizer, chunks, looked_up = packing._tokenizer(path), packing._Chunks(path), []
+    look_up = chunks.look_up
+    chunks.look_up = lambda found: looked_up.extend(found) or look_up(found)
+    marks = [c + chr(m) + " " + c + chr(m) + chr(0x323) for c in "ABEHIJKTWYZ" for m in range(0x300, 0x345)]
+    texts = ["Harbour HARBOUR \u00e9t\u00e9", "\u00c9t\u00e9 harbour \u6c34 \u0130 \u1e9e \u212a \u03a3\u03a3", "J\u030c Harbour h\u0331 H\u0331", " ".join(marks), *marks[:40],
+             "\u00e9 <|EndOfText|> <|endoftext|>", "A\u1ab0 A\u20dd A\ufe20 A\u05b0 A\u3099 K\u0900 E\u0483"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in chunks.ids([t.encode() for t in texts])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert looked_up.count(b"harbour") == 1 and b"HARBOUR" not in looked_up
+
+
 def test_alignment_remembers_pieces_that_are_asked_for(monkeypatch):
     by = alignment.Tokenizers(P.path(alignment.TOKENIZER_A), P.path(alignment.TOKENIZER_B))
     texts = [f"harbour {i} town{i}" for i in range(60)]
