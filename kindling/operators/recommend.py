@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from kindling.operators.lookup import lookup_names
 from kindling.operators.splits import global_row_number
+from kindling.operators.streamed_als import fit_streamed, streamed_blocks
 
 
 INT_MAX = 2**31 - 1
 #: Blocks that are used if there are cores for them, and ratings that a block is meant to hold at most.
 MIN_BLOCKS, BLOCK_RATINGS = 4, 64_000_000
+#: Ratings of a block that ``ALS`` may hold in a task's memory (some 70 bytes each while they are laid out); beyond, they are streamed.
+HELD_RATINGS = 4_000_000
 
 
 @dataclass
@@ -58,18 +61,21 @@ def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int =
     ALS takes 32-bit integer ids. Ids that are larger or no integers get dense ones, by a dictionary that is joined to
     the ratings here and to the recommendations in :func:`recommend`.
     Users and items are split into ``num_blocks`` blocks each (default: :func:`als_blocks`, at most the
-    cluster's parallelism).
+    cluster's parallelism). Spark's ``ALS`` holds a block's ratings in memory; where a block would have more than
+    ``HELD_RATINGS``, :func:`fit_streamed` fits the same model over blocks that stream them.
     """
     data, books = r.select(F.col(user).alias("user"), F.col(item).alias("item"), F.col(rating).cast("float").alias("rating")), {}
+    whole = F.col("user").isNotNull() & F.col("item").isNotNull()
+    sizes = data.agg(F.count_if(whole), F.approx_count_distinct("user"), F.approx_count_distinct("item")).first()
+    blocks = num_blocks or als_blocks(*sizes, r.sparkSession.sparkContext.defaultParallelism)
     for col, fits in zip(("user", "item"), _fits(data, "user", "item"), strict=True):
         books[col] = None if fits else dense_ids(data, col)
         if not fits:
             data = data.join(books[col].withColumnRenamed("id", col), col).drop(col).withColumnRenamed("dense", col)
     data = data.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating")
-    blocks = num_blocks
-    if not blocks:
-        sizes = data.agg(F.count(F.lit(1)), F.approx_count_distinct("user"), F.approx_count_distinct("item")).first()
-        blocks = als_blocks(*sizes, r.sparkSession.sparkContext.defaultParallelism)
+    if sizes[0] > HELD_RATINGS * blocks:
+        blocks = streamed_blocks(*sizes, rank, blocks)
+        return Recommender(fit_streamed(data, rank, max_iter, reg, seed, sizes[0], blocks), books["user"], books["item"])
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",
               ratingCol="rating", coldStartStrategy="drop", implicitPrefs=False,
               numUserBlocks=blocks, numItemBlocks=blocks)

@@ -3,11 +3,13 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from kindling.operators.regression import sgd_least_squares
 from kindling.operators import recommend as als
+from kindling.operators import streamed_als
 from kindling.operators.recommend import als_blocks, fit_als, recommend
 from kindling.streaming.runner import latest, read_output, run_to_table
 from kindling.streaming.windows import sliding_counts, sliding_from_panes
@@ -58,6 +60,49 @@ def test_als_blocks_follow_the_ratings_not_the_cores(spark, monkeypatch):
     assert fitted.model.userFactors.count() == 40 and fitted.model.itemFactors.count() == 40
 
 
+def _factors(frame):
+    return {x["id"]: np.array(x["features"], float) for x in frame.collect()}
+
+
+def _loss(model, rated, reg=0.01):
+    users, items = _factors(model.userFactors), _factors(model.itemFactors)
+    return sum((users[u] @ items[i] - y) ** 2 + reg * (users[u] @ users[u] + items[i] @ items[i]) for u, i, y in rated), users, items
+
+
+def test_streamed_als_fits_what_als_fits(spark, monkeypatch):
+    rnd = random.Random(8)
+    rated = [(u - 30, 3 * i, float(rnd.randint(1, 5))) for u in range(90) for i in rnd.sample(range(70), 1 + u % 25)]
+    rated += [(u - 30, 7_000, float(u % 4)) for u in range(90)] + rated[:5]  # an item of many ratings; ratings that come twice
+    r = spark.createDataFrame(rated, "user BIGINT, item BIGINT, rating DOUBLE")
+    held, *_ = _loss(fit_als(r).model, rated)
+    for name, value in (("SLICE_RATINGS", 60), ("BATCH", 16), ("SOLVED", 5), ("KEEP_EVERY", 3)):
+        monkeypatch.setattr(streamed_als, name, value)
+    monkeypatch.setattr(als, "HELD_RATINGS", 100)
+    monkeypatch.setattr(als, "ALS", None)  # it would hold a block's ratings in a task
+    fitted = fit_als(r)
+    loss, users, items = _loss(fitted.model, rated)
+    assert set(users) == {u for u, *_ in rated} and set(items) == {i for _, i, _ in rated}
+    assert abs(loss / held - 1) < 0.25  # another start
+    for user, found in users.items():  # solved last, so exactly the least squares against the items
+        mine = [(items[i], y) for u, i, y in rated if u == user]
+        x, y = np.array([x for x, _ in mine]), np.array([y for _, y in mine])
+        assert np.allclose(np.linalg.solve(x.T @ x + 0.01 * len(mine) * np.eye(8), x.T @ y), found, rtol=1e-3, atol=1e-4)
+    recs = recommend(fitted, r.where("user = 7").select("user").distinct(), 10).collect()
+    assert sorted((x["rank"], x["item"]) for x in recs) == [(n, i) for n, i in enumerate(sorted(items, key=lambda i: -users[7] @ items[i])[:10], 1)]
+    with pytest.raises(Exception, match="user Ids MUST NOT be Null"):
+        fit_als(r.union(spark.sql("SELECT CAST(NULL AS BIGINT), 1L, 1.0D")))
+
+
+def test_streamed_blocks_bound_the_factors_that_a_task_holds():
+    sizes = [(n * 600_000, n * 15_000, n * 20_000) for n in (1, 60, 360, 1800, 18_000)]
+    blocks = [streamed_als.streamed_blocks(*x, 8, 4) for x in sizes]
+    assert blocks[:3] == [4, 4, 4]
+    for (ratings, users, items), b in zip(sizes, blocks, strict=True):
+        for n in (users, items):
+            assert 32 * n * (1 - (1 - 1 / b) ** (ratings / n)) <= streamed_als.FACTOR_BYTES
+        assert b <= 4 or 32 * ratings / b > streamed_als.FACTOR_BYTES / 2  # no more than that takes
+
+
 def test_stream_equals_batch_for_sliding_windows(spark, tmp_path):
     rnd = random.Random(5)
     base = 1_700_000_000
