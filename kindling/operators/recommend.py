@@ -74,6 +74,7 @@ def fit_als(r: DataFrame, user="user", item="item", rating="rating", rank: int =
             data = data.join(books[col].withColumnRenamed("id", col), col).drop(col).withColumnRenamed("dense", col)
     data = data.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating")
     if sizes[0] > HELD_RATINGS * blocks:
+        data = data if all(b is None for b in books.values()) else data.checkpoint()  # laid out twice, joined once
         blocks = streamed_blocks(*sizes, rank, blocks)
         return Recommender(fit_streamed(data, rank, max_iter, reg, seed, sizes[0], blocks), books["user"], books["item"])
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",

@@ -93,6 +93,14 @@ def test_streamed_als_fits_what_als_fits(spark, monkeypatch):
         fit_als(r.union(spark.sql("SELECT CAST(NULL AS BIGINT), 1L, 1.0D")))
 
 
+def test_streamed_als_takes_texts_as_ids(spark, monkeypatch):
+    monkeypatch.setattr(als, "HELD_RATINGS", 10)
+    r = spark.range(400).selectExpr("concat('u', id % 40) AS user", "id div 10 + 5000000000 AS item", "id % 5 + 1.0 AS rating")
+    recs = recommend(fit_als(r, max_iter=2), r.where("user = 'u7'").select("user").distinct(), 10).collect()
+    assert {x["user"] for x in recs} == {"u7"} and len({x["item"] for x in recs}) == 10
+    assert {x["item"] for x in recs} <= set(range(5_000_000_000, 5_000_000_040))
+
+
 def test_streamed_blocks_bound_the_factors_that_a_task_holds():
     sizes = [(n * 600_000, n * 15_000, n * 20_000) for n in (1, 60, 360, 1800, 18_000)]
     blocks = [streamed_als.streamed_blocks(*x, 8, 4) for x in sizes]
